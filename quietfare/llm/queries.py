@@ -5,13 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quietfare.llm import digest, mixing, packing, tokens
+from quietfare.llm import digest, mixing, packing, personal, tokens
 from quietfare.queries.common import table
 
 MEASURES = ["base_passenger_fare", "trip_time", "driver_pay"]
 QUANTILES = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every personal value in the support notes."""
+    return personal.personal_spans(table(spark, d, "trips"), "support_note", ("record_id",))
+
+
+def p1_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """Every support note with typed placeholders in place of its personal values."""
+    notes = table(spark, d, "trips").where(F.col("support_note").isNotNull()).select("record_id", "support_note")
+    return personal.redact_column(notes, "support_note").select("record_id", "redacted")
+
+
 def p4_percentiles(spark: SparkSession, d: str) -> DataFrame:
     """Percentiles per load and pick-up zone, and per zone over all loads (null load_id) from the loads' digests."""
     loads = digest.digests(table(spark, d, "trips"), ["load_id", "PULocationID"], MEASURES)
@@ -59,7 +70,7 @@ def p7_mix_by_chars(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"), "n_chars", place)[0]
 
 
-QUERIES = {f.__name__: f for f in (p4_percentiles, p4_zone_percentiles, p6_pack, p6_fill, p7_mix, p7_shares, p7_mix_by_chars)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_redacted, p4_percentiles, p4_zone_percentiles, p6_pack, p6_fill, p7_mix, p7_shares, p7_mix_by_chars)}
 
 _LEAF = digest.leaf_sql("value").replace("isnan(value)", "isnan(value)")
 
