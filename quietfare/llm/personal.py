@@ -466,10 +466,12 @@ def find_spans(text: str | None) -> list[tuple[int, int, str]]:
                 if words and lower(words[0]) not in {"водитель", "пассажир", "пассажирка", "поездка"}:
                     r.add("PERSON", m.span())
     taken: list[tuple[int, int, str]] = []
+    covered = bytearray(len(text))
     for kind in TYPES:
-        spans = sorted(set(r.spans[kind]), key=lambda s: (s[0] - s[1], s[0])) if kind in ("PERSON", "LOCATION", "PHONE_NUMBER", "CREDIT_CARD", "EMAIL_ADDRESS", "ID_NUMBER") else sorted(set(r.spans[kind]))
-        for s, e in spans:
-            if not any(s < b and a < e for a, b, _ in taken):
+        longest = kind not in ("VEHICLE_VIN", "TLC_LICENSE", "NY_PLATE")
+        for s, e in sorted(set(r.spans[kind]), key=lambda x: (x[0] - x[1], x[0]) if longest else x):
+            if 1 not in covered[s:e]:
+                covered[s:e] = b"\x01" * (e - s)
                 taken.append((s, e, kind))
     return sorted(taken)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quietfare.llm import digest, mixing, packing, personal, tokens
+from quietfare.llm import digest, mixing, packing, personal, sentences, tokens
 from quietfare.queries.common import table
 
 MEASURES = ["base_passenger_fare", "trip_time", "driver_pay"]
@@ -70,7 +70,12 @@ def p7_mix_by_chars(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"), "n_chars", place)[0]
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_redacted, p4_percentiles, p4_zone_percentiles, p6_pack, p6_fill, p7_mix, p7_shares, p7_mix_by_chars)}
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    """The sentence units of every document."""
+    return sentences.split_sentences(table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_redacted, p4_percentiles, p4_zone_percentiles, p6_pack, p6_fill, p7_mix, p7_shares, p7_mix_by_chars, p8_found)}
 
 _LEAF = digest.leaf_sql("value").replace("isnan(value)", "isnan(value)")
 
