@@ -57,7 +57,7 @@ def mix(items: DataFrame, targets: DataFrame, size: str, place: Column, source:
         raise ValueError(f"targets must name at most {MAX_SOURCES} sources, each once")
     wanted = {r.source: (Fraction(str(r.target_share or 0)), int(r.max_repeats or 0)) for r in rows if r.source is not None}
     spark = items.sparkSession
-    base = cut(items.where(F.col(source).isin(*wanted)).select(*keep, F.col(source).alias("source"), F.coalesce(F.col(size), F.lit(0)).cast("bigint").alias("size"), place.alias("place")).where("size > 0"))
+    base = cut(items.where(F.col(source).isin(*wanted)).select(*keep, F.col(source).alias("source"), F.coalesce(F.col(size), F.lit(0)).cast("bigint").alias("size"), place.alias("place"))).where("size > 0")
     totals = {r.source: (int(r.size), int(r.n)) for r in base.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect()}
     aims = plan({s: t for s, (t, _) in totals.items()}, wanted, budget)
     full = {s: int(a // totals[s][0]) for s, a in aims.items()}
