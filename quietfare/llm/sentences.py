@@ -218,9 +218,9 @@ def _end_score(text: str, start: int, end: int, mark: int, stop: int) -> float:
     before = re.search(r"(\S+)$", text[max(start, mark - 40) : mark])
     token = before.group(1) if before else ""
     stem = token.lower().lstrip("\"'“«„(（[¿¡")
-    glued = re.search(r"\w{2,}[)\]\"”»]*[.!?…]+([A-ZÀ-ÞА-ЯЁ][^\W\d_]*)$", token)
+    glued = re.search(r"\w{2,}[)\]\"”»]*[.!?…]+([A-ZÀ-ÞА-ЯЁ][^\W\d_]*)$|[!?…؟۔।。！？]+[)\]\"”»]*([^\W\d_]+)$", token)
     if glued:
-        stem = glued.group(1).lower()
+        stem = (glued.group(1) or glued.group(2)).lower()
     if any(stem.endswith(x) and len(stem) > len(x) for x in ("str", "straße", "allee")):
         stem = "str"
     closes = any(c in "\"”»」』’“＂" for c in cluster.strip())
@@ -286,6 +286,8 @@ def _end_score(text: str, start: int, end: int, mark: int, stop: int) -> float:
     if closed:
         return 2.6 if (not first.islower() or opener or lower_name) else 0.9
     dotted = stem.rstrip(".")
+    if glued:
+        token = token[-len(dotted) :]
     if dotted in TITLES_BEFORE_NAMES and word.rstrip(".") in TITLES_BEFORE_NAMES and word.endswith("."):
         return -6.0
     if re.fullmatch(r"[^\W\d_]", dotted) and token[-1:].isalpha():
