@@ -41,4 +41,6 @@ def hash_sample(df: DataFrame, columns: Sequence[str], n: int, tie: str) -> Data
 
 def content_hash(df: DataFrame) -> DataFrame:
     """One row with a hash of the content that no order or file layout changes: row count and XOR of row hashes."""
-    return df.select(F.xxhash64(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)])).alias("h")).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.bit_xor("h"), F.lit(0)).alias("content_hash"))
+    columns = [F.col(f"`{c}`") for c in sorted(df.columns)]
+    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns])  # the hash passes over nulls
+    return df.select(F.xxhash64(nulls, *columns).alias("h")).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.bit_xor("h"), F.lit(0)).alias("content_hash"))

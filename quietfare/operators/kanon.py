@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -44,23 +44,31 @@ def ladder(df: DataFrame, rungs: Mapping[str, Sequence[str]], k: int = 5) -> Dat
     return cells.groupBy(rung.alias("qi")).agg(*_figures(k))
 
 
+def _same(qi: Sequence[str]) -> Column:
+    out = F.lit(True)
+    for i, c in enumerate(qi):
+        out &= F.col(c).eqNullSafe(F.col(f"_q{i}"))
+    return out
+
+
+def _sizes(df: DataFrame, qi: Sequence[str], name: str) -> DataFrame:
+    return classes(df, qi).select(*[F.col(c).alias(f"_q{i}") for i, c in enumerate(qi)], F.col("sz").alias(name))
+
+
 def suppress(df: DataFrame, qi: Sequence[str], k: int = 5) -> DataFrame:
     """The rows whose class has at least ``k`` rows.
 
     The class sizes are counted first (partial aggregates) and joined back
-    null-safely, so a hot class is never gathered in one task, as it would be in
-    a window over the class.
+    null-safely: a hot class is never gathered in one task, as it would be in a
+    window over the class, and adaptive execution splits it in the join.
     """
-    sizes = classes(df, qi).where(F.col("sz") >= k).select(*[F.col(c).alias(f"_q{i}") for i, c in enumerate(qi)])
-    same = F.lit(True)
-    for i, c in enumerate(qi):
-        same &= F.col(c).eqNullSafe(F.col(f"_q{i}"))
-    return df.join(sizes, same, "left_semi")
+    return df.join(_sizes(df, qi, "_sz").where(F.col("_sz") >= k), _same(qi), "left_semi")
 
 
 def class_size(df: DataFrame, qi: Sequence[str], name: str = "class_size") -> DataFrame:
-    """``df`` with the size of each row's class."""
-    return df.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*qi)))
+    """``df`` with the size of each row's class, joined back like in :func:`suppress`. A column ``name`` is replaced."""
+    base = df.drop(name)
+    return base.join(_sizes(base, qi, name), _same(qi)).select(*base.columns, name)
 
 
 def size_histogram(df: DataFrame, qi: Sequence[str]) -> DataFrame:

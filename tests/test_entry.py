@@ -19,7 +19,7 @@ def test_library_does_not_import_the_llm_package():
 
 def test_no_local_checkpoints_or_cross_joins():
     for path in (ROOT / "quietfare").rglob("*.py"):
-        assert not re.search(r"localCheckpoint\(", path.read_text()), path
+        assert not re.search(r"localCheckpoint\(|crossJoin\(", path.read_text()), path
 
 
 def test_modules_import():

@@ -22,6 +22,11 @@ def test_null_keys_form_a_class(spark):
     assert kanon.suppress(df, ["a", "b"], 2).count() == 2 and kanon.classes(df, ["a", "b"]).count() == 2
 
 
+def test_class_sizes_with_nulls_and_a_clashing_name(spark):
+    df = spark.createDataFrame([(None, 1), (None, 1), (1, 9)], "a int, class_size int")
+    assert sorted(map(tuple, kanon.class_size(df, ["a"]).collect()), key=str) == [(1, 1), (None, 2), (None, 2)]
+
+
 def test_ladder_equals_the_rungs(spark):
     df = spark.createDataFrame([(i % 3, i % 5 if i % 4 else None, i % 7) for i in range(60)], "a int, b int, c int")
     rungs = {"ab": ["a", "b"], "abc": ["a", "b", "c"], "c": ["c"]}

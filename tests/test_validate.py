@@ -58,6 +58,11 @@ def test_duplicates_nulls_and_nan(spark):
     assert {x.column: x.n for x in V.null_cells(frame(spark, rows)).collect()}["tips"] == 4
 
 
+def test_tuples_with_shifted_nulls_differ(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), (None, None), (None, None), ("a", None)], "x string, y string")
+    assert V.duplicate_rows(df, ["x", "y"]).first()[0] == 2 and V.duplicate_rows(df.limit(0), ["x", "y"]).first()[0] == 0
+
+
 def test_corrupted_fifth_is_refused(spark):
     rows = clean(500)
     bad = [dict(r) for r in rows[:100]]
