@@ -56,6 +56,18 @@ def leaf_sql(value: str) -> str:
     return f"CASE WHEN {value} IS NULL OR isnan({value}) THEN NULL WHEN {value} >= 0 OR {magnitude} = 0 THEN {HALF} + {magnitude} ELSE {HALF - 1} - {magnitude} END"
 
 
+def with_leaf(df: DataFrame) -> DataFrame:
+    """``df`` with ``_leaf``, the leaf of its column ``value`` as in :func:`leaf_sql`, each power and logarithm worked out once."""
+    low, high = 2.0**EXPONENT_LOW, 2.0 ** (EXPONENT_LOW + EXPONENT_COUNT)
+    steps = df.withColumn("_a", F.abs("value")).withColumn("_e", F.floor(F.log2(F.when((F.col("_a") >= low) & (F.col("_a") < high), F.col("_a"))))).withColumn("_m", F.col("_a") / F.pow(F.lit(2.0), F.col("_e")))
+    # the logarithm may be off by one beside a power of two: the mantissa must lie in [1, 2)
+    steps = steps.withColumn("_s", F.when(F.col("_m") < 1, -1).when(F.col("_m") >= 2, 1).otherwise(0))
+    mantissa = F.when(F.col("_s") < 0, F.col("_m") * 2).when(F.col("_s") > 0, F.col("_m") / 2).otherwise(F.col("_m"))
+    inner = (F.col("_e") + F.col("_s") - EXPONENT_LOW) * (1 << MANTISSA_BITS) + F.floor((mantissa - 1) * (1 << MANTISSA_BITS))
+    steps = steps.withColumn("_g", F.when(F.col("_a") < low, F.lit(0)).when(F.col("_a") >= high, F.lit(HALF - 1)).otherwise(inner).cast("bigint"))
+    return steps.withColumn("_leaf", F.when((F.col("value") >= 0) | (F.col("_g") == 0), F.col("_g") + HALF).otherwise(F.lit(HALF - 1) - F.col("_g"))).drop("_a", "_e", "_m", "_s", "_g")
+
+
 def leaf_value(leaf: np.ndarray) -> np.ndarray:
     """The value reported for leaves: the end of each nearest to zero; infinite for the outermost."""
     leaf = leaf.astype(np.int64)
@@ -174,8 +186,8 @@ def digests(df: DataFrame, by: Sequence[str], columns: Sequence[str], error: flo
     keys = [F.col(c).alias(f"_b{i}") for i, c in enumerate(by)]
     values = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns])
     long = df.select(*keys, F.explode(values).alias("_v")).select(*[f"_b{i}" for i in range(len(by))], "_v.column_name", "_v.value")
-    leaves = long.select(*[f"_b{i}" for i in range(len(by))], "column_name", (F.expr(leaf_sql("value")) + F.lit(1 << LEVELS)).cast("bigint").alias("node")).where(F.col("node").isNotNull())
     inner = [*[f"_b{i}" for i in range(len(by))], "column_name"]
+    leaves = with_leaf(long.where("value is not null and not isnan(value)")).select(*inner, (F.col("_leaf") + F.lit(1 << LEVELS)).alias("node"))
     counted = leaves.groupBy(*inner, "node").agg(F.count(F.lit(1)).alias("count"))
     return _digest(counted, inner, error).toDF(*by, "column_name", "n", "digest")
 
