@@ -68,6 +68,7 @@ OPENERS = set(
 )
 #: Words that rarely end a line unless it was wrapped.
 LINE_BREAKERS = set("the a an of in on at for by with to from and or was is were as that this no our my el la los las de del en un una y o con por para le les des du et à der die das den dem und im am zu mit von в на и с от по из за к w z do i na o od".split())
+ARTICLES = set("el la los las un una le les une des il der die das ein eine".split())
 PREPOSITIONS = {"an", "am", "as", "if", "in", "on", "at", "for", "with", "was", "is", "are", "im", "en", "des", "se"}
 #: Words that carry a statement on after a quotation or an ellipsis.
 CONTINUERS = set(
@@ -129,7 +130,7 @@ def _blocks(text: str) -> Iterator[tuple[int, int]]:
     fitting = [full(a, b) for a, b in inner]
     wrapped = bool(inner) and 40 <= width <= 110 and sum(fitting) >= 0.8 * len(fitting)
     if wrapped and len(fitting) < 3:
-        wrapped = all(_soft(text, a, b) for a, b in inner)
+        wrapped = sum(_softness(text, a, b) for a, b in inner) >= 1
     for lines in lines_of:
         if not lines:
             continue
@@ -141,18 +142,18 @@ def _blocks(text: str) -> Iterator[tuple[int, int]]:
         yield begin, lines[-1][1]
 
 
-def _soft(text: str, a: tuple[int, int], b: tuple[int, int]) -> bool:
-    """Whether a line break, taken alone, looks like one inside a running sentence."""
+def _softness(text: str, a: tuple[int, int], b: tuple[int, int]) -> int:
+    """How much a line break, taken alone, looks like one inside a running sentence; 0 behind an end mark, which decides itself."""
     left, right = text[a[0] : a[1]].rstrip(), text[b[0] : b[1]].lstrip()
     if left[-1] in _TERMINAL or left[-1] in "\"”»)」』）":
-        return True  # the end marks decide
+        return 0
     size, last, first = len(left), left.split()[-1].lower(), right.split()[0]
     plain = first.lower().rstrip(",.")
     score = 1 if 52 <= size <= 82 else -1
     score += 2 if last in LINE_BREAKERS or last[-1] in ",;:-" else 0
-    score += 1 if first[:1].islower() and plain not in OPENERS else -1 if plain in OPENERS else 0
-    score -= 1 if left.lstrip()[:1].islower() else 0
-    return score >= 1
+    score += 1 if first[:1].islower() and plain not in OPENERS else -1 if plain in OPENERS and len(plain) > 1 else 0
+    score -= 1 if text[: a[0]].strip() == "" and left.lstrip()[:1].islower() else 0
+    return score
 
 
 def _prefix_quotes(text: str, start: int, end: int) -> tuple[list[int], list[tuple[int, int, int, int]]]:
@@ -204,6 +205,8 @@ def _end_score(text: str, start: int, end: int, mark: int, stop: int) -> float:
     cluster = text[mark:stop]
     nxt, low = _next_word(text, stop, end)
     bare = nxt.lstrip("\"'“”«»„(（[¿¡「『‘")
+    if nxt and not bare:  # an opening quote set apart
+        bare, low = _next_word(text, text.index(nxt, stop) + len(nxt), end)
     opened = len(nxt) > len(bare)
     gap = stop < end and text[stop].isspace()
     first = bare[:1]
@@ -316,7 +319,7 @@ def _end_score(text: str, start: int, end: int, mark: int, stop: int) -> float:
         if not cased and first:
             return 1.0 if ord(first) > 0x2E7F else -1.0
         if first.islower():
-            return -3.5 if not (opener and word not in CONTINUERS and word not in PREPOSITIONS and _lower_style(text, start, mark)) else 0.3
+            return -3.5 if not (opener and word not in CONTINUERS and word not in PREPOSITIONS and (word not in ARTICLES or _lower_style(text, start, mark))) else 0.3
         if token[:1].isupper() and dotted in {"min", "str"} and not opener:
             return -2.0
         return 1.8 if opener else 1.0
