@@ -69,8 +69,8 @@ def mix(items: DataFrame, targets: DataFrame, size: str, place: Column, source:
     got = chosen.groupBy("source").agg(F.sum(F.col("size") * F.col("repeats")).alias("chosen_size"), F.count(F.lit(1)).alias("chosen_records"), F.max("repeats").alias("most_repeats"))
     asked = spark.createDataFrame([(s, float(w), r, totals.get(s, (0, 0))[0], totals.get(s, (0, 0))[1]) for s, (w, r) in wanted.items()], "source string, target_share double, max_repeats int, available_size bigint, available_records bigint")
     shares = asked.join(got, "source", "left").fillna(0, ["chosen_size", "chosen_records", "most_repeats"])
-    all_of = shares.agg(F.sum("chosen_size").alias("_all"))
-    return chosen, shares.crossJoin(F.broadcast(all_of)).withColumn("actual_share", F.when(F.col("_all") > 0, F.col("chosen_size") / F.col("_all")).otherwise(0.0)).drop("_all")
+    all_of = F.sum("chosen_size").over(Window.partitionBy(F.lit(1)))  # a row per target source
+    return chosen, shares.withColumn("actual_share", F.when(all_of > 0, F.col("chosen_size") / all_of).otherwise(0.0))
 
 
 def _thresholds(base: DataFrame, budgets: dict[str, Fraction]) -> dict[str, int]:

@@ -10,7 +10,9 @@ item; no other item is split.
 
 The containers that are still open when a task ends are themselves items for a
 second, far smaller pass: at most ``open_bins`` per task and capacity, grouped by
-a bounded number of tasks and packed best-fit decreasing.
+a bounded number of tasks and packed best-fit decreasing. A task writes an item's
+row when its container closes, so only the rows of containers that stayed open
+are joined with their new containers; all others are never shuffled.
 """
 
 from __future__ import annotations
@@ -27,6 +29,12 @@ from quietfare.llm import tokens as T
 from quietfare.session import cut
 
 
+#: States of a packed row: its container is closed, was open when the row was written, or the row is a container still open at the end.
+CLOSED, OPEN, STILL = 0, 1, 2
+#: Rows of one open container that a task holds back at most.
+HELD_ROWS = 10_000
+
+
 class BestFit:
     """Open containers of one capacity, at most ``open_bins`` at a time."""
 
@@ -38,6 +46,7 @@ class BestFit:
         self.bits = 0
         self.by_free: dict[int, list[int]] = defaultdict(list)
         self.count = 0
+        self.closed: list[int] = []  # containers closed since the caller last emptied this list
 
     def _take(self, free: int) -> int:
         ids = self.by_free[free]
@@ -60,20 +69,24 @@ class BestFit:
             container = self._take(free)
         else:
             if self.count >= self.open_bins:
-                self._take((self.bits & -self.bits).bit_length() - 1)
+                self.closed.append(self._take((self.bits & -self.bits).bit_length() - 1))
             free, container = self.capacity, self._new()
         left = free - size
         if left:
             self.by_free[left].append(container)
             self.bits |= 1 << left
             self.count += 1
+        else:
+            self.closed.append(container)
         return container
 
     def add(self, size: int) -> Iterator[tuple[int, int, int, int]]:
         """(piece, container, start, length) of an item of any size."""
         piece = start = 0
         while size - start > self.capacity:
-            yield piece, self._new(), start, self.capacity
+            full = self._new()
+            self.closed.append(full)
+            yield piece, full, start, self.capacity
             piece, start = piece + 1, start + self.capacity
         yield piece, self.place(size - start), start, size - start
 
@@ -114,20 +127,27 @@ def pack(
         tokens = None if counted else T.counter(path)
         task = TaskContext.get().partitionId()
         packers = {c: BestFit(v, open_bins, task << 40) for c, v in caps.items()}
+        held: dict[int, dict[int, list[tuple]]] = {c: defaultdict(list) for c in caps}
         for batch in batches:
             sizes = batch.what.fillna(0).clip(lower=0).astype("int64") if counted else [tokens(t) for t in batch.what]
-            rows = [
-                (c, container, i, piece, start, length, task, False)
-                for i, s in zip(batch.item.astype(object), sizes, strict=True)
-                for c, packer in packers.items()
-                for piece, container, start, length in packer.add(int(s))
-            ]
+            rows: list[tuple] = []
+            for i, s in zip(batch.item.astype(object), sizes, strict=True):
+                for c, packer in packers.items():
+                    mine = held[c]
+                    for piece, container, start, length in packer.add(int(s)):
+                        mine[container].append((c, container, i, piece, start, length, task, CLOSED))
+                        if len(mine[container]) > HELD_ROWS:  # many empty items: let them go, marked as open
+                            rows += [(*r[:-1], OPEN) for r in mine.pop(container)]
+                    for container in packer.closed:
+                        rows += mine.pop(container, [])
+                    packer.closed.clear()
             yield pd.DataFrame(rows, columns=columns)
-        rows = [(c, container, None, None, None, used, task, True) for c, packer in packers.items() for container, used in packer.still_open()]
+        rows = [(c, container, None, None, None, used, task, STILL) for c, packer in packers.items() for container, used in packer.still_open()]
+        rows += [(*r[:-1], OPEN) for mine in held.values() for of in mine.values() for r in of]
         yield pd.DataFrame(rows, columns=columns).astype({"item": object, "piece": object, "start": object})
 
-    columns = ["capacity_id", "container_id", "item", "piece", "start", "size", "task", "open"]
-    placed = cut(source.mapInPandas(run, f"capacity_id int, container_id bigint, item {kind}, piece bigint, start bigint, size bigint, task int, open boolean"))
+    columns = ["capacity_id", "container_id", "item", "piece", "start", "size", "task", "state"]
+    placed = cut(source.mapInPandas(run, f"capacity_id int, container_id bigint, item {kind}, piece bigint, start bigint, size bigint, task int, state int"))
 
     def again(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         capacity = caps[int(key[0])]
@@ -139,12 +159,11 @@ def pack(
             out.append((int(key[0]), container, first.setdefault(slot, container)))
         return pd.DataFrame(out, columns=["capacity_id", "container_id", "merged_id"])
 
-    rest = placed.where("open").withColumn("part", F.floor(F.col("task") / tasks_per_group))
+    rest = placed.where(F.col("state") == STILL).withColumn("part", F.floor(F.col("task") / tasks_per_group))
     merged = rest.groupBy("capacity_id", "part").applyInPandas(again, "capacity_id int, container_id bigint, merged_id bigint")
-    return (
-        placed.where("not open").join(merged, ["capacity_id", "container_id"], "left")
-        .select("capacity_id", F.coalesce("merged_id", "container_id").alias("container_id"), F.col("item").alias(item), F.col("piece").cast("int"), "start", "size")
-    )
+    moved = placed.where(F.col("state") == OPEN).join(merged, ["capacity_id", "container_id"], "left").withColumn("container_id", F.coalesce("merged_id", "container_id"))
+    out = placed.where(F.col("state") == CLOSED).unionByName(moved.select(placed.columns))
+    return out.select("capacity_id", "container_id", F.col("item").alias(item), F.col("piece").cast("int"), "start", "size")
 
 
 def fill_report(packed: DataFrame, capacities: Mapping[int, int]) -> DataFrame:
