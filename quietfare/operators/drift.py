@@ -41,7 +41,7 @@ APPROVED: dict[str, tuple[str, str]] = {
     ),
 }
 
-NUMBER_TYPES = r"^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)"
+NUMBER_TYPES = ("BIG", "INT", "SMA", "TIN", "DOU", "FLO", "DEC")
 
 
 def path_words(path: Column) -> Column:
@@ -86,19 +86,29 @@ def with_leaves(rows: DataFrame, payload: str = "payload", name: str = "_leaves"
     return parsed.withColumn(name, F.expr(leaves_sql("_parsed"))).drop("_parsed")
 
 
-def json_kind(value: str = "value") -> Column:
-    """JSON type of a variant: number, string, boolean, null, object or array."""
-    kind = F.expr(f"schema_of_variant({value})")
+def json_kind(short: Column) -> Column:
+    """JSON type from the first three letters of a variant's schema: number, string, boolean, null, object or array."""
     return (
-        F.when(kind.rlike(NUMBER_TYPES), "number").when(kind == "STRING", "string").when(kind == "BOOLEAN", "boolean")
-        .when(kind == "VOID", "null").when(kind.startswith("OBJECT"), "object").otherwise("array")
+        F.when(short.isin(*NUMBER_TYPES), "number").when(short == "STR", "string").when(short == "BOO", "boolean")
+        .when(short == "VOI", "null").when(short == "OBJ", "object").otherwise("array")
     )
 
 
 def key_inventory(rows: DataFrame, by: str = "file_id", payload: str = "payload") -> DataFrame:
-    """``by``, ``key``, ``kind``, ``n``: how often each key path occurs with each JSON type. Mergeable by addition."""
-    leaves = with_leaves(rows.select(by, payload), payload).select(by, F.explode("_leaves").alias("_leaf"))
-    return leaves.select(by, F.col("_leaf.key").alias("key"), json_kind("_leaf.value").alias("kind")).groupBy(by, "key", "kind").agg(F.count(F.lit(1)).alias("n"))
+    """``by``, ``key``, ``kind``, ``n``: how often each key path occurs with each JSON type. Mergeable by addition.
+
+    The object's members are exploded level by level (outer, so that the parse
+    isn't repeated in a filter), and paths and types are only worked out on the
+    counted combinations.
+    """
+    kind = lambda v: F.substring(F.expr(f"schema_of_variant({v})"), 1, 3)
+    opened = rows.select(F.col(by).alias("_by"), F.explode_outer(F.expr(f"try_cast(try_parse_json({payload}) as map<string,variant>)")).alias("k0", "v0")).withColumn("t0", kind("v0"))
+    for i in (0, 1):
+        inner = F.expr(f"case when t{i} = 'OBJ' then try_cast(v{i} as map<string,variant>) end")
+        opened = opened.select("_by", *[f"k{j}" for j in range(i + 1)], *[f"t{j}" for j in range(i + 1)], F.explode_outer(inner).alias(f"k{i + 1}", f"v{i + 1}")).withColumn(f"t{i + 1}", kind(f"v{i + 1}"))
+    counted = opened.groupBy("_by", "k0", "k1", "k2", "t0", "t1", "t2").agg(F.count(F.lit(1)).alias("n")).where("k0 is not null")
+    path = F.concat_ws(".", "k0", "k1", "k2")
+    return counted.select(F.col("_by").alias(by), path.alias("key"), json_kind(F.coalesce("t2", "t1", "t0")).alias("kind"), "n").groupBy(by, "key", "kind").agg(F.sum("n").alias("n"))
 
 
 def field_states(rows: DataFrame, approved: Mapping[str, tuple[str, str]] = APPROVED, by: str = "file_id", payload: str = "payload") -> DataFrame:
@@ -108,7 +118,9 @@ def field_states(rows: DataFrame, approved: Mapping[str, tuple[str, str]] = APPR
     null has no kind. A few rows per file, whatever the file's size: the key
     counts are partially aggregated beside the scan.
     """
-    carried = key_inventory(rows, by, payload).withColumn("field", carried_field(F.col("key"), approved)).where(F.col("field").isNotNull())
+    # tied to the count, so that the filter isn't pushed below the aggregate and tried on every leaf of every record
+    field = F.when(F.col("n") > 0, carried_field(F.col("key"), approved))
+    carried = key_inventory(rows, by, payload).withColumn("field", field).where(F.col("field").isNotNull())
     per_kind = carried.groupBy(by, "field", "kind").agg(F.sum("n").alias("n"), F.collect_set("key").alias("keys"))
     value_kind = F.col("kind").isin("number", "string", "boolean")
     return per_kind.groupBy(by, "field").agg(
