@@ -166,7 +166,7 @@ def profile_states(df: DataFrame, by: Sequence[str], patterns: Mapping[str, str]
     ``rows``, ``nulls``, ``nans``, ``malformed`` (numbers: negative or not
     finite; text: not the declared pattern; times: none), ``min_num``,
     ``max_num``, ``sum_num`` (finite numbers; times as seconds), ``min_txt``,
-    ``max_txt``, ``distinct_state`` (HyperLogLog) and ``quantile_state`` (KLL over
+    ``max_txt`` (text), ``distinct_state`` (HyperLogLog of the values' hashes) and ``quantile_state`` (KLL over
     finite numbers). Array, map and struct columns are counted by their text.
     """
     entries = []
@@ -176,20 +176,22 @@ def profile_states(df: DataFrame, by: Sequence[str], patterns: Mapping[str, str]
         c = F.col(f"`{f.name}`")
         numeric, timed = isinstance(f.dataType, T.NumericType), isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))
         number = c.cast("double") if numeric else F.unix_micros(c.cast("timestamp")) / 1e6 if timed else F.lit(None).cast("double")
-        text = c.cast("string") if isinstance(f.dataType, (T.AtomicType,)) else F.to_json(F.struct(c))
+        text = F.lit(None).cast("string") if numeric or timed else c.cast("string") if isinstance(f.dataType, T.AtomicType) else F.to_json(F.struct(c))
         if numeric:
             wrong = F.isnan(number) | (number < 0) | (number == float("inf"))
         elif f.name in patterns:
             wrong = ~c.rlike(patterns[f.name])
         else:
             wrong = F.lit(False)
-        entries.append(F.struct(F.lit(f.name).alias("column_name"), number.alias("num"), F.when(c.isNotNull(), text).alias("txt"), F.when(c.isNotNull(), wrong).alias("wrong")))
+        entries.append(F.struct(F.lit(f.name).alias("column_name"), number.alias("num"), text.alias("txt"), F.when(c.isNotNull(), wrong).alias("wrong")))
     fit = F.when(~F.isnan("num") & (F.abs("num") != float("inf")), F.col("num"))
     long = df.select(*by, F.explode(F.array(*entries)).alias("_e")).select(*by, "_e.*")
+    there = F.col("wrong").isNotNull()
+    key = F.when(there, F.xxhash64("num", "txt"))  # distinct values are told apart by their hashes
     return long.groupBy(*by, "column_name").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("txt").isNull()).alias("nulls"), F.count_if(F.isnan("num")).alias("nans"),
+        F.count(F.lit(1)).alias("rows"), F.count_if(~there).alias("nulls"), F.count_if(F.isnan("num")).alias("nans"),
         F.count_if("wrong").alias("malformed"), F.min(fit).alias("min_num"), F.max(fit).alias("max_num"), F.sum(fit).alias("sum_num"),
-        F.min("txt").alias("min_txt"), F.max("txt").alias("max_txt"), F.hll_sketch_agg("txt", lg_k).alias("distinct_state"),
+        F.min("txt").alias("min_txt"), F.max("txt").alias("max_txt"), F.hll_sketch_agg(key, lg_k).alias("distinct_state"),
         F.kll_sketch_agg_double(fit).alias("quantile_state"),
     )
 

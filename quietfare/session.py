@@ -40,3 +40,17 @@ def cut(df: DataFrame) -> DataFrame:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quietfare-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as there are cores, for costly work per row.
+
+    A small table often is one file of one row group, which a single task would
+    read and work on. Only a plain scan of fewer partitions than cores is
+    shuffled; larger tables and plans with a shuffle of their own stay as they are.
+    """
+    execution = df._jdf.queryExecution()
+    if "Exchange" in execution.executedPlan().toString():
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if execution.toRdd().getNumPartitions() < cores else df

@@ -81,3 +81,13 @@ def test_stream(spark, tmp_path):
     q = windowed_cells(stream, "ts", ["zone"]).writeStream.format("memory").queryName("cells").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert [(r.zone, r.trip_count) for r in spark.table("cells").collect()] == [("a", 6)]
+
+
+def test_spread_reaches_the_cores_once(spark, tmp_path):
+    from quietfare.session import spread
+
+    spark.range(10).coalesce(1).write.parquet(str(tmp_path / "one"))
+    one = spark.read.parquet(str(tmp_path / "one"))
+    assert one.rdd.getNumPartitions() == 1 and spread(one).rdd.getNumPartitions() == 4
+    many = spark.range(10).repartition(9)
+    assert spread(many) is many and spread(one).count() == 10
