@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quietfare.session import spread
+
 TYPES = ("EMAIL_ADDRESS", "VEHICLE_VIN", "CREDIT_CARD", "ID_NUMBER", "TLC_LICENSE", "PHONE_NUMBER", "NY_PLATE", "LOCATION", "PERSON")
 
 # Word lists of the anchors.
@@ -491,7 +493,8 @@ def personal_spans(df: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame
     """``keep``, ``start_char``, ``end_char``, ``entity_type``: a row per personal value of each row's whole text.
 
     Only ``keep`` and the text are read, and only rows with a non-empty text
-    reach Python; there is no shuffle. Repeated rows give repeated results.
+    reach Python; there is no shuffle, but for a table of fewer partitions than
+    cores. Repeated rows give repeated results.
     """
     spans = "array<struct<start_char:int,end_char:int,entity_type:string>>"
 
@@ -500,7 +503,7 @@ def personal_spans(df: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame
         for texts in batches:
             yield pd.Series([[{"start_char": a, "end_char": b, "entity_type": k} for a, b, k in find_spans(t)] for t in texts], dtype=object)
 
-    found = df.select(*keep, F.col(text).alias("_text")).where(F.length("_text") > 0).select(*keep, find("_text").alias("_found"))
+    found = spread(df.select(*keep, F.col(text).alias("_text")).where(F.length("_text") > 0)).select(*keep, find("_text").alias("_found"))
     return found.select(*keep, F.explode("_found").alias("_s")).select(*keep, "_s.*")
 
 

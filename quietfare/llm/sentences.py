@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quietfare.session import spread
+
 LOOK_BACK = 48
 UNBALANCED = -3.2
 
@@ -97,6 +99,15 @@ _SPACE = re.compile(r"\s+")
 _LIST = re.compile(r"\s*(?:[-*•–—·▪◦‣○●]|\(?\d{1,3}[.)]|\(?[a-zA-Z][.)]|#{1,6}|>+)(?:\s+|$)")
 _HEAD = re.compile(r"\s*#{1,6}\s")
 _BLANK = re.compile(r"(?:\r\n|[\n\r\x0b\x0c  ])[^\S\n]*(?:(?:\r\n|[\n\r\x0b\x0c  ])[^\S\n]*)+")
+_NONBLANK = re.compile(r"\S+")
+_LEAD = re.compile(r"\S+\s+(\S)")
+_GLUED = re.compile(r"\w{2,}[)\]\"”»]*[.!?…]+([A-ZÀ-ÞА-ЯЁ][^\W\d_]*)$|[!?…؟۔।。！？]+[)\]\"”»]*([^\W\d_]+)$")
+_IS_EMOJI = re.compile(_EMOJI)
+_DOTS = re.compile(r"\s*[.…]")
+_NUMBER = re.compile(r"[\d.:/-]*\d")
+_LETTER = re.compile(r"[^\W\d_]")
+_AN_INITIAL = re.compile(r"\s*[^\W\d_]\.")
+_QUOTES = re.compile(r"[()（）\[\]【】「」『』«»„“”\"《》＂]")
 _LINE = re.compile(r"\r\n|[\n\r\x0b\x0c  \x85]")
 _WORD = re.compile(r"\w[\w'’.-]*")
 _PAIRS = {"(": 0, "（": 0, "[": 0, "【": 0, "「": 1, "『": 1, "«": 1, "„": 2, "《": 1, ")": 0, "）": 0, "]": 0, "】": 0, "」": 1, "』": 1, "»": 1, "》": 1}
@@ -160,8 +171,8 @@ def _prefix_quotes(text: str, start: int, end: int) -> tuple[list[int], list[tup
     """Places of quotes and brackets in a block, and the running (brackets, quotes, low quotes, straight quotes) after each."""
     places, states = [], []
     bracket = quote = low = straight = 0
-    for m in re.finditer(r"[()（）\[\]【】「」『』«»„“”\"《》＂]", text[start:end]):
-        c, i = m.group(), start + m.start()
+    for m in _QUOTES.finditer(text, start, end):
+        c, i = m.group(), m.start()
         if c in '"＂':
             straight ^= 1
         elif c == "“":
@@ -192,8 +203,11 @@ def _prefix_quotes(text: str, start: int, end: int) -> tuple[list[int], list[tup
 
 def _next_word(text: str, at: int, end: int) -> tuple[str, str]:
     """The rest of the block's next word behind ``at`` and its lower-case form."""
-    m = re.compile(r"\S+").search(text, at, min(end, at + 80))
-    return (m.group(), m.group().lower()) if m else ("", "")
+    m = _NONBLANK.search(text, at, min(end, at + 80))
+    if not m:
+        return "", ""
+    word = m.group()
+    return word, word.lower()
 
 
 def _is_cased(c: str) -> bool:
@@ -216,15 +230,19 @@ def _end_score(text: str, start: int, end: int, mark: int, stop: int) -> float:
         first = first.upper()  # a name such as iCab
     upper = first.isupper() or first.isdigit()
     cased = bool(first) and _is_cased(first)
-    second = re.match(r"\S+\s+(\S)", text[stop:end].lstrip())
-    lower_name = first.islower() and second is not None and second.group(1).isupper() and word.isalpha() and word not in CONTINUERS
-    before = re.search(r"(\S+)$", text[max(start, mark - 40) : mark])
-    token = before.group(1) if before else ""
+    second = None
+    lower_name = False
+    if first.islower():
+        rest = _NONBLANK.search(text, stop, end)
+        second = _LEAD.match(text, rest.start(), end) if rest else None
+        lower_name = second is not None and second.group(1).isupper() and word.isalpha() and word not in CONTINUERS
+    before = text[max(start, mark - 40) : mark]
+    token = before.split()[-1] if before and not before[-1].isspace() else ""
     stem = token.lower().lstrip("\"'“«„(（[¿¡")
-    glued = re.search(r"\w{2,}[)\]\"”»]*[.!?…]+([A-ZÀ-ÞА-ЯЁ][^\W\d_]*)$|[!?…؟۔।。！？]+[)\]\"”»]*([^\W\d_]+)$", token)
+    glued = _GLUED.search(token)
     if glued:
         stem = (glued.group(1) or glued.group(2)).lower()
-    if any(stem.endswith(x) and len(stem) > len(x) for x in ("str", "straße", "allee")):
+    if len(stem) > 3 and stem.endswith(("str", "straße", "allee")):
         stem = "str"
     closes = any(c in "\"”»」』’“＂" for c in cluster.strip())
     if stop >= end:
@@ -233,7 +251,7 @@ def _end_score(text: str, start: int, end: int, mark: int, stop: int) -> float:
         return -9.0
     # an ellipsis carries on unless something clearly begins
     if "…" in cluster or "..." in cluster or text[max(start, mark - 1) : mark] == "…":
-        if re.match(r"\s*[.…]", text[stop:end]):
+        if _DOTS.match(text, stop, end):
             return -9.0
         if not cased and first:
             if ord(first) >= 0x2E80:
@@ -261,7 +279,7 @@ def _end_score(text: str, start: int, end: int, mark: int, stop: int) -> float:
         return -6.0
     if cluster[0] not in ".．":
         # emoji or a bare closing quote without an end mark
-        if re.match(_EMOJI, cluster):
+        if _IS_EMOJI.match(cluster):
             return 1.0 if (upper or opener or lower_name or (first and not cased)) else -1.0
         return _thai_gap(text, start, stop, end, low) if _THAI.search(token[-3:] or "") or _THAI.search(first) else -6.0
     # a full stop
@@ -270,14 +288,14 @@ def _end_score(text: str, start: int, end: int, mark: int, stop: int) -> float:
     if token and (_THAI.match(token[-1]) or "ऀ" <= token[-1] <= "෿"):
         return -6.0
     closed = any(c in ")]）】" for c in cluster)
-    if not gap and not closed and not re.search(_EMOJI, cluster):
+    if not gap and not closed and not _IS_EMOJI.search(cluster):
         if token[-1:].isdigit() or first.isdigit():
             return -9.0
         if first.isascii() and first.islower():
             return -9.0
         if "." in token and len(token) < 6:
             return -6.0
-    if re.fullmatch(r"[\d.:/-]*\d", stem):
+    if _NUMBER.fullmatch(stem):
         if start == _line_start(text, start, mark - len(token)) and len(stem) <= 3:
             return -9.0
         prior = re.search(r"(\S+)\s+$", text[max(start, mark - len(token) - 24) : mark - len(token)])
@@ -293,8 +311,8 @@ def _end_score(text: str, start: int, end: int, mark: int, stop: int) -> float:
         token = token[-len(dotted) :]
     if dotted in TITLES_BEFORE_NAMES and word.rstrip(".") in TITLES_BEFORE_NAMES and word.endswith("."):
         return -6.0
-    if re.fullmatch(r"[^\W\d_]", dotted) and token[-1:].isalpha():
-        if re.match(r"\s*[^\W\d_]\.", text[stop:end]) and first.isupper():
+    if _LETTER.fullmatch(dotted) and token[-1:].isalpha():
+        if _AN_INITIAL.match(text, stop, end) and first.isupper():
             return -6.0
         # an initial, or a one-letter abbreviation
         if dotted in {"m", "a"} and re.search(r"\b[ap]\.\s?$|\b[ap]\.$", text[max(start, mark - 5) : mark - 1].lower() + "") and text[mark - 1].lower() == "m":
@@ -495,7 +513,7 @@ def split_sentences(df: DataFrame, text: str = "text", keep: tuple[str, ...] = (
     """``keep``, ``start_char``, ``end_char``: a row per sentence unit of each row's whole text.
 
     Offsets count code points. Only ``keep`` and the text are read; nothing is
-    shuffled. Repeated rows give repeated results; null, empty and blank texts
+    shuffled, but for a table of fewer partitions than cores. Repeated rows give repeated results; null, empty and blank texts
     give none.
     """
 
@@ -504,5 +522,5 @@ def split_sentences(df: DataFrame, text: str = "text", keep: tuple[str, ...] = (
         for texts in batches:
             yield pd.Series([[{"start_char": a, "end_char": b} for a, b in sentence_units(t)] for t in texts], dtype=object)
 
-    found = df.select(*keep, F.col(text).alias("_text")).where(F.length("_text") > 0).select(*keep, split("_text").alias("_found"))
+    found = spread(df.select(*keep, F.col(text).alias("_text")).where(F.length("_text") > 0)).select(*keep, split("_text").alias("_found"))
     return found.select(*keep, F.explode("_found").alias("_s")).select(*keep, "_s.*")

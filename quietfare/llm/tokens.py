@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quietfare.session import spread
+
 #: Folder of the vocabulary files; pass another as a parameter where it lies elsewhere.
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -44,4 +46,4 @@ def with_token_counts(df: DataFrame, text: str = "text", name: str = "tokens", f
         for texts in batches:
             yield pd.Series([tokens(t) for t in texts], dtype="int64")
 
-    return df.withColumn(name, count(F.col(text)))
+    return spread(df).withColumn(name, count(F.col(text)))
