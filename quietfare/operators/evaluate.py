@@ -39,3 +39,8 @@ def scores(counts: DataFrame) -> DataFrame:
     return total.select(
         "entity", "tp", "fp", "fn", F.round(ratio(tp, tp + fp), 4).alias("precision"), F.round(ratio(tp, tp + fn), 4).alias("recall"), F.round(ratio(2 * tp, 2 * tp + fp + fn), 4).alias("f1")
     )
+
+
+def meets_targets(scored: DataFrame, recall: float = 0.95, precision: float = 0.90) -> DataFrame:
+    """One row: whether the overall scores reach their targets."""
+    return scored.where("entity = 'overall'").select("precision", "recall", ((F.col("recall") >= recall) & (F.col("precision") >= precision)).alias("passed"))

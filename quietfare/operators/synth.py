@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quietfare.functions.hashing import hash_sample
+from quietfare.schemas import SPANS
+
 GIVEN = ["Ada", "Bruno", "Carla", "Dario", "Edda", "Felix", "Gina", "Hugo", "Irma", "Jarek", "Kira", "Lothar"]
 FAMILY = ["Abend", "Birke", "Conrad", "Dorn", "Eller", "Falk", "Gerke", "Hain", "Imhof", "Jansen", "Kolb", "Linde"]
 PLACES = ["Alder", "Birch", "Cedar", "Dogwood", "Elm", "Fir"]
@@ -51,6 +54,32 @@ def identities(df: DataFrame, key: str, seed: int = 4242, riders: int = 1000, dr
     }).drop("_r", "_d")
 
 
+def heldout_notes(df: DataFrame, key: str, seed: int = 2026, pii_share: float = 0.7) -> DataFrame:
+    """Notes in formats that the note recognizers don't know, to measure what they miss: key, ``support_note``, ``gold``."""
+    k = F.col(key)
+    number = lambda p, low, high: whole(k, seed, p, low, high).cast("string")
+    vin = lambda n, p: _letters(k, seed, p, "ABCDEFGHJKLMNPRSTUVWXYZ0123456789", n)
+    values = {
+        "PHONE_NUMBER": F.concat_ws("/", number("a", 200, 989), number("b", 200, 989), F.lpad(number("c", 0, 10_000), 4, "0")),
+        "CREDIT_CARD": F.concat(F.lit("•••• "), F.lpad(number("card", 0, 10_000), 4, "0")),
+        "NY_PLATE": F.concat_ws(" ", _letters(k, seed, "np", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", 3), number("pn", 1000, 10_000)),
+        "VEHICLE_VIN": F.concat_ws(" ", vin(5, "v1"), vin(6, "v2"), vin(6, "v3")),
+        "LOCATION": F.concat(number("house", 1, 900), F.lit(" 5th Avenue")),
+    }
+    templates = [("They left the number ", "PHONE_NUMBER", " with us."), ("Charged to ", "CREDIT_CARD", " again."), ("The car, ", "NY_PLATE", ", was double parked."), ("Inspection lists ", "VEHICLE_VIN", "."), ("Dropped at ", "LOCATION", " by mistake.")]
+    decoys = [F.concat(F.lit("Order "), number("o", 100, 999), F.lit(" was refunded.")), F.lit("Driver was polite and on time.")]
+    return _written(df.select(key), k, seed, values, templates, decoys, pii_share)
+
+
+def dev_slice(df: DataFrame, key: str, order: list[str], n: int, seed: int = 4242) -> tuple[DataFrame, DataFrame]:
+    """(rows, labels): the ``n`` rows of a stable hash sample with synthetic identities and notes, and a row per gold span."""
+    sample = identities(hash_sample(df, order, n, key), key, seed)
+    written = notes(sample, key, seed)
+    labels = written.select(key, F.col("support_note").alias("_t"), F.explode("gold").alias("s"))
+    value = F.substring(F.col("_t"), F.col("s.start") + 1, F.col("s.end") - F.col("s.start"))
+    return sample.drop("support_note").join(written.select(key, "support_note"), key, "left"), labels.select(key, "s.entity_type", "s.start", "s.end", F.sha2(value, 256).alias("value_hash"))
+
+
 def notes(df: DataFrame, key: str, seed: int = 4242, rate: float = 0.02, pii_share: float = 0.75) -> DataFrame:
     """Notes for a share of the rows: key, ``support_note`` and ``gold``, the spans of the personal values that were put in.
 
@@ -73,11 +102,16 @@ def notes(df: DataFrame, key: str, seed: int = 4242, rate: float = 0.02, pii_sha
     ]
     decoys = [F.concat(F.lit("Confirmation number "), whole(k, seed, "d1", 1_000_000, 10_000_000).cast("string"), F.lit(" issued.")), F.concat(F.lit("Fare of $"), whole(k, seed, "d2", 5, 99).cast("string"), F.lit(" checked and kept."))]
 
+    return _written(chosen, k, seed, values, templates, decoys, pii_share)
+
+
+def _written(chosen: DataFrame, k: Column, seed: int, values: dict[str, Column], templates: list[tuple[str, str, str]], decoys: list[Column], pii_share: float) -> DataFrame:
+    """The chosen rows with a template's note and the span of its value, or a decoy."""
+
     def note(before: str, kind: str, after: str) -> Column:
         span = F.struct(F.lit(kind).alias("entity_type"), F.lit(len(before)).alias("start"), (F.lit(len(before)) + F.length(values[kind])).alias("end"), F.lit(1.0).alias("score"))
-        return F.struct(F.concat(F.lit(before), values[kind], F.lit(after)).alias("support_note"), F.array(span).alias("gold"))
+        return F.struct(F.concat(F.lit(before), values[kind], F.lit(after)).alias("support_note"), F.array(span).cast(SPANS).alias("gold"))
 
-    none = F.filter(F.array(F.struct(F.lit("").alias("entity_type"), F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit(1.0).alias("score"))), lambda s: F.lit(False))
     personal = F.get(F.array(*[note(*t) for t in templates]), whole(k, seed, "template", 0, len(templates)).cast("int"))
-    decoy = F.struct(F.get(F.array(*decoys), whole(k, seed, "decoy", 0, len(decoys)).cast("int")).alias("support_note"), none.alias("gold"))
-    return chosen.withColumn("_n", F.when(uniform(k, seed, "kind") < pii_share, personal).otherwise(decoy)).select(key, "_n.support_note", "_n.gold")
+    decoy = F.struct(F.get(F.array(*decoys), whole(k, seed, "decoy", 0, len(decoys)).cast("int")).alias("support_note"), F.array().cast(SPANS).alias("gold"))
+    return chosen.withColumn("_n", F.when(uniform(k, seed, "kind") < pii_share, personal).otherwise(decoy)).select(*chosen.columns, "_n.support_note", "_n.gold")

@@ -259,6 +259,20 @@ def detection_scores(spark: SparkSession, d: str) -> DataFrame:
     return evaluate.scores(evaluate.outcomes(_scored_notes(spark, d)))
 
 
+def detection_targets(spark: SparkSession, d: str) -> DataFrame:
+    return evaluate.meets_targets(detection_scores(spark, d))
+
+
+def heldout_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Scores of the recognizers on notes in formats they don't know."""
+    return evaluate.scores(evaluate.outcomes(synth.heldout_notes(_trips(spark, d), "record_id").withColumn("found", spans.scan(F.col("support_note")))))
+
+
+def dev_slice_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Gold labels of a slice of 5,000 sampled trips: the slice is the feature."""
+    return synth.dev_slice(_trips(spark, d), "record_id", SAMPLE_COLUMNS, 5000)[1]
+
+
 def synthetic_identities(spark: SparkSession, d: str) -> DataFrame:
     return synth.identities(_trips(spark, d).select("record_id"), "record_id")
 
@@ -356,7 +370,7 @@ QUERIES = {
         zone_rollup_left, zone_rollup_inner, license_filter_count, trip_schema, sql_passthrough, profile_one_pass, health_score, null_cells_by_column, money_profile, validity_rule_counts,
         consistency_rule_counts, contract_failures, duplicate_rows, uncastable_values, pseudonymized_ids, salt_disjointness, value_hashes, salt_fingerprint, uuid5_trip_ids, hash_sample, content_hash,
         time_buckets, durations, drop_and_select, export_tlc, export_le, withheld_columns, policy_plans, classification_tiers, unclassified_columns, email_spans, email_counts, redacted_emails,
-        note_spans, redact_audit, detection_scores, synthetic_identities, synthetic_notes, synth_stats, request_field_tiers, request_profiles, ledger_verify, ledger_tampered, ledger_events,
+        note_spans, redact_audit, detection_scores, detection_targets, heldout_scores, dev_slice_labels, synthetic_identities, synthetic_notes, synth_stats, request_field_tiers, request_profiles, ledger_verify, ledger_tampered, ledger_events,
         exports_table, validation_table, uniqueness_table, suppression_table, triage_table, requests_table, health_trend,
     )
 }

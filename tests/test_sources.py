@@ -66,6 +66,17 @@ def test_synthetic_values(spark):
     assert all(len(r.vehicle_vin) == 17 and len(r.vehicle_plate) == 8 for r in people) and len({r.rider_id for r in people}) < 1000
 
 
+def test_heldout_formats_and_slice(spark):
+    df = spark.range(3000).select(F.col("id").alias("k"), F.lit("old").alias("support_note"))
+    held = synth.heldout_notes(df, "k").collect()
+    assert len(held) == 3000 and all(s.end <= len(r.support_note) for r in held for s in r.gold)
+    rows, labels = synth.dev_slice(df, "k", ["k"], 2000)
+    notes = {r.k: r.support_note for r in rows.where("support_note is not null").collect()}
+    assert rows.count() == 2000 and "old" not in notes.values()
+    got = labels.collect()
+    assert got and all(hashlib.sha256(notes[r.k][r.start : r.end].encode()).hexdigest() == r.value_hash for r in got)
+
+
 def test_keywords(spark):
     got = spark.createDataFrame([(x,) for x in ["driver name", "pickup location", "home address", "wheelchair accessible", "fare amount", "weather", "driving time", None]], "f string").select(triage.field_tier(F.col("f"))).collect()
     assert [r[0] for r in got] == ["direct", "quasi", "direct", "sensitive", "safe", None, "direct", None]
