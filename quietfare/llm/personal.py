@@ -124,7 +124,7 @@ _SPOKEN = re.compile(rf"(?:(?:double |triple )?(?:{_alternatives(DIGIT_WORDS)})(
 _UNIT = r"(?:,? (?:(?i:apt|unit|suite|ste|fl|floor|room|rm)\b\.?|#) ?#? ?(?:\d+-?[A-Za-z]?|[A-Za-z]\d*)(?!\w))?"
 _NUMBER = r"\d{1,5}[A-Za-z]?(?:-\d{1,3}[A-Za-z]?)?"
 _STREET = re.compile(
-    rf"{_NUMBER} (?:(?:east|west|north|south|e|w|n|s)\.? )?(?:(?!(?:{_alternatives(STREET_ENDS)})\b)[^\W\d_][\w'’.-]*? |\d{{1,3}}(?:st|nd|rd|th) ){{1,3}}?(?:{_alternatives(STREET_ENDS)})\b(?:(?<=\b(?:st|rd))\.|(?<=\bave)\.|\.(?=,? (?-i:[a-z#])|, ))?{_UNIT}", re.I,
+    rf"{_NUMBER} (?:(?:east|west|north|south|e|w|n|s)\.? )?(?:(?!(?:{_alternatives(STREET_ENDS)})\b)[^\W\d_][\w'’.-]*? |\d{{1,3}}(?:st|nd|rd|th) ){{1,3}}?(?:{_alternatives(STREET_ENDS)})\b(?:(?<=\brd)\.|(?:(?<=\bst)|(?<=\bave))\.(?! (?-i:[A-ZÀ-Þ]))|\.(?=,? (?-i:[a-z#])|, ))?{_UNIT}", re.I,
 )
 _BARE_STREET = re.compile(rf"{_NUMBER} [A-Z][a-zà-ÿ'’]{{2,}}(?: (?!(?:Unit|Apt|Suite)\b)[A-Z][a-zà-ÿ'’]{{3,}}(?=,? (?:#|Apt|Unit)))?{_UNIT}(?![\w-])")
 _BARE_LOWER = re.compile(rf"{_NUMBER} (?:[a-zà-ÿ'’]{{4,}}|[A-ZÀ-Þ'’]{{4,}}){_UNIT}(?=[,.;|\n]|$)", re.I)
