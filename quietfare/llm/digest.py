@@ -179,10 +179,12 @@ def digests(df: DataFrame, by: Sequence[str], columns: Sequence[str], error: flo
     ``error`` bounds the rank error as a share of ``n``. Nulls and NaN are left
     out, infinities are the outermost values; a group without values has no row.
     Null keys form a group. Other columns of ``df`` are ignored, whatever their
-    names.
+    names; ``by`` must not use the result's own names.
     """
     if not 0 < error < 1:
         raise ValueError("error must lie between 0 and 1")
+    if {"column_name", "n", "digest"} & set(by):
+        raise ValueError("column_name, n and digest are names of the result")
     keys = [F.col(c).alias(f"_b{i}") for i, c in enumerate(by)]
     values = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns])
     long = df.select(*keys, F.explode(values).alias("_v")).select(*[f"_b{i}" for i in range(len(by))], "_v.column_name", "_v.value")

@@ -84,3 +84,5 @@ def test_empty_clashing_and_wrong(spark):
     assert tuple(D.read_quantiles(D.digests(full, ["value"], ["v"]), Q).first())[:4] == ("x", "v", 1, 3.0)
     with pytest.raises(ValueError):
         D.digests(df, [], ["v"], 0)
+    with pytest.raises(ValueError):
+        D.digests(df, ["column_name"], ["v"])
