@@ -111,6 +111,9 @@ _QUOTES = re.compile(r"[()（）\[\]【】「」『』«»„“”\"《》＂]"
 _LINE = re.compile(r"\r\n|[\n\r\x0b\x0c  \x85]")
 _WORD = re.compile(r"\w[\w'’.-]*")
 _PAIRS = {"(": 0, "（": 0, "[": 0, "【": 0, "「": 1, "『": 1, "«": 1, "„": 2, "《": 1, ")": 0, "）": 0, "]": 0, "】": 0, "」": 1, "』": 1, "»": 1, "》": 1}
+_SPEECH = frozenset('"“«„「『')
+_CLOSING = frozenset("\"”»」』’“＂")
+_STRONG = frozenset("!?！？。؟۔।॥｡។။‼⁇⁈⁉")
 _OPENING = set("(（[【「『«„《")
 _TERMINAL = set(_END)
 
@@ -244,7 +247,7 @@ def _end_score(text: str, start: int, end: int, mark: int, stop: int) -> float:
         stem = (glued.group(1) or glued.group(2)).lower()
     if len(stem) > 3 and stem.endswith(("str", "straße", "allee")):
         stem = "str"
-    closes = any(c in "\"”»」』’“＂" for c in cluster.strip())
+    closes = not _CLOSING.isdisjoint(cluster.strip())
     if stop >= end:
         return 6.0
     if token and cluster[0] in ".?" and not gap and (("/" in token or "=" in token or "@" in token) and first.isascii() and first.isalnum()):
@@ -266,7 +269,7 @@ def _end_score(text: str, start: int, end: int, mark: int, stop: int) -> float:
         return 2.0
     if closes and not (cluster.rstrip("".join(c for c in cluster if not (c in _TERMINAL)))[-1:] and cluster.strip()[-1] in _TERMINAL):
         return _after_quote(text, start, stop, end, nxt, word, first, cased, upper, opener, lower_name, gap)
-    strong = any(c in "!?！？。؟۔।॥｡។။‼⁇⁈⁉" for c in cluster) or ("|" in cluster and re.search(r"[\u0900-\u0dff]", text[max(start, mark - 12) : mark]) is not None)
+    strong = not _STRONG.isdisjoint(cluster) or ("|" in cluster and re.search(r"[\u0900-\u0dff]", text[max(start, mark - 12) : mark]) is not None)
     if strong:
         if first and first in ",;，、；،؛":
             return -6.0
@@ -421,17 +424,25 @@ def _units_of_block(text: str, start: int, end: int) -> list[tuple[int, int]]:
     mark_end = _LIST.match(text, start, end)
     first_at = mark_end.end() if mark_end else start
     for m in _CANDIDATE.finditer(text, first_at, end):
-        stop = m.end()
-        for i in range(m.start(), stop):  # a straight quote that opens belongs to what follows
-            if text[i] in '"＂' and state(i)[3] == 0:
-                stop = i
-                break
-        while stop > m.start() and text[stop - 1].isspace():
+        mark, stop = m.span()
+        cluster = m.group()
+        if cluster == "." and stop < end:
+            after = text[stop]
+            if after.isascii() and (after.isdigit() or (after.islower() and not text[stop + 1 : stop + 2].isupper())):
+                continue  # inside a number, file name or address
+            if text[mark - 1] >= "\u0e00" and _THAI.match(text[mark - 1]):
+                continue  # such a stop belongs to an abbreviation; the blank behind it decides
+        if '"' in cluster or "＂" in cluster:
+            for i in range(mark, stop):  # a straight quote that opens belongs to what follows
+                if text[i] in '"＂' and state(i)[3] == 0:
+                    stop = i
+                    break
+        while stop > mark and text[stop - 1].isspace():
             stop -= 1
-        if m.group()[0] == "." and _THAI.match(text[m.start() - 1]) and stop == m.start() + 1:
-            continue  # such a stop belongs to an abbreviation; the blank behind it decides
-        if start < stop < end and stop > m.start():
-            found[stop] = (m.start(), _end_score(text, start, end, m.start(), stop))
+        if cluster[0] == "." and stop == mark + 1 and _THAI.match(text[mark - 1]):
+            continue
+        if start < stop < end and stop > mark:
+            found[stop] = (mark, _end_score(text, start, end, mark, stop))
     if _THAI.search(text, first_at, end):
         for m in _SPACE.finditer(text, first_at, end):
             if m.start() not in found and (_THAI.match(text[m.start() - 1]) or (m.end() < end and _THAI.match(text[m.end()]))):
@@ -446,6 +457,8 @@ def _units_of_block(text: str, start: int, end: int) -> list[tuple[int, int]]:
     inside = [-6.0 if (m[3] and not whole[3]) or (m[1] > 0 and not whole[1]) or (m[2] > 0 and not whole[2]) else 0.0 for m in marks]
     gains = [0.0, *[c[1] for c in candidates], 0.0]
     gains = [g + i for g, i in zip(gains, inside, strict=True)]
+    starts = [first_at, *ends[1:]]
+    speaks = [text[i : i + 3].lstrip()[:1] in _SPEECH for i in starts]
     best = [0.0] * len(ends)
     back = [0] * len(ends)
     eldest = 0
@@ -454,11 +467,14 @@ def _units_of_block(text: str, start: int, end: int) -> list[tuple[int, int]]:
         if low - 1 > eldest and best[low - 1] > best[eldest]:
             eldest = low - 1
         top, at = -1e18, 0
-        for i in [*range(low, j), *([eldest] if low > 0 else [])]:
-            score = best[i] + gains[j] + _span_score(text, first_at if i == 0 else ends[i], ends[j], marks[i], marks[j])
+        stop, mark = ends[j], marks[j]
+        for i in (*range(low, j), eldest) if low > 0 else range(low, j):
+            score = best[i]
+            if marks[i] != mark or speaks[i] or not 12 <= stop - starts[i] <= 600:
+                score += _span_score(text, starts[i], stop, marks[i], mark)
             if score > top:
                 top, at = score, i
-        best[j], back[j] = top, at
+        best[j], back[j] = top + gains[j], at
     cuts, j = [], len(ends) - 1
     while j > 0:
         cuts.append((ends[back[j]], ends[j]))
@@ -486,7 +502,7 @@ def _span_score(text: str, start: int, end: int, before: tuple[int, int, int, in
         score -= 0.002 * min(size - 600, 2000)
     # speech alone, with an attribution to come
     head = text[start : start + 3].lstrip()
-    if head[:1] in '"“«„「『' and text[end - 1] in '"”»“」』' and size < 400 and not re.search(r'["”»“」』]', text[start + 3 : end - 1]):
+    if head[:1] in _SPEECH and text[end - 1] in '"”»“」』' and size < 400 and not re.search(r'["”»“」』]', text[start + 3 : end - 1]):
         rest = text[end : end + 4].lstrip()
         if rest and not rest[0].isupper() and not rest[0].isdigit() and rest[0] not in '"“«„「『([-*•#':
             score -= 2.5
