@@ -17,10 +17,11 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quietfare.session import spread
+from quietfare.llm.flatmap import text_rows
 
 TYPES = ("EMAIL_ADDRESS", "VEHICLE_VIN", "CREDIT_CARD", "ID_NUMBER", "TLC_LICENSE", "PHONE_NUMBER", "NY_PLATE", "LOCATION", "PERSON")
 
@@ -493,18 +494,9 @@ def personal_spans(df: DataFrame, text: str, keep: tuple[str, ...]) -> DataFrame
     """``keep``, ``start_char``, ``end_char``, ``entity_type``: a row per personal value of each row's whole text.
 
     Only ``keep`` and the text are read, and only rows with a non-empty text
-    reach Python; there is no shuffle, but for a table of fewer partitions than
-    cores. Repeated rows give repeated results.
+    reach Python. Repeated rows give repeated results.
     """
-    spans = "array<struct<start_char:int,end_char:int,entity_type:string>>"
-
-    @F.pandas_udf(spans)
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([[{"start_char": a, "end_char": b, "entity_type": k} for a, b, k in find_spans(t)] for t in texts], dtype=object)
-
-    found = spread(df.select(*keep, F.col(text).alias("_text")).where(F.length("_text") > 0)).select(*keep, find("_text").alias("_found"))
-    return found.select(*keep, F.explode("_found").alias("_s")).select(*keep, "_s.*")
+    return text_rows(df, text, keep, find_spans, "start_char int, end_char int, entity_type string", [pa.int32(), pa.int32(), pa.string()])
 
 
 def redact_column(df: DataFrame, text: str, name: str = "redacted") -> DataFrame:

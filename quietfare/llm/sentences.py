@@ -22,11 +22,10 @@ import bisect
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from quietfare.session import spread
+from quietfare.llm.flatmap import text_rows
 
 LOOK_BACK = 48
 UNBALANCED = -3.2
@@ -528,15 +527,8 @@ def sentence_units(text: str | None) -> list[tuple[int, int]]:
 def split_sentences(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep``, ``start_char``, ``end_char``: a row per sentence unit of each row's whole text.
 
-    Offsets count code points. Only ``keep`` and the text are read; nothing is
-    shuffled, but for a table of fewer partitions than cores. Repeated rows give repeated results; null, empty and blank texts
-    give none.
+    Offsets count code points. Only ``keep`` and the text are read. Repeated rows
+    give repeated results; null, empty and blank texts give none.
     """
 
-    @F.pandas_udf("array<struct<start_char:int,end_char:int>>")
-    def split(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([[{"start_char": a, "end_char": b} for a, b in sentence_units(t)] for t in texts], dtype=object)
-
-    found = spread(df.select(*keep, F.col(text).alias("_text")).where(F.length("_text") > 0)).select(*keep, split("_text").alias("_found"))
-    return found.select(*keep, F.explode("_found").alias("_s")).select(*keep, "_s.*")
+    return text_rows(df, text, keep, sentence_units, "start_char int, end_char int", [pa.int32(), pa.int32()])
