@@ -123,7 +123,38 @@ f AS (SELECT load_id, column_name, count(*) AS rows, count(*) - count(num) - cou
   FROM m GROUP BY load_id, column_name)
 """
 
+_FEES = r"""
+WITH r AS (SELECT file_id, row_id, payload, json_valid(payload) AS readable FROM trip_file_rows),
+l1 AS (SELECT r.file_id, r.row_id, e.key AS k, e.type AS ty, e.value AS v FROM r, json_each(CASE WHEN r.readable THEN r.payload ELSE '{}' END) e),
+l2 AS (SELECT file_id, row_id, k AS path, ty, v FROM l1 WHERE ty <> 'OBJECT'
+  UNION ALL SELECT l1.file_id, l1.row_id, l1.k || '.' || e.key, e.type, e.value FROM l1, json_each(CASE WHEN l1.ty = 'OBJECT' THEN l1.v ELSE '{}' END) e WHERE l1.ty = 'OBJECT'),
+w AS (SELECT *, '_' || regexp_replace(lower(regexp_replace(path, '([a-z0-9])([A-Z])', '\1_\2', 'g')), '[^a-z0-9]+', '_', 'g') || '_' AS x0 FROM l2),
+x AS (SELECT *, regexp_replace(x0, '_+', '_', 'g') AS words FROM w),
+f AS (SELECT file_id, row_id, path, ty, v,
+    CASE WHEN regexp_matches(words, '_(airport|apt|arpt)_') AND regexp_matches(words, '_(fee|fees|charge|charges|surcharge|surcharges|amount|amt|usd|toll|tax)_') THEN 'airport_fee'
+         WHEN regexp_matches(words, '_cbd_|_central_(business_)?district_') AND regexp_matches(words, '_(fee|fees|charge|charges|surcharge|surcharges|amount|amt|usd|toll|tax|relief|congestion)_') THEN 'cbd_congestion_fee' END AS field,
+    CASE WHEN ty IN ('UBIGINT', 'BIGINT', 'DOUBLE', 'HUGEINT') THEN 'number' WHEN ty = 'VARCHAR' THEN 'string' WHEN ty = 'BOOLEAN' THEN 'boolean' END AS kind FROM x)
+"""
+
 ORACLES = {
+    "p2_found": _FEES + """,
+        k AS (SELECT file_id, field, string_agg(DISTINCT path, ', ' ORDER BY path) AS keys FROM f WHERE field IS NOT NULL GROUP BY ALL),
+        n AS (SELECT file_id, field, kind, count(*) AS n FROM f WHERE field IS NOT NULL AND kind IS NOT NULL GROUP BY ALL),
+        m AS (SELECT file_id, field, kind FROM n QUALIFY row_number() OVER (PARTITION BY file_id, field ORDER BY n DESC, kind) = 1),
+        a AS (SELECT t.file_id, t.feed, t.file_seq, g.field, k.keys, m.kind FROM trip_files t JOIN (SELECT DISTINCT file_id FROM trip_file_rows) d ON t.file_id = d.file_id
+              CROSS JOIN (VALUES ('airport_fee'), ('cbd_congestion_fee')) g(field) LEFT JOIN k ON k.file_id = t.file_id AND k.field = g.field LEFT JOIN m ON m.file_id = t.file_id AND m.field = g.field),
+        b AS (SELECT *, lag(keys) OVER o AS keys0, lag(kind) OVER o AS kind0, row_number() OVER o AS place FROM a WINDOW o AS (PARTITION BY feed, field ORDER BY file_seq))
+        SELECT file_id, field, 'added' AS change FROM b WHERE place > 1 AND keys IS NOT NULL AND keys0 IS NULL
+        UNION ALL SELECT file_id, field, 'removed' FROM b WHERE place > 1 AND keys IS NULL AND keys0 IS NOT NULL
+        UNION ALL SELECT file_id, field, 'renamed' FROM b WHERE place > 1 AND keys <> keys0
+        UNION ALL SELECT file_id, field, 'retyped' FROM b WHERE place > 1 AND keys IS NOT NULL AND keys0 IS NOT NULL AND kind <> kind0""",
+    "p2_fee_totals": _FEES + r""",
+        v AS (SELECT row_id, field, path, CASE WHEN kind = 'number' THEN CAST(v AS DOUBLE)
+            WHEN kind = 'string' THEN TRY_CAST(replace(trim(regexp_replace(trim(lower(v->>'$')), '^(usd|us\$|\$|€|eur)|(usd|us\$|\$|€|eur)$', '', 'g')), ',', '.') AS DOUBLE) END AS amount FROM f WHERE field IS NOT NULL),
+        o AS (SELECT row_id, field, arg_min(amount, path) AS amount FROM v WHERE amount IS NOT NULL GROUP BY ALL)
+        SELECT r.file_id, count(*) AS records, count(CASE WHEN readable THEN 1 END) AS readable_records, count(a.amount) AS airport_fees, count(c.amount) AS cbd_fees,
+          round(coalesce(sum(a.amount), 0.0), 2) AS airport_sum, round(coalesce(sum(c.amount), 0.0), 2) AS cbd_sum
+        FROM r LEFT JOIN o a ON r.row_id = a.row_id AND a.field = 'airport_fee' LEFT JOIN o c ON r.row_id = c.row_id AND c.field = 'cbd_congestion_fee' GROUP BY r.file_id""",
     "p3_found": f"""
         WITH b AS ({_BOTH}), t AS (SELECT count(*) AS n FROM trips)
         SELECT field, zone_id FROM b WHERE zone_id IS NOT NULL GROUP BY field, zone_id HAVING count(*) >= 0.03 * (SELECT n FROM t)""",
