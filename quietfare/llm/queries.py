@@ -77,27 +77,30 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_redacted, p4_percentiles, p4_zone_percentiles, p6_pack, p6_fill, p7_mix, p7_shares, p7_mix_by_chars, p8_found)}
 
-_LEAF = digest.leaf_sql("value").replace("isnan(value)", "isnan(value)")
-
-
 def _quantile(q: float) -> str:
     return f"max(CASE WHEN r = CAST(ceil(round({q} * n, 9)) AS BIGINT) THEN v END)"
 
 
-ORACLES = {
-    "p4_zone_percentiles": f"""
-        WITH t AS (SELECT PULocationID, 'base_passenger_fare' AS column_name, base_passenger_fare AS value FROM trips
-                   UNION ALL SELECT PULocationID, 'trip_time', CAST(trip_time AS DOUBLE) FROM trips
-                   UNION ALL SELECT PULocationID, 'driver_pay', driver_pay FROM trips),
-        l AS (SELECT PULocationID, column_name, {_LEAF} AS leaf FROM t),
+def _percentiles(keys: str) -> str:
+    """Exact percentiles of the quantised values; the digests are exact below their factor k, so on small tables both agree."""
+    return f"""
+        SELECT {keys}, column_name, max(n) AS n, {", ".join(f"{_quantile(q)} AS {name}" for name, q in QUANTILES.items())}
+        FROM (SELECT *, row_number() OVER (PARTITION BY {keys}, column_name ORDER BY leaf) AS r, count(*) OVER (PARTITION BY {keys}, column_name) AS n FROM w) GROUP BY {keys}, column_name"""
+
+
+_VALUES = f"""
+        WITH t AS (SELECT load_id, PULocationID, 'base_passenger_fare' AS column_name, base_passenger_fare AS value FROM trips
+                   UNION ALL SELECT load_id, PULocationID, 'trip_time', CAST(trip_time AS DOUBLE) FROM trips
+                   UNION ALL SELECT load_id, PULocationID, 'driver_pay', driver_pay FROM trips),
+        l AS (SELECT load_id, PULocationID, column_name, {digest.leaf_sql("value")} AS leaf FROM t),
         m AS (SELECT *, CASE WHEN leaf >= {digest.HALF} THEN leaf - {digest.HALF} ELSE {digest.HALF - 1} - leaf END AS g FROM l WHERE leaf IS NOT NULL),
-        w AS (SELECT PULocationID, column_name,
+        w AS (SELECT load_id, PULocationID, column_name, leaf,
                 CASE WHEN leaf >= {digest.HALF} THEN 1.0 ELSE -1.0 END * CASE WHEN g = 0 THEN 0.0 WHEN g = {digest.HALF - 1} THEN CAST('Infinity' AS DOUBLE)
-                  ELSE power(2.0, floor(g / {float(1 << digest.MANTISSA_BITS)}) - {-digest.EXPONENT_LOW}) * (1.0 + (g % {1 << digest.MANTISSA_BITS}) / {float(1 << digest.MANTISSA_BITS)}) END AS v,
-                row_number() OVER (PARTITION BY PULocationID, column_name ORDER BY leaf) AS r,
-                count(*) OVER (PARTITION BY PULocationID, column_name) AS n FROM m)
-        SELECT PULocationID, column_name, max(n) AS n, {", ".join(f"{_quantile(q)} AS {name}" for name, q in QUANTILES.items())}
-        FROM w GROUP BY PULocationID, column_name""",
+                  ELSE power(2.0, floor(g / {float(1 << digest.MANTISSA_BITS)}) - {-digest.EXPONENT_LOW}) * (1.0 + (g % {1 << digest.MANTISSA_BITS}) / {float(1 << digest.MANTISSA_BITS)}) END AS v FROM m)"""
+
+ORACLES = {
+    "p4_zone_percentiles": _VALUES + _percentiles("PULocationID"),
+    "p4_percentiles": f"{_VALUES} SELECT *, CAST(0 AS BIGINT) AS rank_error FROM ({_percentiles('load_id, PULocationID')} UNION ALL SELECT CAST(NULL AS BIGINT) AS load_id, * FROM ({_percentiles('PULocationID')}))",
     "p7_mix_by_chars": """
         WITH i AS (SELECT d.doc_id, d.source, d.n_chars AS size, t.target_share AS w, t.max_repeats AS r,
                      CAST('0x' || substr(md5(CAST(d.doc_id AS VARCHAR) || '|42'), 1, 15) AS BIGINT) AS place
