@@ -97,6 +97,7 @@ ORACLES = {
     "consistency_rule_counts": _counts(_CONSISTENT, "trips"),
     "contract_failures": f"WITH {_CLEAN}, k AS ({_counts(_CONTRACT, 'c')}) SELECT split_part(rule, ':', 1) AS \"column\", split_part(rule, ':', 2) AS \"check\", n FROM k WHERE n > 0",
     "duplicate_rows": f"SELECT (SELECT count(*) FROM trips) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(S.REAL_COLUMNS + S.IDENTITY_COLUMNS)} FROM trips)) AS duplicate_rows",
+    "uncastable_values": " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(CASE WHEN {c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL THEN 1 END) AS n FROM trips" for c, t in {"driver_license_num": "BIGINT", "rider_phone": "BIGINT", "vehicle_plate": "INTEGER"}.items()),
     "pseudonymized_ids": "SELECT record_id, " + ", ".join(f"{_pseudonym(c)} AS {c}" for c in ("rider_id", "rider_phone", "driver_name")) + " FROM trips",
     "salt_disjointness": f"SELECT count(*) AS shared FROM (SELECT {_pseudonym('rider_id')} AS p FROM trips INTERSECT SELECT {_pseudonym('rider_id', OTHER_HEX)} FROM trips)",
     "value_hashes": "SELECT record_id, sha256(vehicle_vin) AS value_hash FROM trips",
