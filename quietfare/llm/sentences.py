@@ -68,7 +68,7 @@ OPENERS = set(
     """.split()
 )
 #: Words that rarely end a line unless it was wrapped.
-LINE_BREAKERS = set("the a an of in on at for by with to from and or was is were as that this no our my el la los las de del en un una y o con por para le les des du et à der die das den dem und im am zu mit von в на и с от по из за к w z do i na o od".split())
+LINE_BREAKERS = set("see cf. e.g. i.e. no. not be had has have i we he she they the a an of in on at for by with to from and or was is were as that this no our my el la los las de del en un una y o con por para le les des du et à der die das den dem und im am zu mit von в на и с от по из за к w z do i na o od".split())
 ARTICLES = set("el la los las un una le les une des il der die das ein eine".split())
 PREPOSITIONS = {"an", "am", "as", "if", "in", "on", "at", "for", "with", "was", "is", "are", "im", "en", "des", "se"}
 #: Words that carry a statement on after a quotation or an ellipsis.
@@ -163,7 +163,7 @@ def _softness(text: str, a: tuple[int, int], b: tuple[int, int]) -> int:
     size, last, first = len(left), left.split()[-1].lower(), right.split()[0]
     plain = first.lower().rstrip(",.")
     score = 1 if 52 <= size <= 82 else -1
-    score += 2 if last in LINE_BREAKERS or last[-1] in ",;:-" else 0
+    score += 2 if last.lstrip("(\"") in LINE_BREAKERS or last[-1] in ",;:-" or left.count("(") > left.count(")") or left.count('"') % 2 else 0
     score += 1 if first[:1].islower() and plain not in OPENERS else -1 if plain in OPENERS and len(plain) > 1 else 0
     score -= 1 if text[: a[0]].strip() == "" and left.lstrip()[:1].islower() else 0
     return score
@@ -216,6 +216,11 @@ def _is_cased(c: str) -> bool:
     return c.lower() != c.upper()
 
 
+def _lower_may_open(word: str) -> bool:
+    """Whether a quotation that opens with this word in lower case is likely a statement."""
+    return "_" in word or word in OPENERS
+
+
 def _end_score(text: str, start: int, end: int, mark: int, stop: int) -> float:
     """Score of a sentence end at ``stop``, whose end mark is at ``mark``; the block is start:end."""
     cluster = text[mark:stop]
@@ -227,9 +232,11 @@ def _end_score(text: str, start: int, end: int, mark: int, stop: int) -> float:
     gap = stop < end and text[stop].isspace()
     first = bare[:1]
     word = low.lstrip("\"'“”«»„(（[¿¡「『‘").rstrip(",;:!?")
-    opener = word in OPENERS or word.rstrip(".") in OPENERS
+    opener = word in OPENERS or word.rstrip(".") in OPENERS or "_" in word
     if first.islower() and bare[1:2].isupper():
         first = first.upper()  # a name such as iCab
+    elif first.islower() and nxt[0] in _SPEECH and gap and _lower_may_open(word):
+        first = first.upper()  # speech that opens behind an end mark
     upper = first.isupper() or first.isdigit()
     cased = bool(first) and _is_cased(first)
     second = None
@@ -328,7 +335,7 @@ def _end_score(text: str, start: int, end: int, mark: int, stop: int) -> float:
         return -4.5
     if dotted in {"sr", "jr"}:
         prior = re.search(r"(\S+)\s+$", text[max(start, mark - len(token) - 16) : mark - len(token)])
-        if not prior or prior.group(1).lower() in {"el", "al", "del", "un", "estimado", "señor", "querido"}:
+        if not prior or prior.group(1).lower().rsplit(".", 1)[-1] in {"el", "al", "del", "un", "estimado", "señor", "querido"}:
             return -4.5
     if word in {"el", "le", "il"} and second is not None and second.group(1).isdigit():
         return -3.5  # a date
