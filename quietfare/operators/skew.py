@@ -97,8 +97,10 @@ def heavy_keys(df: DataFrame, fields: Sequence[str], percent: int = 3) -> DataFr
     """
     per_key = key_states(unpivot_keys(df, fields), ["field", "key"])
     per_field = merge_key_states(per_key, ["field"]).withColumnRenamed("rows", "total")
+    # tied to the count, so that the filter stays above the aggregate and both sides share one scan and shuffle
+    some_key = F.when(F.col("rows") > 0, F.col("key")).isNotNull()
     return (
-        per_key.where(F.col("key").isNotNull())
+        per_key.where(some_key)
         .join(per_field, "field")
         .where(F.col("rows") * 100 >= F.col("total") * percent)
         .select("field", "key", "rows", "total")
