@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 
 from quietfare.llm.flatmap import text_rows
 
-LOOK_BACK = 48
+LOOK_BACK = 16
+PLAIN_END = 3.0
 UNBALANCED = -3.2
 
 # Abbreviations that don't end a sentence, by language.
@@ -358,7 +359,7 @@ def _end_score(text: str, start: int, end: int, mark: int, stop: int) -> float:
         if word in CONTINUERS and not opener and len(stem) <= 4:
             return -1.0
         return 1.8
-    return 3.0
+    return PLAIN_END
 
 
 def _line_start(text: str, start: int, at: int) -> int:
@@ -412,6 +413,13 @@ def _thai_gap(text: str, start: int, stop: int, end: int, low: str) -> float:
     return score
 
 
+def _plain_word(text: str, low: int, mark: int) -> bool:
+    """Whether an ordinary word in lower case, no abbreviation, stands before ``mark``; :func:`_end_score` gives PLAIN_END then."""
+    at = text.rfind(" ", low, mark)
+    word = text[at + 1 : mark]
+    return at >= 0 and len(word) > 2 and word.isascii() and word.isalpha() and word.islower() and word not in NEVER_END and word not in MAY_END and word not in TITLES_BEFORE_NAMES and not word.endswith(("str", "allee"))
+
+
 def _units_of_block(text: str, start: int, end: int) -> list[tuple[int, int]]:
     """The best sequence of spans of one block."""
     while start < end and text[start].isspace():
@@ -438,6 +446,9 @@ def _units_of_block(text: str, start: int, end: int) -> list[tuple[int, int]]:
                 continue  # inside a number, file name or address
             if text[mark - 1] >= "\u0e00" and _THAI.match(text[mark - 1]):
                 continue  # such a stop belongs to an abbreviation; the blank behind it decides
+            if after == " " and start < stop and "A" <= text[stop + 1 : stop + 2] <= "Z" and _plain_word(text, max(start, mark - 24), mark):
+                found[stop] = (mark, PLAIN_END)
+                continue
         if '"' in cluster or "＂" in cluster:
             for i in range(mark, stop):  # a straight quote that opens belongs to what follows
                 if text[i] in '"＂' and state(i)[3] == 0:
@@ -453,16 +464,19 @@ def _units_of_block(text: str, start: int, end: int) -> list[tuple[int, int]]:
         for m in _SPACE.finditer(text, first_at, end):
             if m.start() not in found and (_THAI.match(text[m.start() - 1]) or (m.end() < end and _THAI.match(text[m.end()]))):
                 found[m.start()] = (m.start(), _thai_gap(text, start, m.start(), end, _next_word(text, m.start(), end)[1]))
-    candidates = sorted((at, score) for at, (_, score) in found.items() if score > UNBALANCED * 1.3)
+    whole = state(end)
+
+    def inside(at: int) -> bool:
+        """Whether a quotation is open there in a block whose quotations all close: no end can lie in it."""
+        m = state(at)
+        return bool(m[3] and not whole[3]) or (m[1] > 0 and not whole[1]) or (m[2] > 0 and not whole[2])
+
+    candidates = sorted((at, score) for at, (_, score) in found.items() if score > UNBALANCED * 1.3 and not (places and inside(at)))
     if not candidates:
         return [(start, end)]
     ends = [start, *[c[0] for c in candidates], end]
     marks = [state(e) for e in ends]
-    whole = marks[-1]
-    # where the block's quotations close properly, an end inside one costs on its own
-    inside = [-6.0 if (m[3] and not whole[3]) or (m[1] > 0 and not whole[1]) or (m[2] > 0 and not whole[2]) else 0.0 for m in marks]
     gains = [0.0, *[c[1] for c in candidates], 0.0]
-    gains = [g + i for g, i in zip(gains, inside, strict=True)]
     starts = [first_at, *ends[1:]]
     speaks = [text[i : i + 3].lstrip()[:1] in _SPEECH for i in starts]
     best = [0.0] * len(ends)
