@@ -107,8 +107,18 @@ def profile_one_pass(spark: SparkSession, d: str) -> DataFrame:
     return validate.profile(_trips(spark, d))
 
 
+def health_gate(spark: SparkSession, d: str) -> DataFrame:
+    """Scores and gate of all trips as delivered: rows that break the contract are counted and refuse the table."""
+    return validate.health(validate.profile(_trips(spark, d)))
+
+
+def health_gate_license(spark: SparkSession, d: str) -> DataFrame:
+    """The same over every trip of the licence."""
+    return validate.health(validate.profile(readers.read_trips(spark, f"{d}/trips.parquet", S.LICENSE)))
+
+
 def health_score(spark: SparkSession, d: str) -> DataFrame:
-    """Scores and gate of the licence's trips with their contract columns present."""
+    """Scores of the cleaned slice: the licence's trips that keep the contract, as its SQL defines it. :func:`health_gate` judges a whole table."""
     ok = readers.read_trips(spark, f"{d}/trips.parquet", S.LICENSE).where(" and ".join(f"{c} is not null" for c in S.REQUIRED_COLUMNS))
     return validate.health(validate.profile(ok.where("PULocationID between 1 and 265 and DOLocationID between 1 and 265 and trip_time >= 0")))
 
@@ -367,7 +377,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         uniqueness_ladder, equivalence_classes, custom_qi_risk, class_size_histogram, k_suppressed_rows, class_size_per_row, mds_aggregate, mds_cells_summary, dimension_aggregate,
-        zone_rollup_left, zone_rollup_inner, license_filter_count, trip_schema, sql_passthrough, profile_one_pass, health_score, null_cells_by_column, money_profile, validity_rule_counts,
+        zone_rollup_left, zone_rollup_inner, license_filter_count, trip_schema, sql_passthrough, profile_one_pass, health_gate, health_gate_license, health_score, null_cells_by_column, money_profile, validity_rule_counts,
         consistency_rule_counts, contract_failures, duplicate_rows, uncastable_values, pseudonymized_ids, salt_disjointness, value_hashes, salt_fingerprint, uuid5_trip_ids, hash_sample, content_hash,
         time_buckets, durations, drop_and_select, export_tlc, export_le, withheld_columns, policy_plans, classification_tiers, unclassified_columns, email_spans, email_counts, redacted_emails,
         note_spans, redact_audit, detection_scores, detection_targets, heldout_scores, dev_slice_labels, synthetic_identities, synthetic_notes, synth_stats, request_field_tiers, request_profiles, ledger_verify, ledger_tampered, ledger_events,

@@ -55,6 +55,15 @@ def _profile(source: str) -> str:
       count(*) - (SELECT count(*) FROM (SELECT DISTINCT {real} FROM {source})) AS duplicate_rows FROM {source}"""
 
 
+def _health(source: str) -> str:
+    rate = lambda fails, base: f"coalesce(round((1 - {fails} / CAST(nullif({base}, 0) AS DOUBLE)) * 100, 4), 100.0)"
+    return f"""p AS ({_profile(source)}),
+        s AS (SELECT n, required_nulls + zone_out_of_range + trip_time_negative + license_bad = 0 AS tier1_passed, {rate("null_cells", f"n * {len(S.REAL_COLUMNS)}")} AS completeness,
+          {rate("validity_fail_rows", "n")} AS validity, {rate("consistency_fail_rows", "n")} AS consistency, {rate("duplicate_rows", "n")} AS uniqueness FROM p),
+        h AS (SELECT *, CASE WHEN tier1_passed THEN round((completeness + validity + consistency + uniqueness) / 4, 4) END AS health_score FROM s)
+        SELECT *, coalesce(health_score < 90, TRUE) AS refused FROM h"""
+
+
 def _pseudonym(c: str, salt: str = SALT_HEX) -> str:
     return f"substr(sha256(unhex('{salt}') || encode({c})), 1, 16)"
 
@@ -86,6 +95,8 @@ ORACLES = {
     "license_filter_count": f"SELECT count(*) AS n FROM trips WHERE hvfhs_license_num = '{S.LICENSE}'",
     "sql_passthrough": "SELECT hvfhs_license_num, count(*) AS n FROM trips GROUP BY 1",
     "profile_one_pass": f"WITH {_CLEAN} {_profile('c')}",
+    "health_gate": f"WITH {_CLEAN}, {_health('c')}",
+    "health_gate_license": f"WITH {_CLEAN}, l AS (SELECT * FROM c WHERE hvfhs_license_num = '{S.LICENSE}'), {_health('l')}",
     "health_score": f"""WITH {_CLEAN}, {_OK}, p AS ({_profile('ok')}),
         s AS (SELECT n, required_nulls + zone_out_of_range + trip_time_negative + license_bad = 0 AS tier1_passed, round((1 - null_cells / (n * 25.0)) * 100, 4) AS completeness,
           round((1 - validity_fail_rows / CAST(n AS DOUBLE)) * 100, 4) AS validity, round((1 - consistency_fail_rows / CAST(n AS DOUBLE)) * 100, 4) AS consistency, round((1 - duplicate_rows / CAST(n AS DOUBLE)) * 100, 4) AS uniqueness FROM p),

@@ -2,6 +2,7 @@ from datetime import timedelta
 
 import pytest
 
+import __spark_entry__ as entry
 from quietfare import schemas as S
 from quietfare.operators import validate as V
 from tests.trips import clean, frame
@@ -88,3 +89,12 @@ def test_money_profile_and_casts(spark):
     df = spark.createDataFrame([("1",), ("x",), (None,)], "a string")
     assert V.uncastable(df, {"a": "int"}).first().n == 1
     assert len(S.REAL_COLUMNS) == 25 and len(S.REQUIRED_COLUMNS) == 16
+
+
+@pytest.mark.parametrize(("query", "licence", "n"), [("health_gate", "HV0003", 20), ("health_gate", "HV0004", 20), ("health_gate_license", "HV0003", 20), ("health_gate_license", "HV0004", 19)])
+def test_gate_sees_the_rows_that_break_the_contract(spark, tmp_path, query, licence, n):
+    rows = clean(20)
+    rows[0] |= {"hvfhs_license_num": licence, "trip_time": -1, "tolls": -2.0, "tips": None}
+    frame(spark, rows).write.parquet(str(tmp_path / "trips.parquet"))
+    r = entry.queries()[query](spark, str(tmp_path)).first()
+    assert r.n == n and r.tier1_passed == (n == 19) and r.refused == (n == 20) and (r.validity == 95.0) == (n == 20)
