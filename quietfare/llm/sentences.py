@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from quietfare.llm.flatmap import text_rows
 
 LOOK_BACK = 16
+SLACK = 12  # characters by which a wrapped line may fall short of its paragraph's width
 PLAIN_END = 3.0
 UNBALANCED = -3.2
 
@@ -97,7 +98,9 @@ _CANDIDATE = re.compile(rf"[{_END}](?:[{_END}]|\s?[»›]|[{_CLOSE}](?=[^\w]|$|[
 _THAI = re.compile(r"[฀-๿຀-໿ក-៿]")
 _SPACE = re.compile(r"\s+")
 _LIST = re.compile(r"\s*(?:[-*•–—·▪◦‣○●]|\(?\d{1,3}[.)]|\(?[a-zA-Z][.)]|#{1,6}|>+)(?:\s+|$)")
+_INITIAL = re.compile(r"\s*[A-Z]\.\s")  # may begin a name as well as an item
 _HEAD = re.compile(r"\s*#{1,6}\s")
+_CLOCK = re.compile(r"\s*[ap]\.\s?m\b")
 _BLANK = re.compile(r"(?:\r\n|[\n\r\x0b\x0c  ])[^\S\n]*(?:(?:\r\n|[\n\r\x0b\x0c  ])[^\S\n]*)+")
 _NONBLANK = re.compile(r"\S+")
 _LEAD = re.compile(r"\S+\s+(\S)")
@@ -133,29 +136,62 @@ def _blocks(text: str) -> Iterator[tuple[int, int]]:
             at = m.end()
         lines.append((at, end))
         lines_of.append([x for x in lines if text[x[0] : x[1]].strip()])
-    inner = [(a, b) for lines in lines_of for a, b in zip(lines, lines[1:], strict=False) if not _LIST.match(text, *b)]
-    width = max((x[1] - x[0] for lines in lines_of if len(lines) > 1 for x in lines), default=0)
-
-    def full(a: tuple[int, int], b: tuple[int, int]) -> bool:
-        """Whether the next line's first word had no room on this one."""
-        word = re.match(r"[ \t]*([^ \t]+)", text[b[0] : b[1]])  # wrapping breaks at plain blanks only
-        return a[1] - a[0] + 1 + len(word.group(1)) > width
-
-    fitting = [full(a, b) for a, b in inner]
-    wrapped = bool(inner) and 40 <= width <= 110 and sum(fitting) >= 0.8 * len(fitting)
-    if wrapped and len(fitting) < 3:
+    inner_of = [[(a, b) for a, b in zip(lines, lines[1:], strict=False) if not _LIST.match(text, *b) and not _HEAD.match(text, *a)] for lines in lines_of]
+    inner = [x for breaks in inner_of for x in breaks]
+    width = _width(text, inner)
+    wrapped = bool(inner) and 40 <= width <= 110 and sum(_full(text, a, b, width) for a, b in inner) >= 0.8 * len(inner)
+    if wrapped and len(inner) < 3:
         wrapped = sum(_softness(text, a, b) for a, b in inner) >= 1
-    for lines in lines_of:
+    for lines, breaks in zip(lines_of, inner_of, strict=True):
         if not lines:
             continue
+        soft = _soft_breaks(text, breaks, wrapped, width)
         begin = lines[0][0]
         for a, b in zip(lines, lines[1:], strict=False):
-            if not wrapped or _LIST.match(text, *b) or _HEAD.match(text, *a) or not full(a, b):
+            if b not in soft:
                 yield begin, a[1]
                 begin = b[0]
         yield begin, lines[-1][1]
 
 
+def _width(text: str, breaks: list[tuple[tuple[int, int], tuple[int, int]]]) -> int:
+    """The longest of the lines beside the breaks; list items only count where there is nothing else."""
+    sizes = [(bool(_LIST.match(text, *x)) and not _INITIAL.match(text, *x), x[1] - x[0]) for pair in breaks for x in pair]
+    return max((n for item, n in sizes if not item), default=max((n for _, n in sizes), default=0))
+
+
+def _full(text: str, a: tuple[int, int], b: tuple[int, int], width: int) -> bool:
+    """Whether the next line's first word had no room on this one."""
+    word = re.match(r"[ \t]*([^ \t]+)", text[b[0] : b[1]])  # wrapping breaks at plain blanks only
+    return a[1] - a[0] + 1 + len(word.group(1)) > width
+
+
+def _soft_breaks(text: str, breaks: list[tuple[tuple[int, int], tuple[int, int]]], wrapped: bool, width: int) -> set[tuple[int, int]]:
+    """The lines of a paragraph that only wrapping parts from the line before.
+
+    In a wrapped text those are the full lines' successors. Elsewhere the
+    paragraph is judged by its own width, and a break that neither settles by
+    how much it looks like one inside a sentence.
+    """
+    if wrapped and all(_full(text, a, b, width) for a, b in breaks):
+        return {b for _, b in breaks}
+    own = _width(text, breaks)
+    if not 40 <= own <= 110:
+        return {b for a, b in breaks if wrapped and _full(text, a, b, width)}
+    scores = [_softness(text, a, b) - (2 if _may_open_line(text, b) else 0) + bool(_CLOCK.match(text, *b)) for a, b in breaks]
+    if len(breaks) > 1 and all(_full(text, a, b, own) for a, b in breaks) and sum(scores) > len(breaks):
+        return {b for _, b in breaks}
+    sure = [score >= 3 or (score == 2 and b[1] - b[0] <= 0.4 * own) for (_, b), score in zip(breaks, scores, strict=True)]
+    return {b for (a, b), x in zip(breaks, sure, strict=True) if (wrapped and _full(text, a, b, width)) or (x and a[1] - a[0] >= 40 and _full(text, a, b, own - SLACK))}
+
+
+def _may_open_line(text: str, b: tuple[int, int]) -> bool:
+    """Whether a line seems to begin with a name, a title or an abbreviation that opens a statement, even in lower case."""
+    words = text[b[0] : b[0] + 60].split()[:2]
+    low = words[0].lower().rstrip(",.")
+    return "_" in low or words[0].lower() in OPENERS or low in TITLES_BEFORE_NAMES or (len(words) > 1 and words[0].isalpha() and words[1][:1].isupper() and low not in LINE_BREAKERS)
+
+
 def _softness(text: str, a: tuple[int, int], b: tuple[int, int]) -> int:
     """How much a line break, taken alone, looks like one inside a running sentence; 0 behind an end mark, which decides itself."""
     left, right = text[a[0] : a[1]].rstrip(), text[b[0] : b[1]].lstrip()

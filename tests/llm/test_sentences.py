@@ -65,6 +65,26 @@ def test_layout():
     assert [x.replace("\n", " ") for x in got] == ["The file arrived on Monday at seven, after the gate had been closed.", "A clerk of the night desk asked for a copy of the whole receipt and for the list of all rides of that day.", "Nobody had it in the end.", "Kind regards"]
 
 
+def test_a_paragraph_is_unwrapped_by_its_own_width():
+    first = "The old file left the desk on Monday at nine, as the list of the night\nshows. Rider no. 46 took the lane next to the pier. Rider no. 256 is\nlisted in the report of the day, according to the clerk of the desk"
+    text = first + "\n\nA note, which lists no ride.\nAbout nine of ten rides of the square had no tolls, for lack of\nvalues.\n\nBest, Anna"
+    got = [x.replace("\n", " ") for x in units(text)]
+    assert got == ["The old file left the desk on Monday at nine, as the list of the night shows.", "Rider no. 46 took the lane next to the pier.", "Rider no. 256 is listed in the report of the day, according to the clerk of the desk", "A note, which lists no ride.", "About nine of ten rides of the square had no tolls, for lack of values.", "Best, Anna"]
+
+
+def test_list_items_do_not_set_the_width():
+    item = "- an item that runs on and on, far beyond the width at which the mail was wrapped, and is one line"
+    text = "The request went to the desk of the base and was held there for\nreview. Nobody came to the gate before the end of the day and of\nthe shift.\n\nThese are open:\n" + item + "\n- another"
+    assert [x.replace("\n", " ") for x in units(text)] == ["The request went to the desk of the base and was held there for review.", "Nobody came to the gate before the end of the day and of the shift.", "These are open:", item, "- another"]
+
+
+def test_lines_of_a_chat_stay_apart():
+    lines = ["Who approved this?", "The U.S. carrier lost a tenth of its rows despite the late quote", "airport_fee took the lane next to the pier, as the zones show", "prof. Noor shouted at the next light in front of the house", "the log has 3 exports; 1 was refused"]
+    assert units("\n".join(lines)) == lines
+    lines = ["J. R. Berg signed the approval on Aug. 20, i.e. one day after the export", '"We cannot share names," the clerk said, "but counts are fine."', "About half of the rows had no value"]
+    assert units("\n".join(lines)) == lines
+
+
 def test_missing_and_unusual_spaces():
     assert units("It was null.The rider left! Why?　Because.") == ["It was null.", "The rider left!", "Why?", "Because."]
 
