@@ -41,6 +41,7 @@ APPROVED: dict[str, tuple[str, str]] = {
     ),
 }
 
+AGAIN = "\x1f"  # parts a repeated path from its place
 NUMBER_TYPES = ("BIG", "INT", "SMA", "TIN", "DOU", "FLO", "DEC")
 
 
@@ -80,10 +81,12 @@ def with_leaves(rows: DataFrame, payload: str = "payload", name: str = "_leaves"
     """``rows`` with the leaves of each JSON payload.
 
     They are null for a null or cut-off payload, JSON that is no object, and an
-    object that repeats a key: such a record is not readable.
+    object that repeats a key: such a record is not readable. Where a dotted key
+    spells another leaf's path, the later one gets ``AGAIN`` and its place.
     """
     parsed = rows.withColumn("_parsed", F.try_parse_json(F.col(payload)))
-    return parsed.withColumn(name, F.expr(leaves_sql("_parsed"))).drop("_parsed")
+    unique = f"if(size(array_distinct({name}.key)) = size({name}), {name}, transform({name}, (e, i) -> struct(e.key || if(array_position({name}.key, e.key) = i + 1, '', '{AGAIN}' || i) as key, e.value as value)))"
+    return parsed.withColumn(name, F.expr(leaves_sql("_parsed"))).withColumn(name, F.expr(unique)).drop("_parsed")
 
 
 def json_kind(short: Column) -> Column:
@@ -94,25 +97,22 @@ def json_kind(short: Column) -> Column:
     )
 
 
-def key_inventory(rows: DataFrame, by: str = "file_id", payload: str = "payload") -> DataFrame:
-    """``by``, ``key``, ``kind``, ``n``: how often each key path occurs with each JSON type. Mergeable by addition.
+def replayed(rescued: str = "rescued") -> Column:
+    """The leaves that a rescue column holds, as ``array<struct<key string, value variant>>``."""
+    return F.expr(f"map_entries(try_cast(try_parse_json({rescued}) as map<string,variant>))")
 
-    The object's members are exploded level by level (outer, so that the parse
-    isn't repeated in a filter), and paths and types are only worked out on the
-    counted combinations.
-    """
-    kind = lambda v: F.substring(F.expr(f"schema_of_variant({v})"), 1, 3)
-    opened = rows.select(F.col(by).alias("_by"), F.explode_outer(F.expr(f"try_cast(try_parse_json({payload}) as map<string,variant>)")).alias("k0", "v0")).withColumn("t0", kind("v0"))
-    for i in (0, 1):
-        inner = F.expr(f"case when t{i} = 'OBJ' then try_cast(v{i} as map<string,variant>) end")
-        opened = opened.select("_by", *[f"k{j}" for j in range(i + 1)], *[f"t{j}" for j in range(i + 1)], F.explode_outer(inner).alias(f"k{i + 1}", f"v{i + 1}")).withColumn(f"t{i + 1}", kind(f"v{i + 1}"))
-    counted = opened.groupBy("_by", "k0", "k1", "k2", "t0", "t1", "t2").agg(F.count(F.lit(1)).alias("n")).where("k0 is not null")
-    path = F.concat_ws(".", "k0", "k1", "k2")
-    return counted.select(F.col("_by").alias(by), path.alias("key"), json_kind(F.coalesce("t2", "t1", "t0")).alias("kind"), "n").groupBy(by, "key", "kind").agg(F.sum("n").alias("n"))
+
+def key_inventory(table: DataFrame, by: str = "file_id") -> DataFrame:
+    """``by``, ``key``, ``kind``, ``n``: how often each key path is in the rescue column of an ingested table with each JSON type. Mergeable by addition."""
+    leaves = table.select(F.col(by), F.explode_outer(F.when(F.col("readable"), replayed())).alias("_leaf"))
+    short = F.substring(F.expr("schema_of_variant(_leaf.value)"), 1, 3)
+    counted = leaves.select(by, F.col("_leaf.key").alias("key"), short.alias("_t")).groupBy(by, "key", "_t").agg(F.count(F.lit(1)).alias("n")).where("key is not null")
+    key = F.regexp_replace("key", f"{AGAIN}[0-9]+$", "").alias("key")
+    return counted.select(by, key, json_kind(F.col("_t")).alias("kind"), "n").groupBy(by, "key", "kind").agg(F.sum("n").alias("n"))
 
 
-def field_states(rows: DataFrame, approved: Mapping[str, tuple[str, str]] = APPROVED, by: str = "file_id", payload: str = "payload") -> DataFrame:
-    """``by``, ``field``, ``keys`` (sorted set of the carrying paths), ``kind`` of most non-null values.
+def field_states(table: DataFrame, approved: Mapping[str, tuple[str, str]] = APPROVED, by: str = "file_id") -> DataFrame:
+    """Of an ingested table ``by``, ``field``, ``keys`` (sorted set of the carrying paths), ``kind`` of most non-null values.
 
     A tie between types goes to the first by name; a file whose values are all
     null has no kind. A few rows per file, whatever the file's size: the key
@@ -120,7 +120,7 @@ def field_states(rows: DataFrame, approved: Mapping[str, tuple[str, str]] = APPR
     """
     # tied to the count, so that the filter isn't pushed below the aggregate and tried on every leaf of every record
     field = F.when(F.col("n") > 0, carried_field(F.col("key"), approved))
-    carried = key_inventory(rows, by, payload).withColumn("field", field).where(F.col("field").isNotNull())
+    carried = key_inventory(table, by).withColumn("field", field).where(F.col("field").isNotNull())
     per_kind = carried.groupBy(by, "field", "kind").agg(F.sum("n").alias("n"), F.collect_set("key").alias("keys"))
     value_kind = F.col("kind").isin("number", "string", "boolean")
     return per_kind.groupBy(by, "field").agg(
@@ -137,10 +137,12 @@ def drift_report(rows: DataFrame, manifest: DataFrame, approved: Mapping[str, tu
     first file of a feed has none. A file without one readable record holds
     nothing. Files absent from ``rows`` or the manifest are not compared. The
     windows run over files, not records, and are partitioned by feed and field.
+    The records are ingested, and their fields read from the rescue column that
+    :func:`promote` replays.
     """
     files = rows.select("file_id").distinct().join(manifest.select("file_id", "feed", "file_seq"), "file_id")
     fields = F.explode(F.array(*[F.lit(f) for f in approved])).alias("field")
-    states = files.select("*", fields).join(field_states(rows, approved), ["file_id", "field"], "left")
+    states = files.select("*", fields).join(field_states(ingest(rows.select("file_id", "payload")), approved), ["file_id", "field"], "left")
     order = Window.partitionBy("feed", "field").orderBy("file_seq")
     pairs = states.withColumn("held", F.col("keys").isNotNull())
     for c in ("held", "keys", "kind"):
@@ -199,7 +201,7 @@ def promote(table: DataFrame, approved: Mapping[str, tuple[str, str]] = APPROVED
     ``rescued``; a null value leaves it too. Booleans and other text tell no
     amount, so they stay rescued and the column is null.
     """
-    out = table.drop(*approved).withColumn("_left", F.expr("array_sort(map_entries(try_cast(try_parse_json(rescued) as map<string,variant>)), (a, b) -> case when a.key < b.key then -1 when a.key > b.key then 1 else 0 end)"))
+    out = table.drop(*approved).withColumn("_left", replayed()).withColumn("_left", F.expr("array_sort(_left, (a, b) -> case when a.key < b.key then -1 when a.key > b.key then 1 else 0 end)"))
     names = F.transform("_left", lambda e: carried_field(e["key"], approved))
     values = F.transform("_left", lambda e: amount(e["value"].try_cast("string")))
     out = out.withColumn("_names", names).withColumn("_values", values)

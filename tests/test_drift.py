@@ -49,6 +49,22 @@ def test_report_has_two_changes_of_one_field(spark):
     assert sorted(map(tuple, got)) == [("renamed", "airport_fee", "Airport_fee"), ("retyped", "number", "string")]
 
 
+def test_report_reads_the_rescue_column(spark, monkeypatch):
+    files = {1: [{"airport_fee": 1, "trip_miles": 2.0}], 2: [{"Airport_fee": "1", "trip_miles": "far"}, '{"cut']}
+    kept, ingest = [], drift.ingest
+    monkeypatch.setattr(drift, "ingest", lambda rows, *args: kept.append(ingest(rows, *args)) or kept[-1])
+    assert drift.drift_report(frame(spark, files), manifest(spark, files)).count() == 2
+    inventory = {(r.file_id, r.key, r.kind, r.n) for r in drift.key_inventory(kept[0]).collect()}
+    assert inventory == {(1, "airport_fee", "number", 1), (2, "Airport_fee", "string", 1), (2, "trip_miles", "string", 1)}
+
+
+def test_dotted_key_beside_the_path_it_spells(spark):
+    files = {1: [{"fees.airport": 1, "fees": {"airport": 2}}], 2: [{"fees": {"airport": 2}}]}
+    assert drift.drift_report(frame(spark, files), manifest(spark, files)).count() == 0
+    got = drift.promote(drift.ingest(frame(spark, files))).orderBy("row_id").collect()
+    assert [r.airport_fee for r in got] == [2.0, 2.0] and got[0].rescued is None  # a variant keeps its keys in order
+
+
 def test_report_of_nothing(spark):
     files = {1: [{"airport_fee": 1}]}
     assert drift.drift_report(frame(spark, files).limit(0), manifest(spark, files)).count() == 0
