@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -167,7 +167,7 @@ def profile_states(df: DataFrame, by: Sequence[str], patterns: Mapping[str, str]
     finite; text: not the declared pattern; times: none), ``min_num``,
     ``max_num``, ``sum_num`` (finite numbers; times as seconds), ``min_txt``,
     ``max_txt`` (text), ``distinct_state`` (HyperLogLog of the values' hashes) and ``quantile_state`` (KLL over
-    finite numbers). Array, map and struct columns are counted by their text.
+    finite numbers), ``positive`` (finite numbers above 0) and ``yes`` (flags: ``Y``). Array, map and struct columns are counted by their text.
     """
     entries = []
     for f in df.schema.fields:
@@ -192,7 +192,7 @@ def profile_states(df: DataFrame, by: Sequence[str], patterns: Mapping[str, str]
         F.count(F.lit(1)).alias("rows"), F.count_if(~there).alias("nulls"), F.count_if(F.isnan("num")).alias("nans"),
         F.count_if("wrong").alias("malformed"), F.min(fit).alias("min_num"), F.max(fit).alias("max_num"), F.sum(fit).alias("sum_num"),
         F.min("txt").alias("min_txt"), F.max("txt").alias("max_txt"), F.hll_sketch_agg(key, lg_k).alias("distinct_state"),
-        F.kll_sketch_agg_double(fit).alias("quantile_state"),
+        F.kll_sketch_agg_double(fit).alias("quantile_state"), F.count_if(fit > 0).alias("positive"), F.count_if(F.col("txt") == "Y").alias("yes"),
     )
 
 
@@ -202,7 +202,7 @@ def merge_profile_states(states: DataFrame, by: Sequence[str] = ()) -> DataFrame
     return states.groupBy(*by, "column_name").agg(
         *[add(c) for c in ("rows", "nulls", "nans", "malformed")], F.min("min_num").alias("min_num"), F.max("max_num").alias("max_num"), add("sum_num"),
         F.min("min_txt").alias("min_txt"), F.max("max_txt").alias("max_txt"), F.hll_union_agg("distinct_state").alias("distinct_state"),
-        F.kll_merge_agg_double("quantile_state").alias("quantile_state"),
+        F.kll_merge_agg_double("quantile_state").alias("quantile_state"), add("positive"), add("yes"),
     )
 
 
@@ -216,3 +216,43 @@ def read_profile(states: DataFrame) -> DataFrame:
         F.hll_sketch_estimate("distinct_state").alias("approx_distinct"), "min_num", "max_num", "min_txt", "max_txt",
         quantile(0.25, "p25"), quantile(0.5, "p50"), quantile(0.75, "p75"),
     )
+
+
+#: Numbers that count on from load to load, as times do: their place is no finding, their spread may be.
+SERIAL = ("record_id",)
+
+
+def profile_findings(states: DataFrame, by: str, serial: Sequence[str], limits: Limits = Limits()) -> DataFrame:
+    """``by``, ``column_name``, ``finding``: the loads whose profile leaves the control limits, for every column of the profile states.
+
+    Each figure is compared with its median over all loads: ``null_rate``,
+    ``distinct_count`` (estimated), ``malformed`` (share of non-null values) and
+    ``distribution`` (a quartile where it and its median are positive, the share
+    of values above 0, or of ``Y``; of a column in ``serial`` only the quartiles'
+    distance). How the values of other text spread is not compared. The medians
+    are windows over a row per load and column, so the states are made once.
+    """
+    in_serial = F.col("column_name").isin(*serial)
+    values, numbers = F.col("rows") - F.col("nulls"), F.kll_sketch_get_n_double("quantile_state")
+    quantile = lambda q: F.when(numbers > 0, F.kll_sketch_get_quantile_double("quantile_state", F.lit(q)))
+    ratio = lambda a, b: F.when(b > 0, a / b)
+    figures = states.select(
+        by, "column_name", ratio(F.col("nulls"), F.col("rows")).alias("null_rate"), F.hll_sketch_estimate("distinct_state").cast("double").alias("distinct"),
+        ratio(F.col("malformed"), values).alias("malformed"), *[F.when(~in_serial, quantile(q)).alias(n) for n, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))],
+        F.when(in_serial, quantile(0.75) - quantile(0.25)).alias("spread"),
+        F.when(~in_serial, F.coalesce(ratio(F.col("positive"), numbers), F.when(F.col("max_txt").isin("Y", "N") | (F.col("yes") > 0), ratio(F.col("yes"), values)))).alias("share"),
+    )
+    names = figures.columns[2:]
+    both = figures.withColumns({f"m_{c}": F.percentile(c, F.lit(0.5)).over(Window.partitionBy("column_name")) for c in names})
+    outside = lambda c, factor: (F.col(f"m_{c}") > 0) & ((F.col(c) >= factor * F.col(f"m_{c}")) | (F.col(c) * factor <= F.col(f"m_{c}")))
+    moved = F.abs(F.col("share") - F.col("m_share")) >= limits.share_shift
+    for c in ("p25", "p50", "p75", "spread"):
+        moved = F.coalesce(moved, F.lit(False)) | F.coalesce((F.col(c) > 0) & outside(c, limits.median_factor), F.lit(False))
+    appears = (F.col("distinct") > 0) & (F.col("m_distinct") == 0)
+    found = F.array(
+        F.when(F.col("null_rate") >= F.col("m_null_rate") + limits.null_rise, "null_rate"),
+        F.when(outside("distinct", limits.distinct_factor) | appears, "distinct_count"),
+        F.when(F.col("malformed") >= F.col("m_malformed") + limits.bad_share, "malformed"),
+        F.when(moved, "distribution"),
+    )
+    return both.select(by, "column_name", F.explode(F.array_compact(found)).alias("finding"))

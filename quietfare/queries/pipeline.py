@@ -97,10 +97,18 @@ def p5_profile(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_profile_all(spark: SparkSession, d: str) -> DataFrame:
     """Profile of every column over all loads, merged from the loads' states."""
-    return quality.read_profile(quality.merge_profile_states(quality.profile_states(table(spark, d, "trips"), ["load_id"])))
+    loads = table(spark, d, "trips").withColumn("_load", F.col("load_id"))
+    return quality.read_profile(quality.merge_profile_states(quality.profile_states(loads, ["_load"])))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_table, p2_fee_totals, p3_found, p3_zone_stats, p3_borough_flows, p3_chained_trips, p3_trip_ranks, p5_found, p5_load_figures, p5_profile, p5_profile_all)}
+def p5_found_all(spark: SparkSession, d: str) -> DataFrame:
+    """Loads whose profile of any column differs from the rest, from the states of :func:`p5_profile`."""
+    trips = table(spark, d, "trips")
+    serial = [*quality.SERIAL, *[c for c, kind in trips.dtypes if kind.startswith("timestamp")]]
+    return quality.profile_findings(quality.profile_states(trips, ["load_id"]), "load_id", serial)
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_table, p2_fee_totals, p3_found, p3_zone_stats, p3_borough_flows, p3_chained_trips, p3_trip_ranks, p5_found, p5_load_figures, p5_profile, p5_profile_all, p5_found_all)}
 
 _FIN = "CASE WHEN isfinite({0}) THEN {0} END"
 _BOTH = "SELECT 'PULocationID' AS field, PULocationID AS zone_id, * FROM trips UNION ALL SELECT 'DOLocationID', DOLocationID, * FROM trips"

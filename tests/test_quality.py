@@ -1,6 +1,8 @@
 import random
 import statistics
+from datetime import datetime, timedelta
 
+import __spark_entry__ as entry
 from quietfare.operators import quality as Q
 
 SCHEMA = "load_id bigint, base_passenger_fare double, trip_miles double, airport_fee double, wav_request_flag string"
@@ -72,3 +74,30 @@ def test_profile_merges(spark):
     assert merged["trip_miles"].rows == 361 and merged["trip_miles"].nans == 1 and merged["base_passenger_fare"].nulls == 1 and merged["airport_fee"].malformed == 1 and merged["wav_request_flag"].malformed == 1
     assert abs(merged["trip_miles"].p50 - statistics.median(miles)) < 0.3 and abs(merged["trip_miles"].approx_distinct - 361) < 25
     assert merged["wav_request_flag"].min_txt == "N" and merged["wav_request_flag"].p50 is None
+
+
+def test_every_column_of_a_load_is_compared(spark, tmp_path):
+    random.seed(5)
+    begin = datetime(2026, 4, 1)
+    rows = []
+    for load in range(9):
+        for k in range(60):
+            at = begin + timedelta(days=load, minutes=random.randrange(1400))
+            rows.append([load * 60 + k, load, f"B{random.randrange(10, 30):05d}", at, 300 + random.randrange(900), 5 + random.random() * 30, random.choice([0.0, 0.0, 2.5]), random.choice("YN"), "note" if k % 20 == 0 else None])
+            r = rows[-1]
+            r[2] = "x" if load == 1 and k % 8 == 0 else r[2]
+            r[3] = begin + timedelta(days=2, minutes=random.randrange(100)) if load == 2 else at
+            r[4] *= 3 if load == 3 else 1
+            r[5] = None if load == 4 and k % 3 == 0 else r[5]
+            r[6] = 2.5 if load == 5 else r[6]
+            r[7] = "Y" if load == 6 else r[7]
+            r[2] = "B00011" if load == 7 else r[2]
+    df = spark.createDataFrame(rows, "record_id bigint, load_id bigint, dispatching_base_num string, pickup_datetime timestamp_ntz, trip_time bigint, driver_pay double, tips double, shared_match_flag string, support_note string")
+    df.write.parquet(str(tmp_path / "trips.parquet"))
+    got = {tuple(r) for r in entry.queries()["p5_found_all"](spark, str(tmp_path)).collect()}
+    assert got == {
+        (1, "dispatching_base_num", "malformed"), (2, "pickup_datetime", "distribution"), (3, "trip_time", "distribution"), (4, "driver_pay", "null_rate"),
+        (5, "tips", "distribution"), (6, "shared_match_flag", "distribution"), (7, "dispatching_base_num", "distinct_count"),
+    }
+    whole = {r.column_name: r for r in entry.queries()["p5_profile_all"](spark, str(tmp_path)).collect()}
+    assert set(whole) == set(df.columns) and whole["load_id"].approx_distinct == 9
