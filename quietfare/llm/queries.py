@@ -9,6 +9,7 @@ from quietfare.llm import digest, mixing, packing, personal, sentences, tokens
 from quietfare.queries.common import table
 
 MEASURES = ["base_passenger_fare", "trip_time", "driver_pay"]
+MOST_CAPACITIES = 1000
 QUANTILES = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
 
 
@@ -37,7 +38,10 @@ def p4_zone_percentiles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _capacities(spark: SparkSession, d: str) -> dict[int, int]:
-    return {r.capacity_id: r.capacity_tokens for r in table(spark, d, "pack_capacities").limit(1000).collect()}
+    rows = table(spark, d, "pack_capacities").limit(MOST_CAPACITIES + 1).collect()
+    if len(rows) > MOST_CAPACITIES:
+        raise ValueError(f"pack_capacities has more than {MOST_CAPACITIES} rows")
+    return {r.capacity_id: r.capacity_tokens for r in rows}
 
 
 def p6_pack(spark: SparkSession, d: str) -> DataFrame:

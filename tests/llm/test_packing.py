@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quietfare.llm import packing as K
+from quietfare.llm import queries
 
 
 @settings(max_examples=100, deadline=None)
@@ -63,3 +64,11 @@ def test_report_and_empty(spark):
     assert K.pack(spark.createDataFrame([], "doc_id bigint, text string"), {1: 10}).count() == 0
     with pytest.raises(ValueError):
         K.BestFit(0, 1)
+
+
+def test_too_many_capacities_are_refused(spark, tmp_path):
+    for n in (1000, 1001):
+        spark.range(n).selectExpr("cast(id as int) as capacity_id", "'c' as label", "cast(id + 1 as int) as capacity_tokens").write.parquet(str(tmp_path / str(n) / "pack_capacities.parquet"))
+    assert len(queries._capacities(spark, str(tmp_path / "1000"))) == 1000
+    with pytest.raises(ValueError, match="more than 1000"):
+        queries._capacities(spark, str(tmp_path / "1001"))
