@@ -61,20 +61,27 @@ def carried_field(path: Column, approved: Mapping[str, tuple[str, str]] = APPROV
     return found
 
 
-def leaves_sql(source: str) -> str:
-    """SQL for ``array<struct<key string, value variant>>`` of the variant column ``source``.
+def leaves_sql(source: str, payload: str) -> str:
+    """SQL for ``array<struct<key string, value variant>>`` of the variant column ``source``, parsed from ``payload``.
 
-    Members of nested objects come under dotted paths, two levels deep; deeper
-    objects and arrays stay whole values. Null where ``source`` is no object.
+    Members of nested objects come under dotted paths, those of arrays that hold
+    objects (or differ in type) under ``path[i]``; other arrays and empty objects
+    are values. Levels are opened until none is left: each takes a bracket of the
+    payload. Null where ``source`` is no object.
     """
-    opened = "map_entries(try_cast({} as map<string,variant>))"
-    return (
-        f"flatten(transform({opened.format(source)}, a -> if(schema_of_variant(a.value) like 'OBJECT%', "
-        f"flatten(transform({opened.format('a.value')}, b -> if(schema_of_variant(b.value) like 'OBJECT%', "
-        f"transform({opened.format('b.value')}, c -> struct(a.key||'.'||b.key||'.'||c.key as key, c.value as value)), "
-        "array(struct(a.key||'.'||b.key as key, b.value as value))))), "
-        "array(struct(a.key as key, a.value as value)))))"
+    top = f"map_entries(try_cast({source} as map<string,variant>))"
+    is_object = lambda e: f"(schema_of_variant({e}.value) like 'OBJECT<_%' and schema_of_variant({e}.value) <> 'OBJECT<>')"
+    is_array = lambda e: f"(schema_of_variant({e}.value) like 'ARRAY<%OBJECT<%' or schema_of_variant({e}.value) like 'ARRAY<%VARIANT%')"
+    inside = (
+        f"flatten(transform(s.leaves, e -> case when {is_object('e')} then transform(map_entries(try_cast(e.value as map<string,variant>)), m -> struct(e.key||'.'||m.key as key, m.value as value)) "
+        f"when {is_array('e')} then transform(try_cast(e.value as array<variant>), (v, i) -> struct(e.key||'['||i||']' as key, v as value)) "
+        "else array(struct(e.key as key, e.value as value)) end))"
     )
+    kind = "struct<leaves:array<struct<key:string,value:variant>>,more:boolean>"
+    levels = f"length({payload}) - length(translate({payload}, '{{[', '')) - 1"
+    steps = f"if({levels} > 0, sequence(1, {levels}), cast(array() as array<int>))"
+    more = f"exists(s.leaves, e -> {is_object('e')} or {is_array('e')})"
+    return f"reduce({steps}, cast(named_struct('leaves', {top}, 'more', true) as {kind}), (s, n) -> if(s.more and {more}, cast(named_struct('leaves', {inside}, 'more', true) as {kind}), cast(named_struct('leaves', s.leaves, 'more', false) as {kind})), s -> s.leaves)"
 
 
 def with_leaves(rows: DataFrame, payload: str = "payload", name: str = "_leaves") -> DataFrame:
@@ -86,7 +93,7 @@ def with_leaves(rows: DataFrame, payload: str = "payload", name: str = "_leaves"
     """
     parsed = rows.withColumn("_parsed", F.try_parse_json(F.col(payload)))
     unique = f"if(size(array_distinct({name}.key)) = size({name}), {name}, transform({name}, (e, i) -> struct(e.key || if(array_position({name}.key, e.key) = i + 1, '', '{AGAIN}' || i) as key, e.value as value)))"
-    return parsed.withColumn(name, F.expr(leaves_sql("_parsed"))).withColumn(name, F.expr(unique)).drop("_parsed")
+    return parsed.withColumn(name, F.expr(leaves_sql("_parsed", payload))).withColumn(name, F.expr(unique)).drop("_parsed")
 
 
 def json_kind(short: Column) -> Column:
@@ -107,7 +114,7 @@ def key_inventory(table: DataFrame, by: str = "file_id") -> DataFrame:
     leaves = table.select(F.col(by), F.explode_outer(F.when(F.col("readable"), replayed())).alias("_leaf"))
     short = F.substring(F.expr("schema_of_variant(_leaf.value)"), 1, 3)
     counted = leaves.select(by, F.col("_leaf.key").alias("key"), short.alias("_t")).groupBy(by, "key", "_t").agg(F.count(F.lit(1)).alias("n")).where("key is not null")
-    key = F.regexp_replace("key", f"{AGAIN}[0-9]+$", "").alias("key")
+    key = F.regexp_replace(F.regexp_replace("key", f"{AGAIN}[0-9]+$", ""), r"\[[0-9]+\]", "[]").alias("key")  # an item's place is no part of its path
     return counted.select(by, key, json_kind(F.col("_t")).alias("kind"), "n").groupBy(by, "key", "kind").agg(F.sum("n").alias("n"))
 
 

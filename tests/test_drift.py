@@ -65,6 +65,17 @@ def test_dotted_key_beside_the_path_it_spells(spark):
     assert [r.airport_fee for r in got] == [2.0, 2.0] and got[0].rescued is None  # a variant keeps its keys in order
 
 
+def test_fees_at_any_depth_and_in_arrays(spark):
+    deep = {"a": {"b": {"c": {"d": {"airport_fee": 1.5}}}}, "empty": {}, "list": [1, 2]}
+    files = {1: [{"x": 1}], 2: [deep], 3: [{"items": [{"y": 1}, {"fees": [{"airport": 2.5}]}]}]}
+    assert sorted(map(tuple, drift.drift_report(frame(spark, files), manifest(spark, files)).collect())) == [
+        (2, "airport_fee", "added", None, "a.b.c.d.airport_fee"), (3, "airport_fee", "renamed", "a.b.c.d.airport_fee", "items[].fees[].airport"),
+    ]
+    got = drift.promote(drift.ingest(frame(spark, files))).orderBy("row_id").collect()
+    assert [r.airport_fee for r in got] == [None, 1.5, 2.5]
+    assert [json.loads(r.rescued) for r in got] == [{"x": 1}, {"empty": {}, "list": [1, 2]}, {"items[0].y": 1}]
+
+
 def test_report_of_nothing(spark):
     files = {1: [{"airport_fee": 1}]}
     assert drift.drift_report(frame(spark, files).limit(0), manifest(spark, files)).count() == 0
