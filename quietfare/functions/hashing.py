@@ -40,7 +40,15 @@ def hash_sample(df: DataFrame, columns: Sequence[str], n: int, tie: str) -> Data
 
 
 def content_hash(df: DataFrame) -> DataFrame:
-    """One row with a hash of the content that no order or file layout changes: row count and XOR of row hashes."""
+    """One row with a hash of the content that no order or file layout changes: ``rows`` and ``content_hash``.
+
+    Every row is hashed twice, independently, and both hashes are summed over all
+    rows as decimals, so that repeated rows count as often as they occur and no
+    pair of rows cancels. Columns are taken by name. An empty table has the hash
+    of two zero sums.
+    """
     columns = [F.col(f"`{c}`") for c in sorted(df.columns)]
-    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns])  # the hash passes over nulls
-    return df.select(F.xxhash64(nulls, *columns).alias("h")).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.bit_xor("h"), F.lit(0)).alias("content_hash"))
+    nulls = F.concat(F.lit(""), *[F.when(c.isNull(), "1").otherwise("0") for c in columns])  # the hash passes over nulls
+    hashes = df.select(F.xxhash64(nulls, *columns).alias("a"), F.xxhash64(F.lit("second"), nulls, *columns).alias("b"))
+    total = lambda c: F.coalesce(F.sum(F.col(c).cast("decimal(28,0)")), F.lit(0)).cast("string")
+    return hashes.agg(F.count(F.lit(1)).alias("rows"), F.sha2(F.concat_ws("|", F.count(F.lit(1)), total("a"), total("b")), 256).alias("content_hash"))

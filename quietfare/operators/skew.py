@@ -88,19 +88,23 @@ def eager_join_aggregate(
     )
 
 
-def heavy_keys(df: DataFrame, fields: Sequence[str], percent: int = 3) -> DataFrame:
+def heavy_keys(df: DataFrame, fields: Sequence[str], dimension: DataFrame, percent: int = 3) -> DataFrame:
     """``field``, ``key``, ``rows``, ``total``: the non-null keys with at least ``percent`` % of all rows.
 
-    The states per key are joined with the states per field (both a few rows)
-    and compared in whole numbers, so no rounding decides. Rows with a null key
-    count in the total. An empty table has no heavy key.
+    ``dimension`` has the known keys in its first column. It and ``df`` are
+    pre-aggregated by key and their states joined (:func:`eager_join_aggregate`);
+    the counts are rolled up per key and per field and compared in whole numbers,
+    so no rounding decides. Keys that the dimension doesn't know, or knows more
+    than once, count like any other. Rows with a null key count in the total. An
+    empty table has no heavy key.
     """
-    per_key = key_states(unpivot_keys(df, fields), ["field", "key"])
-    per_field = merge_key_states(per_key, ["field"]).withColumnRenamed("rows", "total")
+    known = dimension.select(F.col(dimension.columns[0]).alias("key")).distinct()
+    joined = eager_join_aggregate(unpivot_keys(df, fields), known, ["key"], left_by=["field"], how="left")
+    per_field = merge_key_states(joined, ["field"]).withColumnRenamed("rows", "total")
     # tied to the count, so that the filter stays above the aggregate and both sides share one scan and shuffle
     some_key = F.when(F.col("rows") > 0, F.col("key")).isNotNull()
     return (
-        per_key.where(some_key)
+        joined.where(some_key)
         .join(per_field, "field")
         .where(F.col("rows") * 100 >= F.col("total") * percent)
         .select("field", "key", "rows", "total")

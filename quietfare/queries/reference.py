@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -184,6 +186,21 @@ def content_hash(spark: SparkSession, d: str) -> DataFrame:
     return hashing.content_hash(_trips(spark, d).select(*S.REAL_COLUMNS))
 
 
+def content_hash_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the content hash of all trips stays the same under changes of order, of one value, of which rows are repeated, and of one row's count."""
+    t = _trips(spark, d).select("record_id", *S.REAL_COLUMNS)
+    first = F.col("record_id") == t.agg(F.min("record_id")).scalar()
+    odd, even = (t.unionAll(t.where(f"record_id % 2 = {i}")).unionAll(t.where(f"record_id % 2 = {i}")) for i in (1, 0))
+    versions = {
+        "order": (t, t.orderBy(F.desc("record_id"))),
+        "value": (t, t.withColumn("trip_time", F.when(first, F.coalesce("trip_time", F.lit(0)) + 1).otherwise(F.col("trip_time")))),
+        "repeated rows": (odd, even),
+        "one row more": (t, t.unionAll(t.where(first))),
+    }
+    hashes = [hashing.content_hash(x.drop("record_id")).select(F.lit(name).alias("change"), "content_hash") for name, pair in versions.items() for x in pair]
+    return reduce(DataFrame.unionAll, hashes).groupBy("change").agg((F.count_distinct("content_hash") == 1).alias("same"))
+
+
 def time_buckets(spark: SparkSession, d: str) -> DataFrame:
     ts = F.col("pickup_datetime")
     return _trips(spark, d).select("record_id", *[bucket(ts, m).alias(f"b{m}") for m in (1, 7, 15, 60, 1440)])
@@ -378,7 +395,7 @@ QUERIES = {
     for f in (
         uniqueness_ladder, equivalence_classes, custom_qi_risk, class_size_histogram, k_suppressed_rows, class_size_per_row, mds_aggregate, mds_cells_summary, dimension_aggregate,
         zone_rollup_left, zone_rollup_inner, license_filter_count, trip_schema, sql_passthrough, profile_one_pass, health_gate, health_gate_license, health_score, null_cells_by_column, money_profile, validity_rule_counts,
-        consistency_rule_counts, contract_failures, duplicate_rows, uncastable_values, pseudonymized_ids, salt_disjointness, value_hashes, salt_fingerprint, uuid5_trip_ids, hash_sample, content_hash,
+        consistency_rule_counts, contract_failures, duplicate_rows, uncastable_values, pseudonymized_ids, salt_disjointness, value_hashes, salt_fingerprint, uuid5_trip_ids, hash_sample, content_hash, content_hash_changes,
         time_buckets, durations, drop_and_select, export_tlc, export_le, withheld_columns, policy_plans, classification_tiers, unclassified_columns, email_spans, email_counts, redacted_emails,
         note_spans, redact_audit, detection_scores, detection_targets, heldout_scores, dev_slice_labels, synthetic_identities, synthetic_notes, synth_stats, request_field_tiers, request_profiles, ledger_verify, ledger_tampered, ledger_events,
         exports_table, validation_table, uniqueness_table, suppression_table, triage_table, requests_table, health_trend,

@@ -79,7 +79,20 @@ _OK = f"ok AS (SELECT * FROM c WHERE hvfhs_license_num = '{S.LICENSE}' AND {' AN
 _RAW_OK = _OK.replace("FROM c WHERE", "FROM trips WHERE", 1)
 _SAMPLE = "md5(concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in ["request_datetime", "pickup_datetime", "dropoff_datetime", "PULocationID", "DOLocationID", "trip_time", "record_id"]) + "))"
 
+_REAL = ", ".join(S.REAL_COLUMNS)
+
+
+def _same_content(name: str, before: str, after: str) -> str:
+    return f"SELECT '{name}' AS change, NOT EXISTS (({before}) EXCEPT ALL ({after})) AND NOT EXISTS (({after}) EXCEPT ALL ({before})) AS same"
+
+
+_CONTENT = f"SELECT {_REAL} FROM trips"
+_ODD, _EVEN = (f"{_CONTENT} UNION ALL {_CONTENT} WHERE record_id % 2 = {i} UNION ALL {_CONTENT} WHERE record_id % 2 = {i}" for i in (1, 0))
+_FIRST = "record_id = (SELECT min(record_id) FROM trips)"
+_OTHER_TIME = f"SELECT {_REAL.replace('trip_time', f'CASE WHEN {_FIRST} THEN coalesce(trip_time, 0) + 1 ELSE trip_time END AS trip_time')} FROM trips"
+
 ORACLES = {
+    "content_hash_changes": " UNION ALL ".join([_same_content("order", _CONTENT, _CONTENT), _same_content("value", _CONTENT, _OTHER_TIME), _same_content("repeated rows", _ODD, _EVEN), _same_content("one row more", _CONTENT, f"{_CONTENT} UNION ALL {_CONTENT} WHERE {_FIRST}")]),
     "uniqueness_ladder": f"WITH {_R} " + " UNION ALL ".join(_figures(k, v) for k, v in {"zone x minute": "pu, do_id, minute", "zone x 15 min": "pu, do_id, quarter", "zone x 60 min": "pu, do_id, hour", "borough x 15 min": "pb, db, quarter"}.items()),
     "equivalence_classes": f"WITH {_R} SELECT pb, db, hour, count(*) AS sz FROM r GROUP BY ALL",
     "custom_qi_risk": f"WITH {_R} {_figures('', 'pu, hour, wav_request_flag')}",

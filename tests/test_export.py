@@ -106,3 +106,11 @@ def test_hashes(spark):
     one, two = (set(r[0] for r in many.select(hashing.pseudonym(F.col("v"), s)).collect()) for s in (SALT, SALT[::-1]))
     assert not one & two
     assert hashing.content_hash(many).first() == hashing.content_hash(many.repartition(3)).first()
+
+
+def test_content_hash_sees_repeated_rows(spark):
+    hashed = lambda rows: hashing.content_hash(spark.createDataFrame(rows, "a string, b int")).first()
+    assert hashed([("a", 1), ("a", 1), ("z", 1)]) != hashed([("b", 1), ("b", 1), ("z", 1)])
+    assert hashed([("a", 1), ("z", None)]) != hashed([("a", None), ("z", 1)])
+    assert hashed([("a", 1), ("z", 2)]) == hashed([("z", 2), ("a", 1)])
+    assert hashed([]).rows == 0 and hashed([]) != hashed([(None, None)])

@@ -9,12 +9,12 @@ from quietfare.operators import skew
 
 def test_heavy_keys_count_nulls_in_the_total(spark):
     rows = [(1,)] * 30 + [(2,)] * 3 + [(3,)] * 2 + [(None,)] * 65
-    got = skew.heavy_keys(spark.createDataFrame(rows, "a int"), ["a"]).select("field", "key", "rows", "total").collect()
+    got = skew.heavy_keys(spark.createDataFrame(rows, "a int"), ["a"], spark.createDataFrame([(1,), (1,), (None,)], "id int")).select("field", "key", "rows", "total").collect()
     assert sorted(map(tuple, got)) == [("a", 1, 30, 100), ("a", 2, 3, 100)]
 
 
 def test_heavy_keys_of_an_empty_table(spark):
-    assert skew.heavy_keys(spark.createDataFrame([], "a int, b int"), ["a", "b"]).count() == 0
+    assert skew.heavy_keys(spark.createDataFrame([], "a int, b int"), ["a", "b"], spark.createDataFrame([], "id int")).count() == 0
 
 
 def test_eager_join_equals_the_join(spark):
