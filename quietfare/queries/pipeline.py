@@ -24,7 +24,17 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_table(spark: SparkSession, d: str) -> DataFrame:
     """Every raw record in one schema, both fees as numbers, the rest rescued as JSON."""
-    return drift.promote(drift.ingest(table(spark, d, "trip_file_rows")))
+    return drift.promote(drift.ingest(table(spark, d, "trip_file_rows"), as_json=False))
+
+
+def p2_changes(spark: SparkSession, d: str) -> DataFrame:
+    """Changes of every field, typed or rescued, from one file of a feed to the next, with the keys or types before and after."""
+    return drift.drift_report(table(spark, d, "trip_file_rows"), table(spark, d, "trip_files"), every_key=True)
+
+
+def p2_typed(spark: SparkSession, d: str) -> DataFrame:
+    """The table without its rescued JSON: only what reached a typed column."""
+    return p2_table(spark, d).drop("rescued")
 
 
 def p2_fee_totals(spark: SparkSession, d: str) -> DataFrame:
@@ -108,7 +118,7 @@ def p5_found_all(spark: SparkSession, d: str) -> DataFrame:
     return quality.profile_findings(quality.profile_states(trips, ["load_id"]), "load_id", serial)
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_table, p2_fee_totals, p3_found, p3_zone_stats, p3_borough_flows, p3_chained_trips, p3_trip_ranks, p5_found, p5_load_figures, p5_profile, p5_profile_all, p5_found_all)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_changes, p2_table, p2_typed, p2_fee_totals, p3_found, p3_zone_stats, p3_borough_flows, p3_chained_trips, p3_trip_ranks, p5_found, p5_load_figures, p5_profile, p5_profile_all, p5_found_all)}
 
 _FIN = "CASE WHEN isfinite({0}) THEN {0} END"
 _BOTH = "SELECT 'PULocationID' AS field, PULocationID AS zone_id, * FROM trips UNION ALL SELECT 'DOLocationID', DOLocationID, * FROM trips"
@@ -144,7 +154,42 @@ f AS (SELECT file_id, row_id, path, ty, v,
     CASE WHEN ty IN ('UBIGINT', 'BIGINT', 'DOUBLE', 'HUGEINT') THEN 'number' WHEN ty = 'VARCHAR' THEN 'string' WHEN ty = 'BOOLEAN' THEN 'boolean' END AS kind FROM x)
 """
 
+
+
+def _typed(column: str, kind: str) -> str:
+    """A top-level value of a payload in its column's type, null unless the JSON type fits without loss."""
+    value, ty = f"(payload->>'$.\"{column}\"')", f"json_type(payload, '$.\"{column}\"')"
+    if kind == "double":
+        return f"CASE WHEN readable AND {ty} IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN CAST({value} AS DOUBLE) END AS \"{column}\""
+    if kind in ("int", "bigint"):
+        return f"CASE WHEN readable AND {ty} IN ('UBIGINT', 'BIGINT', 'DOUBLE') AND TRY_CAST(CAST({value} AS DOUBLE) AS {kind}) = CAST({value} AS DOUBLE) THEN TRY_CAST(CAST({value} AS DOUBLE) AS {kind}) END AS \"{column}\""
+    return f"CASE WHEN readable AND {ty} = 'VARCHAR' THEN TRY_CAST({value} AS {'TIMESTAMP' if kind == 'timestamp_ntz' else 'VARCHAR'}) END AS \"{column}\""
+
+
+#: Continues ``_FEES`` with the amount of each record and fee.
+_AMOUNTS = r""",
+        v AS (SELECT row_id, field, path, CASE WHEN kind = 'number' THEN CAST(v AS DOUBLE)
+            WHEN kind = 'string' THEN TRY_CAST(replace(trim(regexp_replace(trim(lower(v->>'$')), '^(usd|us\$|\$|€|eur)|(usd|us\$|\$|€|eur)$', '', 'g')), ',', '.') AS DOUBLE) END AS amount FROM f WHERE field IS NOT NULL),
+        o AS (SELECT row_id, field, arg_min(amount, path) AS amount FROM v WHERE amount IS NOT NULL GROUP BY ALL)"""
+
 ORACLES = {
+    "p2_typed": _FEES + _AMOUNTS + f"""
+        SELECT t.row_id, t.file_id, t.line_no, {', '.join(_typed(c, kind) for c, kind in drift.TRIP_SCHEMA.items())}, readable, a.amount AS airport_fee, c.amount AS cbd_congestion_fee
+        FROM (SELECT *, payload IS NOT NULL AND json_valid(payload) AS readable FROM trip_file_rows) t
+        LEFT JOIN o a ON t.row_id = a.row_id AND a.field = 'airport_fee' LEFT JOIN o c ON t.row_id = c.row_id AND c.field = 'cbd_congestion_fee'""",
+    "p2_changes": _FEES + f""",
+        g AS (SELECT file_id, coalesce(field, path) AS field, path, kind FROM f WHERE NOT (ty = 'NULL' AND path IN ({', '.join(repr(c) for c in drift.TRIP_SCHEMA)}))),
+        k AS (SELECT file_id, field, string_agg(DISTINCT path, ', ' ORDER BY path) AS keys FROM g GROUP BY ALL),
+        n AS (SELECT file_id, field, kind, count(*) AS n FROM g WHERE kind IS NOT NULL GROUP BY ALL),
+        m AS (SELECT file_id, field, kind FROM n QUALIFY row_number() OVER (PARTITION BY file_id, field ORDER BY n DESC, kind) = 1),
+        t AS (SELECT file_id, feed, file_seq FROM trip_files WHERE file_id IN (SELECT file_id FROM trip_file_rows)),
+        h AS (SELECT DISTINCT t.feed, k.field FROM t JOIN k USING (file_id)),
+        a AS (SELECT t.*, h.field, k.keys, m.kind FROM t JOIN h USING (feed) LEFT JOIN k ON k.file_id = t.file_id AND k.field = h.field LEFT JOIN m ON m.file_id = t.file_id AND m.field = h.field),
+        b AS (SELECT *, lag(keys) OVER o AS keys0, lag(kind) OVER o AS kind0, row_number() OVER o AS place FROM a WINDOW o AS (PARTITION BY feed, field ORDER BY file_seq))
+        SELECT file_id, field, 'added' AS change, NULL AS "before", keys AS "after" FROM b WHERE place > 1 AND keys IS NOT NULL AND keys0 IS NULL
+        UNION ALL SELECT file_id, field, 'removed', keys0, NULL FROM b WHERE place > 1 AND keys IS NULL AND keys0 IS NOT NULL
+        UNION ALL SELECT file_id, field, 'renamed', keys0, keys FROM b WHERE place > 1 AND keys <> keys0
+        UNION ALL SELECT file_id, field, 'retyped', kind0, kind FROM b WHERE place > 1 AND keys IS NOT NULL AND keys0 IS NOT NULL AND kind <> kind0""",
     "p2_found": _FEES + """,
         k AS (SELECT file_id, field, string_agg(DISTINCT path, ', ' ORDER BY path) AS keys FROM f WHERE field IS NOT NULL GROUP BY ALL),
         n AS (SELECT file_id, field, kind, count(*) AS n FROM f WHERE field IS NOT NULL AND kind IS NOT NULL GROUP BY ALL),
@@ -156,10 +201,7 @@ ORACLES = {
         UNION ALL SELECT file_id, field, 'removed' FROM b WHERE place > 1 AND keys IS NULL AND keys0 IS NOT NULL
         UNION ALL SELECT file_id, field, 'renamed' FROM b WHERE place > 1 AND keys <> keys0
         UNION ALL SELECT file_id, field, 'retyped' FROM b WHERE place > 1 AND keys IS NOT NULL AND keys0 IS NOT NULL AND kind <> kind0""",
-    "p2_fee_totals": _FEES + r""",
-        v AS (SELECT row_id, field, path, CASE WHEN kind = 'number' THEN CAST(v AS DOUBLE)
-            WHEN kind = 'string' THEN TRY_CAST(replace(trim(regexp_replace(trim(lower(v->>'$')), '^(usd|us\$|\$|€|eur)|(usd|us\$|\$|€|eur)$', '', 'g')), ',', '.') AS DOUBLE) END AS amount FROM f WHERE field IS NOT NULL),
-        o AS (SELECT row_id, field, arg_min(amount, path) AS amount FROM v WHERE amount IS NOT NULL GROUP BY ALL)
+    "p2_fee_totals": _FEES + _AMOUNTS + """
         SELECT r.file_id, count(*) AS records, count(CASE WHEN readable THEN 1 END) AS readable_records, count(a.amount) AS airport_fees, count(c.amount) AS cbd_fees,
           round(coalesce(sum(a.amount), 0.0), 2) AS airport_sum, round(coalesce(sum(c.amount), 0.0), 2) AS cbd_sum
         FROM r LEFT JOIN o a ON r.row_id = a.row_id AND a.field = 'airport_fee' LEFT JOIN o c ON r.row_id = c.row_id AND c.field = 'cbd_congestion_fee' GROUP BY r.file_id""",

@@ -98,6 +98,33 @@ def test_ingest_rescues_and_promotes(spark):
     assert json.loads(got[3]["rescued"]) == {"_unreadable": '{"cut'} and not got[3]["readable"] and got[4]["rescued"] is None
 
 
+def test_values_that_do_not_fit_are_rescued(spark):
+    rows = frame(spark, {1: [
+        {"PULocationID": 3.7, "trip_miles": True, "trip_time": "60", "hvfhs_license_num": 3, "pickup_datetime": "soon"},
+        {"PULocationID": 3.0, "trip_miles": 2, "trip_time": 3e10, "DOLocationID": 3e10, "base_passenger_fare": 9007199254740993},
+        {"PULocationID": None, "driver_pay": 0.1234567890123456789},
+    ]})
+    got = drift.ingest(rows).orderBy("row_id").collect()
+    assert json.loads(got[0].rescued) == {"PULocationID": 3.7, "trip_miles": True, "trip_time": "60", "hvfhs_license_num": 3, "pickup_datetime": "soon"} and got[0].PULocationID is None
+    assert (got[1].PULocationID, got[1].trip_miles, got[1].trip_time) == (3, 2.0, 30_000_000_000)
+    assert set(json.loads(got[1].rescued)) == {"DOLocationID", "base_passenger_fare"} and got[2].PULocationID is None
+
+
+def test_both_ways_of_promotion_agree(spark):
+    rows = frame(spark, {1: [{"trip_miles": "x", "airport_fee": "$2"}, {"fees": {"airport": 1}, "b": [{"c": 1}]}, "cut", None, {"a.b": 1, "a": {"b": 2}}, {}, {"cbd_fee": None}]})
+    order = lambda df: df.orderBy("row_id").collect()
+    assert order(drift.promote(drift.ingest(rows))) == order(drift.promote(drift.ingest(rows, as_json=False)))
+
+
+def test_report_of_every_key(spark):
+    files = {1: [{"trip_miles": 1.0, "x": 1}], 2: [{"trip_miles": "far", "x": "1", "a": {"b": {"c": [{"d": {"e": 1}}]}}}, {"x": "2"}], 3: [{"x": "3", "y.z": None}]}
+    got = drift.drift_report(frame(spark, files), manifest(spark, files), every_key=True).select("file_id", "field", "change").collect()
+    assert sorted(map(tuple, got)) == [
+        (2, "a.b.c[].d.e", "added"), (2, "trip_miles", "retyped"), (2, "x", "retyped"),
+        (3, "a.b.c[].d.e", "removed"), (3, "trip_miles", "removed"), (3, "y.z", "added"),
+    ]
+
+
 def test_ingest_with_clashing_columns(spark):
     rows = frame(spark, {1: [{"trip_miles": 1.0}]}).withColumn("trip_miles", F.lit("old")).withColumn("rescued", F.lit("old")).withColumn("airport_fee", F.lit(9))
     got = drift.promote(drift.ingest(rows)).first()
