@@ -51,6 +51,73 @@ def test_values(text, want):
     assert values(text) == want
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("Bartholomew Quigley left a bag", {("Bartholomew Quigley", "PERSON")}),
+        ("Spoke with Fiona Gallagher today", {("Fiona Gallagher", "PERSON")}),
+        ("Saoirse Brennan complained", {("Saoirse Brennan", "PERSON")}),
+        ("We refunded Dwayne Pettigrew.", {("Dwayne Pettigrew", "PERSON")}),
+        ("Xiu Ling Chan called us", {("Xiu Ling Chan", "PERSON")}),
+        ("Torvald P. Haugen, Jr. says so", {("Torvald P. Haugen, Jr.", "PERSON")}),
+        ("Guinevere Locke <gl@post.example>", {("Guinevere Locke", "PERSON"), ("gl@post.example", "EMAIL_ADDRESS")}),
+        ("Two riders, Oksana Bilyk and Zoltan Nagy, split it", {("Oksana Bilyk", "PERSON"), ("Zoltan Nagy", "PERSON")}),
+        ("王小明说司机没来", {("王小明", "PERSON")}),
+        ("승객 김민수 님이 기다렸다", {("김민수", "PERSON")}),
+        ("Ο επιβάτης Γιώργος Παπαδόπουλος περίμενε", {("Γιώργος Παπαδόπουλος", "PERSON")}),
+        ("Abholung Hauptstraße 12 bitte", {("Hauptstraße 12", "LOCATION")}),
+        ("Fermata in Via Roma 12, grazie", {("Via Roma 12", "LOCATION")}),
+        ("Odbiór: ul. Leśna 5/7 dzisiaj", {("ul. Leśna 5/7", "LOCATION")}),
+        ("Send it to P.O. Box 4411 please", {("P.O. Box 4411", "LOCATION")}),
+        ("Meet at 12 Rue", set()),
+        ("Tallow Crossing was closed. Linden Yards Garage reports 393 vehicles. State ID was used. Lost Property called.", set()),
+        ("The owner seems to be very upset. Night desk says no.", set()),
+    ],
+)
+def test_values_beyond_the_lists(text, want):
+    assert values(text) == want
+
+
+def test_values_longer_than_any_window():
+    long = "x" * 300
+    for value, kind in [(f"{long}@mail.example", "EMAIL_ADDRESS"), (f"a@{'b.' * 200}example", "EMAIL_ADDRESS"), (f"Anna {'Berg-' * 60}Holm", "PERSON"), (f"12 {'A' + 'b' * 200} Street", "LOCATION")]:
+        text = f"mail {value} please"
+        assert values(text) == {(value, kind)} and P.redact(text, P.find_spans(text)) == f"mail [{kind}] please"
+    filler = "number on file is: " * 20
+    assert values(f"SSN {filler}959-31-3974.") == {("959-31-3974", "ID_NUMBER")}
+    assert values(f"VIN {'of the car as the inspector read it twice ' * 3}FD7-P4A00B-HHVZRVXB.") == {("FD7-P4A00B-HHVZRVXB", "VEHICLE_VIN")}
+
+
+UNLISTED = ["Bartholomew", "Fiona", "Saoirse", "Dwayne", "Torvald", "Guinevere", "Zoltan", "Perpetua", "Cassius", "Ulrike", "Baldwin", "Oksana", "Thandiwe", "Ludmila", "Ferdinand", "Quentin", "Rosalind", "Nkechi", "Anneliese"]
+
+
+def test_recall_with_every_given_name_unlisted(spark):
+    """The notes of a small table, with each listed given name replaced by one that no list holds."""
+    import random
+    import re
+
+    assert not {n.lower() for n in UNLISTED} & (set(P.GIVEN_NAMES) | set(P.WORD_NAMES))
+    random.seed(7)
+    notes = [r[0] for r in spark.read.parquet("/root/testdata/sf0.01/trips.parquet").where("support_note <> ''").select("support_note").distinct().collect()]
+    want = hit = 0
+
+    def renamed(m):
+        name = random.choice(UNLISTED)
+        return m.group() if m.group().lower() not in P._GIVEN else name.lower() if m.group().islower() else name.upper() if m.group().isupper() else name
+
+    for note in notes:
+        out, gold, at = "", set(), 0
+        for start, end, kind in P.find_spans(note):
+            value = re.sub(r"[^\W\d_]+", renamed, note[start:end]) if kind == "PERSON" else note[start:end]
+            out += note[at:start]
+            if value != note[start:end]:
+                gold.add((len(out), len(out) + len(value)))
+            out, at = out + value, end
+        found = {(a, b) for a, b, kind in P.find_spans(out + note[at:]) if kind == "PERSON"}
+        want, hit = want + len(gold), hit + len(gold & found)
+    assert want > 300 and hit / want >= 0.9
+
+
 @pytest.mark.parametrize("text", [None, "", "   ", "\n", "🙏"])
 def test_nothing_to_find(text):
     assert P.find_spans(text) == []
@@ -68,7 +135,7 @@ def test_spans_are_in_order_and_apart():
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False)) and len(spans) == 200
 
 
-@pytest.mark.parametrize("unit", ["a@b.example ", "Anna Berg ", "212-555-0123 ", "A. ", "one two ", "@", "((", "****", " at ", "1"])
+@pytest.mark.parametrize("unit", ["a@b.example ", "Anna Berg ", "212-555-0123 ", "A. ", "one two ", "@", "((", "****", " at ", "1", "Anna-", "id ", "vin ", "is Anna ", "Max Berg, ", "a1", "said ", "12 via "])
 def test_very_long_texts_end(unit):
     P.find_spans(unit * 20000)
 
