@@ -14,10 +14,14 @@ nodes and compressing again, so loads, days or partitions are digested once and
 combined in any grouping. Below ``k`` values nothing is moved and the digest is
 exact on the quantised values.
 
-The counting per leaf is an ordinary partial/final aggregate inside the JVM: a
-group with a third of all rows reaches the shuffle as at most one row per leaf
-and task. Python sees only counted leaves, and treats all groups of an Arrow
-batch at once.
+Leaves are worked out inside the JVM. Every task digests its own rows before
+anything is shuffled, all groups of some hundred thousand rows at once, so a group
+with a third of all rows reaches the shuffle as one digest per task, however many
+rows there are. Equal nodes of the tasks' digests are then added by an ordinary
+aggregate, spread by group and node, and the sums of each group are compressed
+as they stream by, sorted by group, in memory bounded by a digest's size.
+
+A state carries its ``error``; what is merged from several has the greatest.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MANTISSA_BITS = 14
@@ -37,7 +41,9 @@ HALF = EXPONENT_COUNT << MANTISSA_BITS
 #: Widest relative distance between a value and the value reported for its leaf.
 VALUE_ERROR = 2.0**-MANTISSA_BITS
 
-STATE = "n bigint, digest array<struct<node:bigint,count:bigint>>"
+STATE = "n bigint, error double, digest array<struct<node:bigint,count:bigint>>"
+#: Rows or nodes that a task holds before it digests them; it hands on what doesn't shrink to half of them.
+HELD = 1 << 19
 
 
 def leaf_sql(value: str) -> str:
@@ -143,21 +149,98 @@ def _unpack(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(sizes)), sizes), flat.field("node").to_numpy(), flat.field("count").to_numpy()
 
 
-def _compressor(k: int):
+def _codes(table: pa.Table, keys: Sequence[str]) -> np.ndarray:
+    """A number per row that is the same for rows of equal keys; nulls are equal."""
+    code = np.zeros(table.num_rows, np.int64)
+    for key in keys:
+        column = table.column(key).combine_chunks()
+        values = (column.chunk(0) if isinstance(column, pa.ChunkedArray) and column.num_chunks else column).dictionary_encode("encode")
+        _, code = np.unique(code * (len(values.dictionary) + 1) + values.indices.to_numpy(zero_copy_only=False), return_inverse=True)
+    return code
+
+
+def _shrunk(table: pa.Table, keys: Sequence[str], k: int | None = None) -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]:
+    """The digests of a table of nodes (keys, node, count and, without ``k``, error): the groups' first rows, and the nodes as arrays of group, node, count."""
+    group = _codes(table, keys)
+    node, count = (table.column(c).to_numpy() for c in ("node", "count"))
+    order = np.lexsort((node, group))
+    group, node, count = group[order], node[order], count[order]
+    start = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (node[1:] != node[:-1])])
+    total = np.add.reduceat(count, start)
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    n = np.add.reduceat(count, first)
+    if k is None:
+        error = np.maximum.reduceat(table.column("error").to_numpy()[order], first)
+        head = table.select(keys).take(pa.array(order[first])).append_column("n", pa.array(n)).append_column("error", pa.array(error))
+        threshold = n // np.ceil(LEVELS / error).astype(np.int64)
+    else:
+        head, threshold = table.select(keys).take(pa.array(order[first])), n // k
+    return head, *compress(group[start], node[start], total, threshold)
+
+
+def _nodes_of(head: pa.Table, keys: Sequence[str], group: np.ndarray, node: np.ndarray, count: np.ndarray) -> pa.Table:
+    return head.select(keys).take(pa.array(group)).append_column("node", pa.array(node)).append_column("count", pa.array(count))
+
+
+def _task_digests(keys: Sequence[str], k: int, held: int):
+    """Rows (keys, node) as the nodes (keys, node, count) of a digest per group; a group may come more than once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
+
+        def digested() -> pa.Table:
+            return _nodes_of(*((x := _shrunk(pa.concat_tables(waiting), keys, k))[0], keys, *x[1:]))
+
         for batch in batches:
-            if not batch.num_rows:
+            if batch.num_rows:
+                table = pa.Table.from_batches([batch])
+                waiting.append(table.append_column("count", pa.array(np.ones(table.num_rows, np.int64))))
+                size += table.num_rows
+            if size >= held:
+                waiting = [digested()]
+                size = waiting[0].num_rows
+                if size > held // 2:
+                    yield from waiting[0].combine_chunks().to_batches(1 << 16)
+                    waiting, size = [], 0
+        if waiting:
+            yield from digested().combine_chunks().to_batches(1 << 16)
+
+    return run
+
+
+def _group_digests(keys: Sequence[str], held: int):
+    """Nodes (keys, node, count, error), sorted by keys, as one digest per group."""
+
+    def rows(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        head, group, node, count = _shrunk(table, keys)
+        right, up = _right_end(node)
+        order = np.lexsort((up, right, group))  # the order in which a quantile passes the nodes
+        group, node, count = group[order], node[order], count[order]
+        offsets = np.r_[0, np.cumsum(np.bincount(group, minlength=head.num_rows))].astype(np.int32)
+        nodes = pa.StructArray.from_arrays([pa.array(node, pa.int64()), pa.array(count, pa.int64())], ["node", "count"])
+        out = head.append_column("digest", pa.ListArray.from_arrays(pa.array(offsets), nodes))
+        yield from out.combine_chunks().to_batches(1 << 14)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                waiting.append(pa.Table.from_batches([batch]))
+                size += batch.num_rows
+            if size < held:
                 continue
-            group, node, count = _unpack(batch)
-            n = np.bincount(group, weights=count, minlength=batch.num_rows).astype(np.int64)
-            group, node, count = compress(group, node, count, n // k)
-            right, up = _right_end(node)
-            order = np.lexsort((up, right, group))  # the order in which a quantile passes the nodes
-            group, node, count = group[order], node[order], count[order]
-            offsets = np.r_[0, np.cumsum(np.bincount(group, minlength=batch.num_rows))].astype(np.int32)
-            nodes = pa.StructArray.from_arrays([pa.array(node, pa.int64()), pa.array(count, pa.int64())], ["node", "count"])
-            keys = [batch.column(i) for i, f in enumerate(batch.schema) if f.name != "digest"]
-            yield pa.RecordBatch.from_arrays([*keys, pa.array(n), pa.ListArray.from_arrays(pa.array(offsets), nodes)], names=[*[f.name for f in batch.schema if f.name != "digest"], "n", "digest"])
+            table = pa.concat_tables(waiting).combine_chunks()
+            code = _codes(table, keys)
+            last = table.num_rows - int(np.argmax((code != code[-1])[::-1])) if (code != code[-1]).any() else 0
+            if last:  # all groups but the last are complete
+                yield from rows(table.slice(0, last))
+                table = table.slice(last)
+            if table.num_rows > held // 2:  # a group of many tasks: what is there of it can be compressed already
+                head, group, node, count = _shrunk(table, keys)
+                table = _nodes_of(head, keys, group, node, count).append_column("error", head.column("error").take(pa.array(group)))
+            waiting, size = [table], table.num_rows
+        if waiting:
+            yield from rows(pa.concat_tables(waiting))
 
     return run
 
@@ -166,48 +249,52 @@ def _schema_text(df: DataFrame, columns: Sequence[str]) -> str:
     return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
 
 
-def _digest(counted: DataFrame, keys: Sequence[str], error: float) -> DataFrame:
-    """``counted`` (keys, node, count) as one compressed digest per key."""
-    lists = counted.groupBy(*keys).agg(F.collect_list(F.struct(F.col("node"), F.col("count"))).alias("digest"))
-    k = int(np.ceil(LEVELS / error))
-    return lists.mapInArrow(_compressor(k), f"{_schema_text(lists, keys)}, {STATE}")
+def _digest(nodes: DataFrame, keys: Sequence[str], held: int) -> DataFrame:
+    """``nodes`` (keys, node, count, error) as one compressed digest per group of keys: equal nodes are added first, spread by group and node."""
+    counted = nodes.groupBy(*keys, "node").agg(F.sum("count").alias("count"), F.max("error").alias("error"))
+    sorted_nodes = counted.repartition(*[F.col(c) for c in keys]).sortWithinPartitions(*keys)
+    return sorted_nodes.mapInArrow(_group_digests(list(keys), held), f"{_schema_text(nodes, keys)}, {STATE}")
 
 
-def digests(df: DataFrame, by: Sequence[str], columns: Sequence[str], error: float = 0.005) -> DataFrame:
-    """A digest per group and column: ``by``, ``column_name``, ``n``, ``digest``.
+def digests(df: DataFrame, by: Sequence[str], columns: Sequence[str], error: float = 0.005, held: int = HELD) -> DataFrame:
+    """A digest per group and column: ``by``, ``column_name``, ``n``, ``error``, ``digest``.
 
     ``error`` bounds the rank error as a share of ``n``. Nulls and NaN are left
     out, infinities are the outermost values; a group without values has no row.
-    Null keys form a group. Other columns of ``df`` are ignored, whatever their
-    names; ``by`` must not use the result's own names.
+    Null keys form a group, no keys one of all rows. Other columns of ``df`` are
+    ignored, whatever their names; ``by`` must not use the result's own names.
+    ``held`` bounds what a task keeps in memory, it changes no bound.
     """
     if not 0 < error < 1:
         raise ValueError("error must lie between 0 and 1")
-    if {"column_name", "n", "digest"} & set(by):
-        raise ValueError("column_name, n and digest are names of the result")
-    keys = [F.col(c).alias(f"_b{i}") for i, c in enumerate(by)]
-    values = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns])
-    long = df.select(*keys, F.explode(values).alias("_v")).select(*[f"_b{i}" for i in range(len(by))], "_v.column_name", "_v.value")
-    inner = [*[f"_b{i}" for i in range(len(by))], "column_name"]
-    leaves = with_leaf(long.where("value is not null and not isnan(value)")).select(*inner, (F.col("_leaf") + F.lit(1 << LEVELS)).alias("node"))
-    counted = leaves.groupBy(*inner, "node").agg(F.count(F.lit(1)).alias("count"))
-    return _digest(counted, inner, error).toDF(*by, "column_name", "n", "digest")
+    if {"column_name", "n", "error", "digest"} & set(by):
+        raise ValueError("column_name, n, error and digest are names of the result")
+    keys = [f"_b{i}" for i in range(len(by))]
+    values = F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("value")) for i, c in enumerate(columns)])
+    long = df.select(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.explode(values).alias("_v")).select(*keys, "_v._c", "_v.value")
+    leaves = with_leaf(long.where("value is not null and not isnan(value)")).select(*keys, "_c", (F.col("_leaf") + F.lit(1 << LEVELS)).alias("node"))
+    inner = [*keys, "_c"]
+    k = int(np.ceil(LEVELS / error))
+    nodes = leaves.mapInArrow(_task_digests(inner, k, held), f"{_schema_text(leaves, inner)}, node bigint, count bigint")
+    states = _digest(nodes.withColumn("error", F.lit(error)), inner, held)
+    name: Column = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("_c") + 1)
+    return states.select(*[F.col(k).alias(c) for c, k in zip(by, keys, strict=True)], name.alias("column_name"), "n", "error", "digest")
 
 
-def merge_digests(states: DataFrame, by: Sequence[str], error: float = 0.005) -> DataFrame:
-    """Digests of several groups as those of the coarser ``by``: equal nodes are added, then compressed."""
-    nodes = states.select(*by, "column_name", F.explode("digest").alias("_n")).select(*by, "column_name", "_n.node", "_n.count")
-    return _digest(nodes.groupBy(*by, "column_name", "node").agg(F.sum("count").alias("count")), [*by, "column_name"], error)
+def merge_digests(states: DataFrame, by: Sequence[str], held: int = HELD) -> DataFrame:
+    """Digests of several groups as those of the coarser ``by``: equal nodes are added, then compressed. The greatest error of a group's states holds for it."""
+    nodes = states.select(*by, "column_name", "error", F.explode("digest").alias("_n")).select(*by, "column_name", "_n.node", "_n.count", "error")
+    return _digest(nodes, [*by, "column_name"], held)
 
 
-def read_quantiles(states: DataFrame, quantiles: Mapping[str, float], error: float = 0.005) -> DataFrame:
+def read_quantiles(states: DataFrame, quantiles: Mapping[str, float]) -> DataFrame:
     """``states`` without their digests, with one double column per quantile and ``rank_error``.
 
     The value of quantile q is the leaf at rank ``ceil(q * n)``. ``rank_error`` is
-    the bound in ranks, 0 where the digest was never compressed; the value itself
+    the state's bound in ranks, 0 where the digest was never compressed; the value itself
     is exact within a relative ``VALUE_ERROR``.
     """
-    keys = [c for c in states.columns if c not in ("n", "digest")]
+    keys = [c for c in states.columns if c not in ("n", "error", "digest")]
     wanted = dict(quantiles)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,6 +313,7 @@ def read_quantiles(states: DataFrame, quantiles: Mapping[str, float], error: flo
                 out.append(pa.array(leaf_value(right[np.searchsorted(total, base + rank)])))
             exact = np.ones(batch.num_rows, bool)
             exact[group[node < (1 << LEVELS)]] = False
+            error = batch.column(batch.schema.get_field_index("error")).to_numpy()
             out.append(pa.array(np.where(exact, 0, np.floor(error * n)).astype(np.int64)))
             yield pa.RecordBatch.from_arrays(out, names=[*keys, "n", *wanted, "rank_error"])
 

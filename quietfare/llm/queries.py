@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quietfare.llm import digest, mixing, packing, personal, sentences, tokens
 from quietfare.queries.common import table
+from quietfare.session import cut
 
 MEASURES = ["base_passenger_fare", "trip_time", "driver_pay"]
 MOST_CAPACITIES = 1000
@@ -25,8 +26,8 @@ def p1_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_percentiles(spark: SparkSession, d: str) -> DataFrame:
-    """Percentiles per load and pick-up zone, and per zone over all loads (null load_id) from the loads' digests."""
-    loads = digest.digests(table(spark, d, "trips"), ["load_id", "PULocationID"], MEASURES)
+    """Percentiles per load and pick-up zone, and per zone over all loads (null load_id) from the loads' digests, which are written once."""
+    loads = cut(digest.digests(table(spark, d, "trips"), ["load_id", "PULocationID"], MEASURES))
     zones = digest.merge_digests(loads, ["PULocationID"])
     parts = loads.unionByName(zones.withColumn("load_id", F.lit(None).cast("bigint")).select(*loads.columns))
     return digest.read_quantiles(parts, QUANTILES)
@@ -37,6 +38,20 @@ def p4_zone_percentiles(spark: SparkSession, d: str) -> DataFrame:
     return digest.read_quantiles(digest.digests(table(spark, d, "trips"), ["PULocationID"], MEASURES), QUANTILES).drop("rank_error")
 
 
+def p4_rank_check(spark: SparkSession, d: str) -> DataFrame:
+    """Percentiles over all rows, compressed, against the exact ranks of their values: whether each keeps its stated rank error."""
+    trips = table(spark, d, "trips")
+    found = digest.read_quantiles(digest.digests(trips, [], MEASURES), QUANTILES)
+    pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("quantile"), F.lit(q).alias("q"), F.col(name).alias("value")) for name, q in QUANTILES.items()]))
+    wanted = digest.with_leaf(found.select("column_name", "n", "rank_error", pairs.alias("_q")).select("column_name", "n", "rank_error", "_q.*"))
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in MEASURES]))
+    leaves = digest.with_leaf(trips.select(values.alias("_v")).select("_v.*").where("value is not null and not isnan(value)")).groupBy("column_name", F.col("_leaf").alias("_l")).agg(F.count(F.lit(1)).alias("c"))
+    ranks = leaves.join(wanted, "column_name").groupBy("column_name", "quantile", "q", "n", "rank_error").agg(F.sum(F.when(F.col("_l") < F.col("_leaf"), F.col("c")).otherwise(0)).alias("below"), F.sum(F.when(F.col("_l") <= F.col("_leaf"), F.col("c")).otherwise(0)).alias("upto"))
+    rank = F.ceil(F.round(F.col("q") * F.col("n"), 9))
+    off = F.greatest(F.col("below") + 1 - rank, rank - F.col("upto"), F.lit(0))
+    return ranks.select("column_name", "quantile", "n", (F.col("rank_error") > 0).alias("compressed"), (off <= F.col("rank_error")).alias("within"))
+
+
 def _capacities(spark: SparkSession, d: str) -> dict[int, int]:
     rows = table(spark, d, "pack_capacities").limit(MOST_CAPACITIES + 1).collect()
     if len(rows) > MOST_CAPACITIES:
@@ -79,7 +94,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.split_sentences(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_redacted, p4_percentiles, p4_zone_percentiles, p6_pack, p6_fill, p7_mix, p7_shares, p7_mix_by_chars, p8_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_redacted, p4_percentiles, p4_zone_percentiles, p4_rank_check, p6_pack, p6_fill, p7_mix, p7_shares, p7_mix_by_chars, p8_found)}
 
 def _quantile(q: float) -> str:
     return f"max(CASE WHEN r = CAST(ceil(round({q} * n, 9)) AS BIGINT) THEN v END)"
@@ -103,6 +118,7 @@ _VALUES = f"""
                   ELSE power(2.0, floor(g / {float(1 << digest.MANTISSA_BITS)}) - {-digest.EXPONENT_LOW}) * (1.0 + (g % {1 << digest.MANTISSA_BITS}) / {float(1 << digest.MANTISSA_BITS)}) END AS v FROM m)"""
 
 ORACLES = {
+    "p4_rank_check": " UNION ALL ".join(f"SELECT '{c}' AS column_name, '{q}' AS quantile, count({c}) FILTER (NOT isnan(CAST({c} AS DOUBLE))) AS n, count({c}) FILTER (NOT isnan(CAST({c} AS DOUBLE))) > 4400 AS compressed, TRUE AS within FROM trips" for c in MEASURES for q in QUANTILES),
     "p4_zone_percentiles": _VALUES + _percentiles("PULocationID"),
     "p4_percentiles": f"{_VALUES} SELECT *, CAST(0 AS BIGINT) AS rank_error FROM ({_percentiles('load_id, PULocationID')} UNION ALL SELECT CAST(NULL AS BIGINT) AS load_id, * FROM ({_percentiles('PULocationID')}))",
     "p7_mix_by_chars": """

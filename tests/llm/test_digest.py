@@ -67,14 +67,41 @@ def test_large_groups_keep_the_bound_also_when_merged(spark):
     df = spark.createDataFrame(rows, "day int, v double")
     states = D.digests(df, ["day"], ["v"], 0.01)
     values = np.sort([v for _, v in rows])
-    for states_of_all in (D.merge_digests(states, [], 0.01), D.digests(df, [], ["v"], 0.01)):
-        r = D.read_quantiles(states_of_all, Q, 0.01).first()
+    for states_of_all in (D.merge_digests(states, []), D.digests(df, [], ["v"], 0.01), D.digests(df, [], ["v"], 0.01, held=3000), D.merge_digests(D.digests(df, ["day"], ["v"], 0.01, held=500), [], held=500)):
+        r = D.read_quantiles(states_of_all, Q).first()
         assert r.n == 40000 and r.rank_error == 400
         for name, q in Q.items():
             rank = np.searchsorted(values, r[name] * (1 + D.VALUE_ERROR))
             assert abs(rank - q * 40000) <= 400 + 1
-    nodes = states_of_all.selectExpr("size(digest) as s").first().s
-    assert nodes <= 3 * D.LEVELS / 0.01
+        assert states_of_all.selectExpr("size(digest) as s").first().s <= 3 * D.LEVELS / 0.01
+
+
+def test_a_merged_state_has_the_greatest_error(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(20000)], "v double")
+    both = D.digests(df, [], ["v"], 0.01).union(D.digests(df, [], ["v"], 0.05))
+    r = D.read_quantiles(D.merge_digests(both, []), Q).first()
+    assert r.n == 40000 and r.rank_error == 2000 and abs(r.p50 - 10000) <= 1000
+
+
+def test_a_task_hands_on_a_bounded_digest(spark):
+    import pyarrow as pa
+
+    node = np.random.default_rng(1).integers(0, 1 << D.LEVELS, 300_000) + (1 << D.LEVELS)
+    batches = [pa.RecordBatch.from_arrays([pa.array(np.zeros(10_000, np.int32)), pa.array(node[i : i + 10_000])], names=["g", "node"]) for i in range(0, 300_000, 10_000)]
+    k = int(D.LEVELS / 0.05)
+    out = pa.Table.from_batches(list(D._task_digests(["g"], k, 50_000)(iter(batches))))
+    assert out.num_rows <= 3 * k and sum(out.column("count").to_pylist()) == 300_000
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 50)), min_size=1, max_size=200), st.integers(1, 40), st.integers(1, 64))
+def test_streamed_groups_equal_groups_at_once(rows, size, held):
+    import pyarrow as pa
+
+    rows = sorted(rows, key=lambda r: (r[0] or "", r[1]))
+    table = pa.table({"g": pa.array([r[0] for r in rows]), "node": pa.array([r[1] + (1 << D.LEVELS) for r in rows]), "count": pa.array([1] * len(rows)), "error": pa.array([0.0001] * len(rows))})
+    got = [r for b in D._group_digests(["g"], held)(iter(table.to_batches(size))) for r in b.to_pylist()]
+    assert sorted((r["g"] or "", r["n"], sum(x["count"] for x in r["digest"])) for r in got) == sorted((g or "", n, n) for g, n in __import__("collections").Counter(r[0] for r in rows).items())
 
 
 def test_empty_clashing_and_wrong(spark):
