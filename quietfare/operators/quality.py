@@ -1,63 +1,113 @@
 """Column-level data quality: declarative checks, mergeable states, control limits.
 
-A *check* is a named boolean Column over a value; all checks, null counts,
-distinct counts, ranges and distributions of a load come out of one shared
-aggregate scan. The scan's output is a state table that merges by addition
-(:func:`value_states`) or by sketch union (:func:`profile_states`), so a new
-load is profiled alone and the history is only re-read as states. Metrics of a
-load are then held against control limits taken from all loads.
+A *check* is data: a column, a figure (a share of values that a predicate counts,
+the number of distinct values, or the median of the values a predicate keeps) and,
+where the figure is to be watched, a limit against all loads. All checks of a
+table compile into one shared aggregate over value states, which come out of one
+scan and merge by addition (:func:`value_states`), so a new load is profiled
+alone and the history is only re-read as states. :func:`profile_states` are the
+sketch states of every column. Figures of a load are then held against control
+limits taken from all loads.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-GOOD = lambda v: ~F.isnan(v) & (v >= 0) & (v != float("inf"))
+Predicate = Callable[[Column], Column]
+
+present: Predicate = lambda v: v.isNotNull()
+absent: Predicate = lambda v: v.isNull()
+good: Predicate = lambda v: ~F.isnan(v) & (v >= 0) & (v != float("inf"))
+
+
+@dataclass(frozen=True)
+class Limit:
+    """When a load's figure is a finding: its ``amount`` against the median over all loads (rise, factor, shift) or by itself (level)."""
+
+    finding: str
+    kind: str
+    amount: float
+
+    def broken(self, value: Column, center: Column) -> Column:
+        if self.kind == "level":
+            return value >= self.amount
+        if self.kind == "rise":
+            return value >= center + self.amount
+        if self.kind == "shift":
+            return F.abs(value - center) >= self.amount
+        if self.kind == "factor":
+            return (value >= self.amount * center) | (value * self.amount <= center)
+        if self.kind == "ratio":
+            return (value >= self.amount * center) | (value <= center / self.amount)
+        raise ValueError(f"unknown limit {self.kind}")
 
 
 @dataclass(frozen=True)
-class Limits:
-    """Control limits of one column's metrics against the median over all loads."""
+class Check:
+    """One declared figure of a column, and its limit if it has one.
+
+    ``kind`` is share (of the rows' values in ``base``, those that ``counted``
+    keeps), distinct, or median (of the values that ``counted`` keeps). ``text``
+    columns hand text to the predicates, others doubles; a null predicate counts
+    nothing.
+    """
 
-    kind: str = "number"  # or flag
-    null_rise: float = 0.10
-    distinct_factor: float = 3.0
-    bad_share: float = 0.04
-    upper: float = 1000.0
-    allowed: tuple[str, ...] = ("Y", "N")
-    median_factor: float | None = 1.5  # else the share shift is tested
-    share_shift: float = 0.15
+    column: str
+    figure: str
+    kind: str
+    counted: Predicate = present
+    base: Predicate | None = None  # none: all rows
+    limit: Limit | None = None
+    text: bool = False
+
+
+def number_checks(column: str, by_median: bool, upper: float = 1000.0) -> list[Check]:
+    """Null rate, distinct values, values out of range, and the good values' median or share above 0."""
+    return [
+        Check(column, "null_rate", "share", absent, None, Limit("null_rate", "rise", 0.10)),
+        Check(column, "distinct_values", "distinct", limit=Limit("distinct_count", "factor", 3.0)),
+        Check(column, "bad_share", "share", lambda v: ~(good(v) & (v <= upper)), present, Limit("value_range", "level", 0.04)),
+        Check(column, "good_median", "median", good, limit=Limit("distribution", "ratio", 1.5) if by_median else None),
+        Check(column, "share", "share", lambda v: good(v) & (v > 0), good, None if by_median else Limit("distribution", "shift", 0.15)),
+    ]
+
+
+def flag_checks(column: str, allowed: tuple[str, ...] = ("Y", "N")) -> list[Check]:
+    """Null rate, distinct values, values that aren't allowed, and the share of the first allowed one."""
+    return [
+        Check(column, "null_rate", "share", absent, None, Limit("null_rate", "rise", 0.10), True),
+        Check(column, "distinct_values", "distinct", limit=Limit("distinct_count", "factor", 3.0), text=True),
+        Check(column, "bad_share", "share", lambda v: ~v.isin(*allowed), present, Limit("pattern", "level", 0.04), True),
+        Check(column, "share", "share", lambda v: v == allowed[0], present, Limit("distribution", "shift", 0.15), True),
+    ]
 
 
 #: The four columns of the load check.
-TRIP_LIMITS: dict[str, Limits] = {
-    "base_passenger_fare": Limits(),
-    "trip_miles": Limits(),
-    "airport_fee": Limits(median_factor=None),
-    "wav_request_flag": Limits(kind="flag", median_factor=None),
-}
+TRIP_CHECKS: list[Check] = [*number_checks("base_passenger_fare", True), *number_checks("trip_miles", True), *number_checks("airport_fee", False), *flag_checks("wav_request_flag")]
 
 
-def value_states(df: DataFrame, by: str, columns: Mapping[str, Limits]) -> DataFrame:
-    """``by``, ``column_name``, ``num``, ``txt``, ``n``: how often each value occurs in each load. Merges by adding ``n``.
+def value_states(df: DataFrame, by: str, checks: Sequence[Check] = TRIP_CHECKS) -> DataFrame:
+    """``by``, ``column_name``, ``num``, ``txt``, ``n``: how often each value of the checked columns occurs in each load. Merges by adding ``n``.
 
     One scan, unpivoted and partially aggregated per task, so that a load with a
     third of all rows sends one row per distinct value and task. Nulls are
     counted under null in both value columns; NaN is a value.
     """
+    columns = {c.column: c.text for c in checks}
     values = F.array(
         *[
             F.struct(
                 F.lit(c).alias("column_name"),
-                (F.col(c).cast("double") if spec.kind == "number" else F.lit(None).cast("double")).alias("num"),
-                (F.lit(None).cast("string") if spec.kind == "number" else F.col(c).cast("string")).alias("txt"),
+                (F.lit(None).cast("double") if text else F.col(c).cast("double")).alias("num"),
+                (F.col(c).cast("string") if text else F.lit(None).cast("string")).alias("txt"),
             )
-            for c, spec in columns.items()
+            for c, text in columns.items()
         ]
     )
     return df.select(F.col(by), F.explode(values).alias("_v")).select(by, "_v.column_name", "_v.num", "_v.txt").groupBy(by, "column_name", "num", "txt").agg(F.count(F.lit(1)).alias("n"))
@@ -68,75 +118,92 @@ def merge_value_states(states: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return states.groupBy(*by, "column_name", "num", "txt").agg(F.sum("n").alias("n"))
 
 
-def _per_column(columns: Mapping[str, Limits], value: object, otherwise: object = None) -> Column:
-    out = F.lit(otherwise)
-    for name, spec in columns.items():
-        out = F.when(F.col("column_name") == name, F.lit(value(spec))).otherwise(out)
+def _compiled(checks: Sequence[Check], part: Callable[[Check], Column | None]) -> Column:
+    """A predicate over a state row: for the row's column, what ``part`` of its check says."""
+    out = F.lit(False)
+    for check in checks:
+        when = part(check)
+        if when is not None:
+            out = F.when(F.col("column_name") == check.column, F.coalesce(when, F.lit(False))).otherwise(out)
     return out
 
 
-def load_figures(states: DataFrame, by: str, columns: Mapping[str, Limits] = TRIP_LIMITS) -> DataFrame:
-    """Figures of each load and column from value states; shares are null where their base is empty.
+def _value(check: Check) -> Column:
+    return F.col("txt") if check.text else F.col("num")
 
-    ``rows``, ``null_rate`` (of rows), ``distinct_values``, ``bad_share`` (of
-    non-null values: negative, not finite or above the upper limit, or for a
-    flag not an allowed value), ``good_median`` (numbers; interpolated between
-    the two middle values) and ``share`` (numbers: of good values above 0;
-    flag: of the first allowed value).
+
+def exact_medians(states: DataFrame, by: str, keep: Column, steps: int = 16) -> DataFrame:
+    """``by``, ``column_name``, ``median`` of the numbers that ``keep`` selects, counted ``n`` times each; the mean of the two middle values if even.
+
+    No group is gathered: the counts are first summed per load, column and
+    order-preserving bucket (``steps`` to each power of two) and the buckets
+    with the two middle ranks are found by running sums over buckets; only their
+    values are then ranked, by running sums that spill.
+    """
+    v = F.col("num")
+    octave = lambda x: F.floor(F.log2(x) * steps) + 2000 * steps  # noqa: E731 - above 0 for every double
+    bucket = F.when(v > 0, octave(v)).when(v < 0, -octave(-v)).otherwise(0)
+    kept = states.where(keep & v.isNotNull() & ~F.isnan(v)).select(by, "column_name", "num", "n", bucket.alias("_b"))
+    group = [by, "column_name"]
+    counts = kept.groupBy(*group, "_b").agg(F.sum("n").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
+    total = F.sum("_n").over(Window.partitionBy(*group))
+    placed = counts.withColumns({"_upto": upto, "_total": total}).withColumns({"_low": F.floor((F.col("_total") + 1) / 2), "_high": F.floor(F.col("_total") / 2) + 1, "_before": F.col("_upto") - F.col("_n")})
+    holds = lambda rank: (F.col("_before") < F.col(rank)) & (F.col(rank) <= F.col("_upto"))
+    middle = placed.where(holds("_low") | holds("_high")).select(F.col(by).alias("_by"), F.col("column_name").alias("_c"), F.col("_b").alias("_m"), "_low", "_high", "_before")
+    inside = kept.join(middle, F.col(by).eqNullSafe(F.col("_by")) & (F.col("column_name") == F.col("_c")) & (F.col("_b") == F.col("_m"))).drop("_by", "_c", "_m")
+    rank = F.col("_before") + F.sum("n").over(Window.partitionBy(*group, "_b").orderBy("num").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = inside.withColumn("_rank", rank)
+    at = lambda r: F.min(F.when(F.col("_rank") >= F.col(r), F.col("num")))
+    return ranked.groupBy(*group).agg(((at("_low") + at("_high")) / 2).alias("median"))
+
+
+def load_figures(states: DataFrame, by: str, checks: Sequence[Check] = TRIP_CHECKS) -> DataFrame:
+    """The figures of each load and column from value states: ``rows``, ``nulls`` and one column per declared figure.
+
+    All shares and distinct counts come from one aggregate into which the checks
+    are compiled, the medians from :func:`exact_medians` over the same states. A
+    share is null where its base is empty, as is a figure that a column doesn't
+    declare.
     """
-    n, num, txt = F.col("n"), F.col("num"), F.col("txt")
-    is_flag = F.coalesce(_per_column(columns, lambda s: s.kind == "flag"), F.lit(False))
-    null = num.isNull() & txt.isNull()
-    upper = _per_column(columns, lambda s: s.upper).cast("double")
-    allowed = F.lit(False)
-    first = F.lit(False)
-    for name, spec in columns.items():
-        if spec.kind == "flag":
-            allowed = F.when(F.col("column_name") == name, txt.isin(*spec.allowed)).otherwise(allowed)
-            first = F.when(F.col("column_name") == name, txt == spec.allowed[0]).otherwise(first)
-    good = ~null & ~is_flag & GOOD(num)
-    bad = ~null & F.when(is_flag, ~allowed).otherwise(~(GOOD(num) & (num <= upper)))
+    n = F.col("n")
+    named = {c.figure: [x for x in checks if x.figure == c.figure] for c in checks}
     count = lambda when: F.coalesce(F.sum(F.when(when, n)), F.lit(0))
-    figures = states.groupBy(by, "column_name").agg(
-        F.sum(n).alias("rows"), count(null).alias("nulls"), count(~null).alias("_nn"),
-        F.count(F.when(~null, 1)).alias("distinct_values"), count(bad).alias("_bad"), count(good).alias("_good"),
-        count(good & (num > 0)).alias("_pos"), count(first).alias("_first"),
-        F.percentile(F.when(good, num), F.lit(0.5), n).alias("good_median"),
-    )
-    ratio = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
-    return figures.select(
-        by, "column_name", "rows", "nulls", ratio("nulls", "rows").alias("null_rate"), "distinct_values",
-        ratio("_bad", "_nn").alias("bad_share"), "good_median",
-        F.when(is_flag, ratio("_first", "_nn")).otherwise(ratio("_pos", "_good")).alias("share"),
-    )
+    null = F.col("num").isNull() & F.col("txt").isNull()
+    aggregates, out = [F.sum(n).alias("rows"), count(null).alias("nulls")], [F.col(by), F.col("column_name"), F.col("rows"), F.col("nulls")]
+    medians = None
+    for i, (figure, same) in enumerate(named.items()):
+        kind = same[0].kind
+        if kind == "share":
+            aggregates += [count(_compiled(same, lambda c: c.counted(_value(c)))).alias(f"_c{i}"), count(_compiled(same, lambda c: F.lit(True) if c.base is None else c.base(_value(c)))).alias(f"_d{i}")]
+            out.append(F.when(F.col(f"_d{i}") > 0, F.col(f"_c{i}") / F.col(f"_d{i}")).alias(figure))
+        elif kind == "distinct":
+            aggregates.append(F.count(F.when(_compiled(same, lambda c: _value(c).isNotNull()), 1)).alias(figure))
+            out.append(F.col(figure))
+        elif kind == "median":
+            found = exact_medians(states, by, _compiled(same, lambda c: c.counted(_value(c)))).select(F.col(by).alias("_by"), F.col("column_name").alias("_col"), F.col("median").alias(figure))
+            medians = found if medians is None else medians.join(found, ["_by", "_col"], "full")
+            out.append(F.col(figure))
+        else:
+            raise ValueError(f"unknown figure {kind}")
+    figures = states.groupBy(by, "column_name").agg(*aggregates)
+    if medians is not None:
+        figures = figures.join(medians, F.col(by).eqNullSafe(F.col("_by")) & (F.col("column_name") == F.col("_col")), "left")
+    return figures.select(*out)
 
 
-def load_findings(figures: DataFrame, by: str, columns: Mapping[str, Limits] = TRIP_LIMITS) -> DataFrame:
-    """``by``, ``column_name``, ``finding``: the loads whose figures leave the control limits.
+def load_findings(figures: DataFrame, by: str, checks: Sequence[Check] = TRIP_CHECKS) -> DataFrame:
+    """``by``, ``column_name``, ``finding``: the loads whose figures break their limits.
 
-    Each figure is compared with its median over all loads of the column, one
-    row per column; a figure that is null is no finding. Figures are a row per
-    load and column, whatever the size of the table.
+    Each figure is compared with its median over all loads of the column, a
+    window over a row per load and column whatever the size of the table. A
+    figure that is null is no finding.
     """
-    names = ("null_rate", "distinct_values", "good_median", "share")
-    center = figures.groupBy("column_name").agg(*[F.percentile(F.col(c).cast("double"), F.lit(0.5)).alias(f"m_{c}") for c in names])
-    both = figures.join(center, "column_name")
-    spec = lambda get: _per_column(columns, get).cast("double")
-    is_flag = _per_column(columns, lambda s: s.kind == "flag")
-    by_median = _per_column(columns, lambda s: s.median_factor is not None)
-    factor = _per_column(columns, lambda s: s.median_factor or 0.0).cast("double")
-    d, md = F.col("distinct_values").cast("double"), F.col("m_distinct_values")
-    bad = F.col("bad_share") >= spec(lambda s: s.bad_share)
-    moved = (F.col("good_median") >= factor * F.col("m_good_median")) | (F.col("good_median") <= F.col("m_good_median") / F.nullif(factor, F.lit(0.0)))
-    shifted = F.abs(F.col("share") - F.col("m_share")) >= spec(lambda s: s.share_shift)
-    found = F.array(
-        F.when(F.col("null_rate") >= F.col("m_null_rate") + spec(lambda s: s.null_rise), "null_rate"),
-        F.when((d >= spec(lambda s: s.distinct_factor) * md) | (d * spec(lambda s: s.distinct_factor) <= md), "distinct_count"),
-        F.when(bad & ~is_flag, "value_range"),
-        F.when(bad & is_flag, "pattern"),
-        F.when(F.when(by_median, moved).otherwise(shifted), "distribution"),
-    )
-    return both.select(by, "column_name", F.explode(F.array_compact(found)).alias("finding"))
+    limited = [c for c in checks if c.limit]
+    centers = {f"_m_{f}": F.percentile(F.col(f).cast("double"), F.lit(0.5)).over(Window.partitionBy("column_name")) for f in dict.fromkeys(c.figure for c in limited)}
+    both = figures.withColumns(centers)
+    found = [F.when((F.col("column_name") == c.column) & c.limit.broken(F.col(c.figure).cast("double"), F.col(f"_m_{c.figure}")), c.limit.finding) for c in limited]
+    return both.select(by, "column_name", F.explode(F.array_distinct(F.array_compact(F.array(*found)))).alias("finding"))
 
 
 #: Declared patterns of the text columns; a non-null value that doesn't match is malformed.
@@ -168,32 +235,36 @@ def profile_states(df: DataFrame, by: Sequence[str], patterns: Mapping[str, str]
     ``max_num``, ``sum_num`` (finite numbers; times as seconds), ``min_txt``,
     ``max_txt`` (text), ``distinct_state`` (HyperLogLog of the values' hashes) and ``quantile_state`` (KLL over
     finite numbers), ``positive`` (finite numbers above 0) and ``yes`` (flags: ``Y``). Array, map and struct columns are counted by their text.
+
+    The columns are aggregated side by side, a row per load and task reaches the
+    shuffle, and only the result is turned into a row per column. An empty table
+    has no state.
     """
-    entries = []
-    for f in df.schema.fields:
-        if f.name in by:
-            continue
+    aggregates, rows = [F.count(F.lit(1)).alias("_rows")], []
+    kinds = {"nans": "bigint", "malformed": "bigint", "min_num": "double", "max_num": "double", "sum_num": "double", "min_txt": "string", "max_txt": "string", "distinct_state": "binary", "quantile_state": "binary", "positive": "bigint", "yes": "bigint"}
+    for i, f in enumerate(f for f in df.schema.fields if f.name not in by):
         c = F.col(f"`{f.name}`")
         numeric, timed = isinstance(f.dataType, T.NumericType), isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))
-        number = c.cast("double") if numeric else F.unix_micros(c.cast("timestamp")) / 1e6 if timed else F.lit(None).cast("double")
-        text = F.lit(None).cast("string") if numeric or timed else c.cast("string") if isinstance(f.dataType, T.AtomicType) else F.to_json(F.struct(c))
-        if numeric:
-            wrong = F.isnan(number) | (number < 0) | (number == float("inf"))
-        elif f.name in patterns:
-            wrong = ~c.rlike(patterns[f.name])
+        own = {"nulls": F.count_if(c.isNull()), "distinct_state": F.hll_sketch_agg(F.when(c.isNotNull(), F.xxhash64(c if isinstance(f.dataType, T.AtomicType) else F.to_json(F.struct(c)))), lg_k)}
+        if numeric or timed:
+            number = c.cast("double") if numeric else F.unix_micros(c.cast("timestamp")) / 1e6
+            fractional = isinstance(f.dataType, (T.FloatType, T.DoubleType))
+            fit = F.when(~F.isnan(number) & (F.abs(number) != float("inf")), number) if fractional else number
+            own |= {"min_num": F.min(fit), "max_num": F.max(fit), "sum_num": F.sum(fit), "quantile_state": F.kll_sketch_agg_double(fit), "positive": F.count_if(fit > 0)}
+            if numeric:
+                own["malformed"] = F.count_if(F.isnan(number) | (number < 0) | (number == float("inf"))) if fractional else F.count_if(number < 0)
+            if fractional:
+                own["nans"] = F.count_if(F.isnan(number))
         else:
-            wrong = F.lit(False)
-        entries.append(F.struct(F.lit(f.name).alias("column_name"), number.alias("num"), text.alias("txt"), F.when(c.isNotNull(), wrong).alias("wrong")))
-    fit = F.when(~F.isnan("num") & (F.abs("num") != float("inf")), F.col("num"))
-    long = df.select(*by, F.explode(F.array(*entries)).alias("_e")).select(*by, "_e.*")
-    there = F.col("wrong").isNotNull()
-    key = F.when(there, F.xxhash64("num", "txt"))  # distinct values are told apart by their hashes
-    return long.groupBy(*by, "column_name").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(~there).alias("nulls"), F.count_if(F.isnan("num")).alias("nans"),
-        F.count_if("wrong").alias("malformed"), F.min(fit).alias("min_num"), F.max(fit).alias("max_num"), F.sum(fit).alias("sum_num"),
-        F.min("txt").alias("min_txt"), F.max("txt").alias("max_txt"), F.hll_sketch_agg(key, lg_k).alias("distinct_state"),
-        F.kll_sketch_agg_double(fit).alias("quantile_state"), F.count_if(fit > 0).alias("positive"), F.count_if(F.col("txt") == "Y").alias("yes"),
-    )
+            text = c.cast("string") if isinstance(f.dataType, T.AtomicType) else F.to_json(F.struct(c))
+            own |= {"min_txt": F.min(text), "max_txt": F.max(text), "yes": F.count_if(text == "Y")}
+            if f.name in patterns:
+                own["malformed"] = F.count_if(~c.rlike(patterns[f.name]))
+        aggregates += [a.alias(f"_{i}_{name}") for name, a in own.items()]
+        figures = [(F.col(f"_{i}_{name}") if name in own else F.lit(0 if kind == "bigint" else None)).cast(kind).alias(name) for name, kind in kinds.items()]
+        rows.append(F.struct(F.lit(f.name).alias("column_name"), F.col("_rows").alias("rows"), F.col(f"_{i}_nulls").alias("nulls"), *figures))
+    wide = df.groupBy(*by).agg(*aggregates)
+    return wide.where("_rows > 0").select(*by, F.inline(F.array(*rows)))
 
 
 def merge_profile_states(states: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -222,7 +293,7 @@ def read_profile(states: DataFrame) -> DataFrame:
 SERIAL = ("record_id",)
 
 
-def profile_findings(states: DataFrame, by: str, serial: Sequence[str], limits: Limits = Limits()) -> DataFrame:
+def profile_findings(states: DataFrame, by: str, serial: Sequence[str], null_rise: float = 0.10, distinct_factor: float = 3.0, bad_share: float = 0.04, quartile_factor: float = 1.5, share_shift: float = 0.15) -> DataFrame:
     """``by``, ``column_name``, ``finding``: the loads whose profile leaves the control limits, for every column of the profile states.
 
     Each figure is compared with its median over all loads: ``null_rate``,
@@ -245,14 +316,14 @@ def profile_findings(states: DataFrame, by: str, serial: Sequence[str], limits:
     names = figures.columns[2:]
     both = figures.withColumns({f"m_{c}": F.percentile(c, F.lit(0.5)).over(Window.partitionBy("column_name")) for c in names})
     outside = lambda c, factor: (F.col(f"m_{c}") > 0) & ((F.col(c) >= factor * F.col(f"m_{c}")) | (F.col(c) * factor <= F.col(f"m_{c}")))
-    moved = F.abs(F.col("share") - F.col("m_share")) >= limits.share_shift
+    moved = F.abs(F.col("share") - F.col("m_share")) >= share_shift
     for c in ("p25", "p50", "p75", "spread"):
-        moved = F.coalesce(moved, F.lit(False)) | F.coalesce((F.col(c) > 0) & outside(c, limits.median_factor), F.lit(False))
+        moved = F.coalesce(moved, F.lit(False)) | F.coalesce((F.col(c) > 0) & outside(c, quartile_factor), F.lit(False))
     appears = (F.col("distinct") > 0) & (F.col("m_distinct") == 0)
     found = F.array(
-        F.when(F.col("null_rate") >= F.col("m_null_rate") + limits.null_rise, "null_rate"),
-        F.when(outside("distinct", limits.distinct_factor) | appears, "distinct_count"),
-        F.when(F.col("malformed") >= F.col("m_malformed") + limits.bad_share, "malformed"),
+        F.when(F.col("null_rate") >= F.col("m_null_rate") + null_rise, "null_rate"),
+        F.when(outside("distinct", distinct_factor) | appears, "distinct_count"),
+        F.when(F.col("malformed") >= F.col("m_malformed") + bad_share, "malformed"),
         F.when(moved, "distribution"),
     )
     return both.select(by, "column_name", F.explode(F.array_compact(found)).alias("finding"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quietfare.operators import drift, quality, skew
 from quietfare.queries.common import table
+from quietfare.session import cut
 
 ZONES = ["PULocationID", "DOLocationID"]
 
@@ -92,9 +93,18 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return quality.load_findings(p5_load_figures(spark, d, None), "load_id")
 
 
+def p5_found_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The same findings where the earlier loads' states were written before and only the later loads' rows are profiled."""
+    trips = table(spark, d, "trips")
+    earlier = F.coalesce(F.col("load_id") <= trips.agg(F.percentile_approx("load_id", 0.5)).scalar(), F.lit(True))
+    history = cut(quality.value_states(trips.where(earlier), "load_id"))
+    states = quality.merge_value_states(history.unionByName(quality.value_states(trips.where(~earlier), "load_id")), ["load_id"])
+    return quality.load_findings(quality.load_figures(states, "load_id"), "load_id")
+
+
 def p5_load_figures(spark: SparkSession, d: str, places: int | None = 6) -> DataFrame:
     """The figures of the four checked columns per load."""
-    figures = quality.load_figures(quality.value_states(table(spark, d, "trips"), "load_id", quality.TRIP_LIMITS), "load_id")
+    figures = quality.load_figures(quality.value_states(table(spark, d, "trips"), "load_id"), "load_id")
     if places is None:
         return figures
     return figures.withColumns({c: F.round(c, places) for c in ("null_rate", "bad_share", "good_median", "share")})
@@ -105,6 +115,11 @@ def p5_profile(spark: SparkSession, d: str) -> DataFrame:
     return quality.read_profile(quality.profile_states(table(spark, d, "trips"), ["load_id"]))
 
 
+def p5_profile_exact(spark: SparkSession, d: str) -> DataFrame:
+    """The figures of the profile that are no estimates."""
+    return p5_profile(spark, d).select("load_id", "column_name", "rows", "nulls", "nans", "malformed", "min_num", "max_num", "min_txt", "max_txt")
+
+
 def p5_profile_all(spark: SparkSession, d: str) -> DataFrame:
     """Profile of every column over all loads, merged from the loads' states."""
     loads = table(spark, d, "trips").withColumn("_load", F.col("load_id"))
@@ -118,7 +133,7 @@ def p5_found_all(spark: SparkSession, d: str) -> DataFrame:
     return quality.profile_findings(quality.profile_states(trips, ["load_id"]), "load_id", serial)
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_changes, p2_table, p2_typed, p2_fee_totals, p3_found, p3_zone_stats, p3_borough_flows, p3_chained_trips, p3_trip_ranks, p5_found, p5_load_figures, p5_profile, p5_profile_all, p5_found_all)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_changes, p2_table, p2_typed, p2_fee_totals, p3_found, p3_zone_stats, p3_borough_flows, p3_chained_trips, p3_trip_ranks, p5_found, p5_found_incremental, p5_load_figures, p5_profile, p5_profile_exact, p5_profile_all, p5_found_all)}
 
 _FIN = "CASE WHEN isfinite({0}) THEN {0} END"
 _BOTH = "SELECT 'PULocationID' AS field, PULocationID AS zone_id, * FROM trips UNION ALL SELECT 'DOLocationID', DOLocationID, * FROM trips"
@@ -172,7 +187,23 @@ _AMOUNTS = r""",
             WHEN kind = 'string' THEN TRY_CAST(replace(trim(regexp_replace(trim(lower(v->>'$')), '^(usd|us\$|\$|€|eur)|(usd|us\$|\$|€|eur)$', '', 'g')), ',', '.') AS DOUBLE) END AS amount FROM f WHERE field IS NOT NULL),
         o AS (SELECT row_id, field, arg_min(amount, path) AS amount FROM v WHERE amount IS NOT NULL GROUP BY ALL)"""
 
+_NUMBERS = ["trip_miles", "base_passenger_fare", "tolls", "bcf", "sales_tax", "congestion_surcharge", "airport_fee", "tips", "driver_pay", "cbd_congestion_fee"]
+_WHOLE = ["record_id", "PULocationID", "DOLocationID", "trip_time"]
+_TIMES = ["request_datetime", "on_scene_datetime", "pickup_datetime", "dropoff_datetime"]
+_TEXTS = ["hvfhs_license_num", "dispatching_base_num", "originating_base_num", "shared_request_flag", "shared_match_flag", "access_a_ride_flag", "wav_request_flag", "wav_match_flag", "trip_id", "rider_id", "rider_phone", "rider_email", "device_id", "payment_token", "driver_license_num", "driver_name", "vehicle_plate", "vehicle_vin", "support_note"]
+
+
+def _column_profile(c: str) -> str:
+    number = f"(epoch_us({c}) / 1000000.0)" if c in _TIMES else f"CAST({c} AS DOUBLE)" if c not in _TEXTS else "CAST(NULL AS DOUBLE)"
+    fit = f"CASE WHEN isfinite({number}) THEN {number} END"
+    text = c if c in _TEXTS else "CAST(NULL AS VARCHAR)"
+    wrong = f"NOT isfinite({number}) OR {number} < 0" if c in _NUMBERS else f"{number} < 0" if c in _WHOLE else f"NOT regexp_matches({c}, '{quality.PATTERNS[c]}')" if c in quality.PATTERNS else "FALSE"
+    return f"""SELECT load_id, '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, count(CASE WHEN isnan({number}) THEN 1 END) AS nans, count(CASE WHEN {wrong} THEN 1 END) AS malformed,
+      min({fit}) AS min_num, max({fit}) AS max_num, min({text}) AS min_txt, max({text}) AS max_txt FROM trips GROUP BY load_id"""
+
+
 ORACLES = {
+    "p5_profile_exact": " UNION ALL ".join(_column_profile(c) for c in [*_NUMBERS, *_WHOLE, *_TIMES, *_TEXTS]),
     "p2_typed": _FEES + _AMOUNTS + f"""
         SELECT t.row_id, t.file_id, t.line_no, {', '.join(_typed(c, kind) for c, kind in drift.TRIP_SCHEMA.items())}, readable, a.amount AS airport_fee, c.amount AS cbd_congestion_fee
         FROM (SELECT *, payload IS NOT NULL AND json_valid(payload) AS readable FROM trip_file_rows) t
@@ -237,3 +268,4 @@ ORACLES = {
         UNION ALL SELECT load_id, column_name, 'distribution' FROM j WHERE column_name IN ('base_passenger_fare', 'trip_miles') AND (good_median >= 1.5 * mm OR good_median <= mm / 1.5)
         UNION ALL SELECT load_id, column_name, 'distribution' FROM j WHERE column_name IN ('airport_fee', 'wav_request_flag') AND abs(share - ms) >= 0.15""",
 }
+ORACLES["p5_found_incremental"] = ORACLES["p5_found"]

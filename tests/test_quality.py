@@ -2,6 +2,8 @@ import random
 import statistics
 from datetime import datetime, timedelta
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 from quietfare.operators import quality as Q
 
@@ -15,7 +17,7 @@ def loads(n=9, rows=40):
 
 def found(spark, data):
     df = spark.createDataFrame(data, SCHEMA)
-    return {tuple(r) for r in Q.load_findings(Q.load_figures(Q.value_states(df, "load_id", Q.TRIP_LIMITS), "load_id"), "load_id").collect()}
+    return {tuple(r) for r in Q.load_findings(Q.load_figures(Q.value_states(df, "load_id"), "load_id"), "load_id").collect()}
 
 
 def test_quiet_loads_have_no_finding(spark):
@@ -37,7 +39,7 @@ def test_each_finding(spark):
 def test_figures_against_brute_force(spark):
     data = [*loads(2), (0, None, -1.0, float("inf"), None), (0, float("nan"), float("nan"), 2000.0, "x"), (7, None, None, None, None)]
     df = spark.createDataFrame(data, SCHEMA)
-    figures = {(r.load_id, r.column_name): r for r in Q.load_figures(Q.value_states(df, "load_id", Q.TRIP_LIMITS), "load_id").collect()}
+    figures = {(r.load_id, r.column_name): r for r in Q.load_figures(Q.value_states(df, "load_id"), "load_id").collect()}
     for load in (0, 1, 7):
         for at, column in ((1, "base_passenger_fare"), (2, "trip_miles"), (3, "airport_fee")):
             values = [r[at] for r in data if r[0] == load]
@@ -56,9 +58,34 @@ def test_figures_against_brute_force(spark):
 
 def test_states_of_two_halves_merge(spark):
     df = spark.createDataFrame(loads(), SCHEMA)
-    halves = Q.value_states(df.where("trip_miles < 5"), "load_id", Q.TRIP_LIMITS).union(Q.value_states(df.where("trip_miles >= 5"), "load_id", Q.TRIP_LIMITS))
+    halves = Q.value_states(df.where("trip_miles < 5"), "load_id").union(Q.value_states(df.where("trip_miles >= 5"), "load_id"))
     a = Q.load_figures(Q.merge_value_states(halves, ["load_id"]), "load_id").orderBy("load_id", "column_name").collect()
-    assert a == Q.load_figures(Q.value_states(df, "load_id", Q.TRIP_LIMITS), "load_id").orderBy("load_id", "column_name").collect()
+    assert a == Q.load_figures(Q.value_states(df, "load_id"), "load_id").orderBy("load_id", "column_name").collect()
+
+
+def test_medians_of_any_numbers(spark):
+    random.seed(9)
+    values = {0: [random.choice([-1, 1]) * 10 ** random.uniform(-8, 12) for _ in range(501)], 1: [0.0, -0.0, 5e-324, 1.7e308], 2: [3.5] * 7 + [9.0], 3: [-2.0, -2.0, 4.0, 4.0], None: [1.0]}
+    df = spark.createDataFrame([(k, "c", float(v), None, 1) for k, vs in values.items() for v in vs] + [(7, "c", None, None, 3), (7, "c", float("nan"), None, 2)], "g int, column_name string, num double, txt string, n bigint")
+    got = {r.g: r.median for r in Q.exact_medians(df, "g", F.lit(True)).collect()}
+    assert got == {k: statistics.median(vs) for k, vs in values.items()}
+
+
+def test_a_check_is_data(spark):
+    checks = [Q.Check("v", "short", "share", lambda v: F.length(v) < 2, Q.present, Q.Limit("too_short", "level", 0.5), True), Q.Check("v", "null_rate", "share", Q.absent, text=True)]
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "ccc"), (1, None), (2, "ddd"), (2, "e"), (2, "fff")], "load int, v string")
+    figures = Q.load_figures(Q.value_states(df, "load", checks), "load", checks)
+    assert {(r.load, round(r.short, 3), r.null_rate) for r in figures.collect()} == {(1, 0.667, 0.25), (2, 0.333, 0.0)}
+    assert [tuple(r) for r in Q.load_findings(figures, "load", checks).collect()] == [(1, "v", "too_short")]
+
+
+def test_written_states_of_earlier_loads_are_enough(spark, tmp_path):
+    data = [(i, a * 3 if i == 8 else a, b, c, d) for i, a, b, c, d in loads()]
+    df = spark.createDataFrame(data, SCHEMA)
+    Q.value_states(df.where("load_id < 8"), "load_id").write.parquet(str(tmp_path / "states"))
+    states = spark.read.parquet(str(tmp_path / "states")).unionByName(Q.value_states(df.where("load_id = 8"), "load_id"))
+    got = {tuple(r) for r in Q.load_findings(Q.load_figures(Q.merge_value_states(states, ["load_id"]), "load_id"), "load_id").collect()}
+    assert got == found(spark, data) and (8, "base_passenger_fare", "distribution") in got
 
 
 def test_empty_table(spark):
