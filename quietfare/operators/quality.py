@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quietfare.session import spread
+
 Predicate = Callable[[Column], Column]
 
 present: Predicate = lambda v: v.isNotNull()
@@ -240,31 +242,32 @@ def profile_states(df: DataFrame, by: Sequence[str], patterns: Mapping[str, str]
     shuffle, and only the result is turned into a row per column. An empty table
     has no state.
     """
-    aggregates, rows = [F.count(F.lit(1)).alias("_rows")], []
+    aggregates, rows = ["count(1) as _rows"], []
     kinds = {"nans": "bigint", "malformed": "bigint", "min_num": "double", "max_num": "double", "sum_num": "double", "min_txt": "string", "max_txt": "string", "distinct_state": "binary", "quantile_state": "binary", "positive": "bigint", "yes": "bigint"}
+    quoted = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
     for i, f in enumerate(f for f in df.schema.fields if f.name not in by):
-        c = F.col(f"`{f.name}`")
-        numeric, timed = isinstance(f.dataType, T.NumericType), isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))
-        own = {"nulls": F.count_if(c.isNull()), "distinct_state": F.hll_sketch_agg(F.when(c.isNotNull(), F.xxhash64(c if isinstance(f.dataType, T.AtomicType) else F.to_json(F.struct(c)))), lg_k)}
+        c = f"`{f.name}`"
+        numeric, timed, atomic = isinstance(f.dataType, T.NumericType), isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)), isinstance(f.dataType, T.AtomicType)
+        text = f"cast({c} as string)" if atomic else f"to_json(struct({c}))"
+        own = {"nulls": f"count_if({c} is null)", "distinct_state": f"hll_sketch_agg(if({c} is null, null, xxhash64({c if atomic else text})), {lg_k})"}
         if numeric or timed:
-            number = c.cast("double") if numeric else F.unix_micros(c.cast("timestamp")) / 1e6
+            number = f"cast({c} as double)" if numeric else f"unix_micros(cast({c} as timestamp)) / 1e6"
             fractional = isinstance(f.dataType, (T.FloatType, T.DoubleType))
-            fit = F.when(~F.isnan(number) & (F.abs(number) != float("inf")), number) if fractional else number
-            own |= {"min_num": F.min(fit), "max_num": F.max(fit), "sum_num": F.sum(fit), "quantile_state": F.kll_sketch_agg_double(fit), "positive": F.count_if(fit > 0)}
+            fit = f"if(isnan({number}) or abs({number}) = double('inf'), null, {number})" if fractional else number
+            own |= {"min_num": f"min({fit})", "max_num": f"max({fit})", "sum_num": f"sum({fit})", "quantile_state": f"kll_sketch_agg_double({fit})", "positive": f"count_if({fit} > 0)"}
             if numeric:
-                own["malformed"] = F.count_if(F.isnan(number) | (number < 0) | (number == float("inf"))) if fractional else F.count_if(number < 0)
+                own["malformed"] = f"count_if(isnan({number}) or {number} < 0 or {number} = double('inf'))" if fractional else f"count_if({number} < 0)"
             if fractional:
-                own["nans"] = F.count_if(F.isnan(number))
+                own["nans"] = f"count_if(isnan({number}))"
         else:
-            text = c.cast("string") if isinstance(f.dataType, T.AtomicType) else F.to_json(F.struct(c))
-            own |= {"min_txt": F.min(text), "max_txt": F.max(text), "yes": F.count_if(text == "Y")}
+            own |= {"min_txt": f"min({text})", "max_txt": f"max({text})", "yes": f"count_if({text} = 'Y')"}
             if f.name in patterns:
-                own["malformed"] = F.count_if(~c.rlike(patterns[f.name]))
-        aggregates += [a.alias(f"_{i}_{name}") for name, a in own.items()]
-        figures = [(F.col(f"_{i}_{name}") if name in own else F.lit(0 if kind == "bigint" else None)).cast(kind).alias(name) for name, kind in kinds.items()]
-        rows.append(F.struct(F.lit(f.name).alias("column_name"), F.col("_rows").alias("rows"), F.col(f"_{i}_nulls").alias("nulls"), *figures))
-    wide = df.groupBy(*by).agg(*aggregates)
-    return wide.where("_rows > 0").select(*by, F.inline(F.array(*rows)))
+                own["malformed"] = f"count_if(not {c} rlike {quoted(patterns[f.name])})"
+        aggregates += [f"{a} as _{i}_{name}" for name, a in own.items()]
+        figures = [f"cast({f'_{i}_{name}' if name in own else '0' if kind == 'bigint' else 'null'} as {kind}) as {name}" for name, kind in kinds.items()]
+        rows.append(f"struct({quoted(f.name)} as column_name, _rows as rows, _{i}_nulls as nulls, {', '.join(figures)})")
+    wide = spread(df).groupBy(*by).agg(*[F.expr(a) for a in aggregates])
+    return wide.where("_rows > 0").select(*by, F.expr(f"inline(array({', '.join(rows)}))"))
 
 
 def merge_profile_states(states: DataFrame, by: Sequence[str] = ()) -> DataFrame:
