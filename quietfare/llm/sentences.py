@@ -9,16 +9,22 @@ of span scores. A span is scored as a whole:
 
 * its closing words: the kind of end mark, abbreviations, initials, ordinals,
 * the opening words of what follows: capitals, openers and continuers,
-* balanced quotations and brackets inside the span,
-* its length: fragments and mere quotations followed by an attribution cost.
-
-The search looks back over a bounded number of candidates and, beyond them, to
-the best earlier end, so the cost is linear in the text.
+* quotations and brackets: each that it leaves open, or ends inside of, costs,
+* its length in characters, weighed by how dense its script is: fragments cost,
+  and so do spans longer than sentences are, the more the longer, so that long
+  runs without clear ends are split at the best of their unclear ones.
+
+No end but one inside a number or an address is ruled out before the search. The
+search is exact: a span's score is never above 0, which lets it stop looking back
+as soon as nothing older can win; of spans beyond ``FAR`` the length costs the
+same for every further character, so that one best start per state of the
+quotations stands for all of them. The cost is linear in the text.
 """
 
 from __future__ import annotations
 
 import bisect
+import math
 import re
 from collections.abc import Iterator
 
@@ -27,10 +33,12 @@ from pyspark.sql import DataFrame
 
 from quietfare.llm.flatmap import text_rows
 
-LOOK_BACK = 16
+#: Weighed characters: shorter and longer spans cost; beyond FAR each character costs SLOPE.
+SHORT, LONG, FAR, SLOPE = 22.0, 170.0, 700.0, 0.004
 SLACK = 12  # characters by which a wrapped line may fall short of its paragraph's width
 PLAIN_END = 3.0
 UNBALANCED = -3.2
+NEVER = -8.5  # inside a number, a name or an address
 
 # Abbreviations that don't end a sentence, by language.
 NEVER_END = set(
@@ -38,6 +46,7 @@ NEVER_END = set(
     p pp no nos art arts fig figs sec secs cf vs viz incl approx app dept mr mrs ms mx messrs dr prof sgt capt col lt gen hon rev mgr gov sen rep pres mt ft ste vol ch ed eds e.g i.e eg ie resp
     sra srta dra av avda núm pág págs depto ej aprox tel ee d.ª d excmo
     m mm mme mlle env ex sté no n réf éd
+    dott dott.ssa sig sig.ra ing avv arch cfr pag exmo exma ilmo eng adv profa sr. tab eq eqs ex ref refs app
     hr fr fa nr abs s vgl ca z.b d.h z b h bzw evtl ggf str art bspw inkl exkl tel hrsg
     проф акад доц инж тов ред г ул д стр т п ст см им пр пер кв тел напр рис табл
     ul str godz tj np m.in al pl nr p pan red
@@ -52,7 +61,8 @@ MAY_END = set(
     o.o r w zł gr cd кв कि.मी मी কি.মি মি ม กม น st jan feb mar apr jun jul aug sept sep oct nov dec
     """.split()
 )
-TITLES_BEFORE_NAMES = {"mr", "mrs", "ms", "mx", "dr", "prof", "sgt", "capt", "gen", "mgr", "hr", "fr", "sra", "srta", "dra", "mme", "st", "ft", "mt", "fa", "hon", "rev", "col", "lt", "gov", "sen", "проф", "акад", "доц"}
+TITLES_BEFORE_NAMES = {"mr", "mrs", "ms", "mx", "dr", "prof", "sgt", "capt", "gen", "mgr", "hr", "fr", "sra", "srta", "dra", "mme", "st", "ft", "mt", "fa", "hon", "rev", "col", "lt", "gov", "sen", "проф", "акад", "доц", "dott", "sig", "ing", "avv", "exmo", "exma", "ilmo", "profa"}
+_EITHER = {"sr", "jr"} | (TITLES_BEFORE_NAMES & MAY_END)
 CLOCK_CONTINUERS = {"eastern", "pacific", "central", "mountain", "utc", "gmt", "est", "edt", "cet"}
 GERMAN_BEFORE_ORDINAL = {"am", "dem", "der", "die", "das", "im", "den", "zum", "vom", "beim", "bis", "ab", "seit", "zur", "des", "ein", "jeder"}
 ORDINAL_NOUNS = {"januar", "februar", "märz", "april", "mai", "juni", "juli", "august", "september", "oktober", "november", "dezember", "anlauf", "antrag", "stock", "etage", "mal", "versuch", "klasse"}
@@ -60,13 +70,13 @@ ORDINAL_NOUNS = {"januar", "februar", "märz", "april", "mai", "juni", "juli", "
 OPENERS = set(
     """
     the a an our my your his her their we i you he she it they this that these those there here who what why when where how was is are did does do please thanks hello about according several under
-    no. base trip rider driver pickup column zone policy passenger mail call-backs approx. after before if as in on at for with
+    no. approx. after before if as in on at for with
     el la los las un una unos unas según faltan dijo nadie por qué la lo esto este esta nos se su mi yo él ella
     le la les un une des il elle on nous vous je ce cette quelle quel pourquoi merci bonjour selon
     der die das ein eine er sie es wir ich am im hr. fr. dr. warum einige niemand basis das dies diese laut vielen bitte
-    он она они мы вы я это этот почему никто машина водитель пассажирка поездка запрос некоторые г-н г-жа в ооо база спасибо
-    pan pani kierowca pasażerka dlaczego nikt kurs baza kwota firma dziękuję dr
-    mr. mrs. ms. dr. prof. sgt. capt. gen. sr. sra. m. mme icab
+    он она они мы вы я это этот почему никто некоторые г-н г-жа в ооо спасибо
+    pan pani dlaczego nikt dziękuję dr
+    mr. mrs. ms. dr. prof. sgt. capt. gen. sr. sra. m. mme
     """.split()
 )
 #: Words that rarely end a line unless it was wrapped.
@@ -86,16 +96,28 @@ CONTINUERS = set(
     """.split()
 )
 CJK_CONTINUERS = ("然后", "又一次", "又", "一直", "并", "而", "但", "時間", "时间", "と", "って", "まで", "라고", "이라고", "고 ", "하고", "例如", "，", ",", "、", "；", ";", "は", "が", "を", "に", "で", "も", "の", "直到", "问道", "说道")
-CJK_OPENERS = ("审核员", "乘客", "司机", "夜班", "客服", "第", "没有人", "真的", "为什么", "请", "字段", "全程", "根据", "这个", "她说", "他说", "他一直", "基地", "我", "運転手", "夜間", "距離", "誰も", "なぜ", "ずっと", "項目", "彼女", "彼は", "私")
-THAI_OPENERS = ("คน", "รถ", "ฐาน", "คุณ", "ฉัน", "ผม", "เขา", "เธอ", "เรา", "พวก", "ระยะทาง", "กรุณา", "โปรด", "ทำไม", "ไม่มี", "พนักงาน", "ช่อง", "ผู้", "ลูกค้า", "เมื่อ", "วันนี้", "ขอ", "นาย", "นาง", "บริษัท", "สวัสดี", "เรื่อง", "รายงาน", "ตาม", "ใคร", "อะไร", "เหตุใด", "มี", "นี่", "ถ้า", "หาก", "ค่า")
+#: Pronouns, questions and the like that open a statement in scripts without capitals.
+CJK_OPENERS = ("我", "你", "您", "他", "她", "它", "这", "那", "谁", "为什么", "请", "没有人", "真的", "根据", "第", "今天", "明天", "昨天", "私", "彼", "誰", "なぜ", "これ", "それ", "あれ", "今日", "明日", "昨日")
+THAI_OPENERS = ("คุณ", "ฉัน", "ผม", "เขา", "เธอ", "เรา", "พวก", "กรุณา", "โปรด", "ทำไม", "ไม่มี", "เมื่อ", "วันนี้", "ขอ", "นาย", "นาง", "สวัสดี", "ตาม", "ใคร", "อะไร", "เหตุใด", "มี", "นี่", "ถ้า", "หาก")
 THAI_CONTINUERS = ("และ", "แต่", "หรือ", "จำนวน", "นาน", "นาที", "จนถึง", "ครั้ง", "อีก", "กม", "น.", "ดอลลาร์", "บาท", "ที่", "ซึ่ง", "โดย", "เพราะ", "เพื่อ", "ว่า", "ถึง", "ตั้งแต่", "เวลา", "ค่ะ", "ครับ", "นะ")
+THAI_ATTRIBUTIONS = ("กล่าว", "พูด", "ถาม", "ตอบ", "บอก", "เขากล่าว", "เธอกล่าว", "เขาพูด", "เธอพูด", "เขาถาม", "เธอถาม")
 THAI_CLOSERS = ("ค่ะ", "ครับ", "คะ", "นะคะ", "นะครับ", "น.", "กม.", "ดอลลาร์", "นาที", "ครั้ง", ")", '"', "”")
 
 _EMOJI = r"[\U0001F000-\U0001FAFF☀-➿⬀-⯿️‍\U0001F1E6-\U0001F1FF]"
 _END = r".!?…。！？؟۔।॥|．｡‼⁇⁈⁉។။"
 _CLOSE = r"\"'”’»›)\]}」』】》〉）］｝＂"
-_CANDIDATE = re.compile(rf"[{_END}](?:[{_END}]|\s?[»›]|[{_CLOSE}](?=[^\w]|$|[{_CLOSE}]|[^\x00-\x7F])|[{_CLOSE}](?=[A-ZÀ-Þ])|“(?=\W|$))*(?:\s*{_EMOJI}+)*|{_EMOJI}+(?=\s)|[\"”»](?=\s)")
+_CANDIDATE = re.compile(rf"(?<=[\u0370-\u03ff\u1f00-\u1fff])[;\u037e](?=\s|$)|[{_END}](?:[{_END}]|\s?[»›]|[{_CLOSE}](?=[^\w]|$|[{_CLOSE}]|[^\x00-\x7F])|[{_CLOSE}](?=[A-ZÀ-Þ])|“(?=\W|$))*(?:\s*{_EMOJI}+)*|{_EMOJI}+(?=\s)|[\"”»](?=\s)")
 _THAI = re.compile(r"[฀-๿຀-໿ក-៿]")
+_WIDE_GAP = re.compile(r"\t|[ \xa0]{2,}")
+_HAN = re.compile(r"[\u3040-\u30ff\u3400-\u9fff]")
+_HAN_RUN = re.compile(r"[\u3040-\u30ff\u3400-\u9fff]+")
+_HAN_RUN_BEFORE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff]+$")
+_HAN_SPACE = re.compile(r"(?<=[\u3040-\u30ff\u3400-\u9fff])[ \u3000]+(?=[\u3040-\u30ff\u3400-\u9fff])")
+#: Plural pronouns open a clause in a run of Han characters unless a word that governs them stands before.
+_HAN_SUBJECT = re.compile(r"(?<=[\u4e00-\u9fff]{4})(?<![给和跟与对让请叫问帮被把的在从向于是有为找等说到比像替])(?:我们|你们|他们|她们|咱们|大家)(?=[\u4e00-\u9fff]{3})")
+_HAN_MARK = re.compile(r"[。！？；，、!?,;]")
+_WIDE = re.compile(r"[\u0e00-\u0eff\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")
+_DENSE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")
 _SPACE = re.compile(r"\s+")
 _LIST = re.compile(r"\s*(?:[-*•–—·▪◦‣○●]|\(?\d{1,3}[.)]|\(?[a-zA-Z][.)]|#{1,6}|>+)(?:\s+|$)")
 _INITIAL = re.compile(r"\s*[A-Z]\.\s")  # may begin a name as well as an item
@@ -111,11 +133,13 @@ _NUMBER = re.compile(r"[\d.:/-]*\d")
 _LETTER = re.compile(r"[^\W\d_]")
 _AN_INITIAL = re.compile(r"\s*[^\W\d_]\.")
 _QUOTES = re.compile(r"[()（）\[\]【】「」『』«»„“”\"《》＂]")
+_QUOTE_END = re.compile(r'["”»“」』]')
 _LINE = re.compile(r"\r\n|[\n\r\x0b\x0c  \x85]")
 _WORD = re.compile(r"\w[\w'’.-]*")
 _PAIRS = {"(": 0, "（": 0, "[": 0, "【": 0, "「": 1, "『": 1, "«": 1, "„": 2, "《": 1, ")": 0, "）": 0, "]": 0, "】": 0, "」": 1, "』": 1, "»": 1, "》": 1}
 _SPEECH = frozenset('"“«„「『')
 _CLOSING = frozenset("\"”»」』’“＂")
+_CLEAR_MARKS = frozenset("!?！？。।")
 _STRONG = frozenset("!?！？。؟۔।॥｡។။‼⁇⁈⁉")
 _OPENING = set("(（[【「『«„《")
 _TERMINAL = set(_END)
@@ -323,6 +347,8 @@ def _end_score(text: str, start: int, end: int, mark: int, stop: int) -> float:
         return 3.0 if not (first.islower() and word in CONTINUERS and not opener) else 0.8
     if "|" in cluster:
         return -6.0
+    if cluster[0] in ";\u037e":  # the Greek question mark
+        return 3.0 if first.isupper() else -6.0
     if cluster[0] not in ".．":
         # emoji or a bare closing quote without an end mark
         if _IS_EMOJI.match(cluster):
@@ -365,6 +391,8 @@ def _end_score(text: str, start: int, end: int, mark: int, stop: int) -> float:
             return 1.6 if upper and word not in CLOCK_CONTINUERS and not first.isdigit() else -4.0
         if token[-1:].isupper() and re.search(r"\bS\.\s?A$", text[max(start, mark - 6) : mark]):
             return 1.0 if first.isupper() and opener else -3.0
+        if dotted in {"д", "п"} and re.search(r"т\.\s?.$", text[max(start, mark - 5) : mark]):
+            return 1.6 if first.isupper() else -5.0
         if dotted == "е" and re.search(r"т\.\s?е$", text[max(start, mark - 5) : mark]):
             return -5.0
         return 0.6 if opener and first.isupper() and token[-1:].isupper() and word not in TITLES_BEFORE_NAMES else -4.0
@@ -372,7 +400,7 @@ def _end_score(text: str, start: int, end: int, mark: int, stop: int) -> float:
         return -4.5
     if dotted in {"sr", "jr"}:
         prior = re.search(r"(\S+)\s+$", text[max(start, mark - len(token) - 16) : mark - len(token)])
-        if not prior or prior.group(1).lower().rsplit(".", 1)[-1] in {"el", "al", "del", "un", "estimado", "señor", "querido"}:
+        if not prior or prior.group(1).lower().rstrip(".") in TITLES_BEFORE_NAMES or prior.group(1).lower().rsplit(".", 1)[-1] in {"el", "al", "del", "un", "estimado", "señor", "querido"}:
             return -4.5
     if word in {"el", "le", "il"} and second is not None and second.group(1).isdigit():
         return -3.5  # a date
@@ -420,7 +448,7 @@ def _after_quote(text: str, start: int, stop: int, end: int, nxt: str, word: str
         if ord(first) >= 0x2E80 or "가" <= first <= "힯":
             return -5.0 if rest.startswith(CJK_CONTINUERS) else 0.6
         if _THAI.match(first):
-            return 2.0 if rest.startswith(THAI_OPENERS) else -2.0
+            return -2.5 if rest.startswith((*THAI_CONTINUERS, *THAI_ATTRIBUTIONS)) else 1.6
         return -4.0 if word in CONTINUERS else 1.2
     if nxt[0] in "(（[" and first.islower():
         return -4.0
@@ -432,21 +460,36 @@ def _after_quote(text: str, start: int, stop: int, end: int, nxt: str, word: str
 
 
 def _thai_gap(text: str, start: int, stop: int, end: int, low: str) -> float:
-    """Score of a statement's end at a blank in a script without end marks."""
+    """Score of a statement's end at a blank in a script without end marks.
+
+    Such scripts write no blanks between words: one between two runs of letters
+    parts statements, while those beside numbers and foreign words needn't.
+    """
     rest = low.lstrip("\"“(")
     left = text[max(start, stop - 24) : stop].rstrip()
-    if low[:1] in "(（":
-        return -3.0
-    if not rest or not _THAI.match(rest[0]):
+    if low[:1] in "(（" or rest.startswith(THAI_CONTINUERS):
         return -3.5
-    if rest.startswith(THAI_CONTINUERS):
-        return -3.5
-    score = 1.4 if rest.startswith(THAI_OPENERS) else -1.6
+    if not rest or not _THAI.match(rest[0]):
+        return -2.2 if rest[:1].isalpha() and left.endswith(THAI_CLOSERS) else -3.5
+    if low[:1] in "\"“" and _THAI.match(left[-1:] or " "):
+        return -2.5  # speech that the words before announce
+    opens = rest.startswith(THAI_OPENERS)
+    if _WIDE_GAP.match(text, stop):
+        return 2.0
     if left.endswith(THAI_CLOSERS):
-        score += 0.8
-    elif left[-1:].isascii() and left[-1:].isalnum():
-        score -= 0.8
-    return score
+        return 2.2 if opens else 0.6
+    if _THAI.match(left[-1:] or " "):
+        run = len(left) - max((left.rfind(c) for c in " \n\t\"“("), default=-1) - 1
+        return 2.0 if opens or (run >= 4 and len(rest) >= 4) else 0.4
+    return (0.6 if opens else -1.6) - (0.8 if left[-1:].isascii() and left[-1:].isalnum() else 0.0)
+
+
+def _han_gap(text: str, start: int, stop: int, at: int, end: int) -> float:
+    """Score of a statement's end at a blank between Han or Kana characters, where the block writes no end marks."""
+    left = _HAN_RUN_BEFORE.search(text, max(start, stop - 40), stop)
+    right = _HAN_RUN.match(text, at, end)
+    sizes = [len(m.group()) if m else 0 for m in (left, right)]
+    return 1.4 if min(sizes) >= 4 and not text.startswith(CJK_CONTINUERS, at) else -2.0
 
 
 def _plain_word(text: str, low: int, mark: int) -> bool:
@@ -456,8 +499,30 @@ def _plain_word(text: str, low: int, mark: int) -> bool:
     return at >= 0 and len(word) > 2 and word.isascii() and word.isalpha() and word.islower() and word not in NEVER_END and word not in MAY_END and word not in TITLES_BEFORE_NAMES and not word.endswith(("str", "allee"))
 
 
-def _units_of_block(text: str, start: int, end: int) -> list[tuple[int, int]]:
-    """The best sequence of spans of one block."""
+def _abbreviated(text: str, low: int, mark: int, stop: int) -> float:
+    """The score of a stop behind a known abbreviation in plain cases, as :func:`_end_score` gives it; 0 where that must decide."""
+    at = text.rfind(" ", low, mark)
+    token = text[at + 1 : mark].lower()
+    if at < 0 or len(token) < 2 or not (token.isascii() and token.isalpha()) or token in _EITHER:
+        return 0.0
+    never, may = token in NEVER_END or token in TITLES_BEFORE_NAMES, token in MAY_END
+    if not (never or may):
+        return 0.0
+    first = text[stop + 1 : stop + 2]
+    if "0" <= first <= "9":
+        return -4.0 if may else -4.5
+    space = text.find(" ", stop + 1, stop + 40)
+    word = text[stop + 1 : space]
+    if space < 0 or not (word.isascii() and word.isalpha()) or word[1:2].isupper():
+        return 0.0
+    bare = word.lower()
+    if bare in OPENERS or bare in ("el", "le", "il") or (may and not first.islower()):
+        return 0.0
+    return -3.5 if may else -4.5
+
+
+def _units_of_block(text: str, start: int, end: int, wide: bool = True) -> list[tuple[int, int]]:
+    """The best sequence of spans of one block. ``wide`` tells that the text has letters of scripts without blanks or capitals."""
     while start < end and text[start].isspace():
         start += 1
     while end > start and text[end - 1].isspace():
@@ -485,6 +550,16 @@ def _units_of_block(text: str, start: int, end: int) -> list[tuple[int, int]]:
             if after == " " and start < stop and "A" <= text[stop + 1 : stop + 2] <= "Z" and _plain_word(text, max(start, mark - 24), mark):
                 found[stop] = (mark, PLAIN_END)
                 continue
+            if after == " ":
+                score = _abbreviated(text, max(start, mark - 12), mark, stop)
+                if score:
+                    found[stop] = (mark, score)
+                    continue
+        if cluster in _CLEAR_MARKS and stop < end:
+            after = text[stop + 1 : stop + 2] if text[stop] == " " else text[stop]
+            if ("A" <= after <= "Z" and text[stop] == " ") or ("\u0900" <= after and after.isalpha()):
+                found[stop] = (mark, PLAIN_END)
+                continue
         if '"' in cluster or "＂" in cluster:
             for i in range(mark, stop):  # a straight quote that opens belongs to what follows
                 if text[i] in '"＂' and state(i)[3] == 0:
@@ -496,41 +571,66 @@ def _units_of_block(text: str, start: int, end: int) -> list[tuple[int, int]]:
             continue
         if start < stop < end and stop > mark:
             found[stop] = (mark, _end_score(text, start, end, mark, stop))
-    if _THAI.search(text, first_at, end):
+    if wide and _THAI.search(text, first_at, end):
         for m in _SPACE.finditer(text, first_at, end):
             if m.start() not in found and (_THAI.match(text[m.start() - 1]) or (m.end() < end and _THAI.match(text[m.end()]))):
                 found[m.start()] = (m.start(), _thai_gap(text, start, m.start(), end, _next_word(text, m.start(), end)[1]))
+    if wide and _HAN.search(text, first_at, end) and not _HAN_MARK.search(text, first_at, end):
+        for m in _HAN_SPACE.finditer(text, first_at, end):
+            found.setdefault(m.start(), (m.start(), _han_gap(text, start, m.start(), m.end(), end)))
+        for m in _HAN_SUBJECT.finditer(text, first_at, end):
+            found.setdefault(m.start(), (m.start(), 0.8))
+    if not found:
+        return [(start, end)]
     whole = state(end)
+    weight = 1.0 + 1.6 * len(_DENSE.findall(text, start, end)) / (end - start) if wide else 1.0
+    # an end spares at most the length score of the whole block and one missing attribution: one that costs more is in no best sequence
+    least = max(NEVER, _length_score(max((end - start) * weight, SHORT)) - 2.5)
+    candidates = sorted((at, score) for at, (_, score) in found.items() if score >= least)
+    return _best_spans(text, start, end, first_at, candidates, state, whole, weight) if candidates else [(start, end)]
 
-    def inside(at: int) -> bool:
-        """Whether a quotation is open there in a block whose quotations all close: no end can lie in it."""
-        m = state(at)
-        return bool(m[3] and not whole[3]) or (m[1] > 0 and not whole[1]) or (m[2] > 0 and not whole[2])
 
-    candidates = sorted((at, score) for at, (_, score) in found.items() if score > UNBALANCED * 1.3 and not (places and inside(at)))
-    if not candidates:
-        return [(start, end)]
+def _inside(mark: tuple[int, int, int, int], whole: tuple[int, int, int, int]) -> bool:
+    """Whether a quotation is open at a place, in a block whose quotations all close."""
+    return bool(mark[3] and not whole[3]) or (mark[1] > 0 and not whole[1]) or (mark[2] > 0 and not whole[2])
+
+
+def _best_spans(text: str, start: int, end: int, first_at: int, candidates: list[tuple[int, float]], state, whole, weight: float = 1.0) -> list[tuple[int, int]]:
+    """The spans with the best sum of scores. ``candidates`` are ends with the score of their closing and the following opening words."""
     ends = [start, *[c[0] for c in candidates], end]
-    marks = [state(e) for e in ends]
     gains = [0.0, *[c[1] for c in candidates], 0.0]
+    marks = [state(e) for e in ends]
     starts = [first_at, *ends[1:]]
     speaks = [text[i : i + 3].lstrip()[:1] in _SPEECH for i in starts]
-    best = [0.0] * len(ends)
-    back = [0] * len(ends)
-    eldest = 0
+    short, long = SHORT / weight, LONG / weight
+    best, back, peak = [0.0] * len(ends), [0] * len(ends), [0.0] * len(ends)
+    far = 0  # starts before it are beyond FAR; the best of them by the state of their quotations
+    beyond: dict[tuple[int, int, int, int], tuple[float, int]] = {}
     for j in range(1, len(ends)):
-        low = max(0, j - LOOK_BACK)
-        if low - 1 > eldest and best[low - 1] > best[eldest]:
-            eldest = low - 1
-        top, at = -1e18, 0
         stop, mark = ends[j], marks[j]
-        for i in (*range(low, j), eldest) if low > 0 else range(low, j):
+        if _inside(mark, whole):
+            gains[j] += UNBALANCED * 2  # the span ends inside a quotation
+        while far < j and (stop - starts[far]) * weight > FAR:
+            value = best[far] + SLOPE * weight * starts[far]
+            if marks[far] not in beyond or value > beyond[marks[far]][0]:
+                beyond[marks[far]] = value, far
+            far += 1
+        top, at = -1e18, j - 1
+        for i in range(j - 1, far - 1, -1):
+            if peak[i] <= top:
+                break  # no score is above 0, so nothing older is better
+            size = stop - starts[i]
             score = best[i]
-            if marks[i] != mark or speaks[i] or not 12 <= stop - starts[i] <= 600:
-                score += _span_score(text, starts[i], stop, marks[i], mark)
+            if marks[i] != mark or speaks[i] or not short <= size <= long:
+                score += _span_score(text, starts[i], stop, marks[i], mark, weight)
+            if score > top:
+                top, at = score, i
+        for before, (value, i) in beyond.items():
+            score = value - SLOPE * weight * stop + SLOPE * FAR + _length_score(FAR) + _balance_score(before, mark)
             if score > top:
                 top, at = score, i
         best[j], back[j] = top + gains[j], at
+        peak[j] = max(peak[j - 1], best[j])
     cuts, j = [], len(ends) - 1
     while j > 0:
         cuts.append((ends[back[j]], ends[j]))
@@ -538,8 +638,17 @@ def _units_of_block(text: str, start: int, end: int) -> list[tuple[int, int]]:
     return cuts[::-1]
 
 
-def _span_score(text: str, start: int, end: int, before: tuple[int, int, int, int], after: tuple[int, int, int, int]) -> float:
-    """Length and balance of a span as a whole."""
+def _length_score(size: float) -> float:
+    """Cost of a span of so many weighed characters, never above 0."""
+    if size < SHORT:
+        return -0.3 * math.log(SHORT / max(size, 1.0)) ** 2
+    if size <= LONG:
+        return 0.0
+    return -0.5 * math.log(min(size, FAR) / LONG) ** 2 - SLOPE * max(size - FAR, 0.0)
+
+
+def _balance_score(before: tuple[int, int, int, int], after: tuple[int, int, int, int]) -> float:
+    """Cost of the quotations and brackets that a span opens without closing or closes without opening."""
     score = 0.0
     if before[3] != after[3]:
         score += UNBALANCED
@@ -547,6 +656,12 @@ def _span_score(text: str, start: int, end: int, before: tuple[int, int, int, in
         score += UNBALANCED
     if before[0] != after[0]:
         score += UNBALANCED / 2
+    return score
+
+
+def _span_score(text: str, start: int, end: int, before: tuple[int, int, int, int], after: tuple[int, int, int, int], weight: float = 1.0) -> float:
+    """Length and balance of a span as a whole, never above 0."""
+    score = _balance_score(before, after) if before != after else 0.0
     size = end - start
     if size < 12:
         inside = text[start:end]
@@ -554,11 +669,10 @@ def _span_score(text: str, start: int, end: int, before: tuple[int, int, int, in
             return score - 6.0
         if sum(c.isalnum() for c in inside) < 3:
             score -= 1.5
-    elif size > 600:
-        score -= 0.002 * min(size - 600, 2000)
+    score += _length_score(size * weight)
     # speech alone, with an attribution to come
     head = text[start : start + 3].lstrip()
-    if head[:1] in _SPEECH and text[end - 1] in '"”»“」』' and size < 400 and not re.search(r'["”»“」』]', text[start + 3 : end - 1]):
+    if head[:1] in _SPEECH and text[end - 1] in '"”»“」』' and size * weight <= FAR and not _QUOTE_END.search(text, start + 3, end - 1):
         rest = text[end : end + 4].lstrip()
         if rest and not rest[0].isupper() and not rest[0].isdigit() and rest[0] not in '"“«„「『([-*•#':
             score -= 2.5
@@ -570,8 +684,9 @@ def sentence_units(text: str | None) -> list[tuple[int, int]]:
     if not text or text.isspace():
         return []
     out = []
+    wide = not text.isascii() and _WIDE.search(text) is not None
     for start, end in _blocks(text):
-        for a, b in _units_of_block(text, start, end):
+        for a, b in _units_of_block(text, start, end, wide):
             while a < b and text[a].isspace():
                 a += 1
             while b > a and text[b - 1].isspace():

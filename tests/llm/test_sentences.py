@@ -55,6 +55,78 @@ def test_thai_is_split_where_a_statement_begins():
     assert units(" ".join(want)) == want
 
 
+#: Held-out sentences by script; what separates them is what the script writes between sentences.
+HELD_OUT = {
+    "Latin, English": (" ", ["The orchard bloomed early this year.", "See eq. 4 for the proof of convergence.", "Prof. Whitcombe measured 3.75 grams of pollen!", "Was the barometer wrong?", "Our gardener (an ex-sailor) planted tulips, e.g. Tulipa clusiana, near the fence.", '"We froze. The stove was out," recalled Harriet.', "Frost damaged approx. 40 trees.", "It rained at 5 p.m. on the hills."]),
+    "Latin, Italian and Portuguese": (" ", ["Il dott. Rossi ha visitato il museo.", "La statua pesa 2,5 tonnellate.", "O Exmo. Sr. Silva abriu a biblioteca.", "Quantos livros chegaram?", "Nessuno ha risposto!"]),
+    "Latin, German": (" ", ["Die Orgel wurde am 3. Oktober gestimmt.", "Prof. Dr. Lindqvist spielte z. B. eine Fuge.", "Wann beginnt das Konzert?", "Der Saal fasst ca. 900 Gäste.", "„Leiser! Man hört nichts“, rief jemand."]),
+    "Cyrillic": (" ", ["Оркестр репетировал до полуночи.", "Дирижёр А. С. Громов улыбался.", "Сколько стоит скрипка?", "Она весит 0,4 кг и т. д.", "Музыканты ушли!"]),
+    "Greek": (" ", ["Το καράβι έφυγε το πρωί.", "Πόσο κοστίζει το εισιτήριο;", "Ο καπετάνιος χαμογέλασε!", "Η θάλασσα ήταν ήρεμη."]),
+    "Devanagari": (" ", ["बगीचे में आम के पेड़ हैं।", "क्या माली कल आएगा?", "उसने 2.5 किलो बीज खरीदे।", "फूल बहुत सुंदर हैं!"]),
+    "Arabic": (" ", ["زرع البستاني شجرة تفاح.", "هل تمطر غدا؟", "بلغ طول السور 4.5 أمتار.", "الحديقة جميلة!"]),
+    "Han": ("", ["花园里的郁金香开得很早。", "你喜欢听音乐会吗？", "他说：“太冷了。炉子灭了。”然后走进屋里。", "小提琴重0.4公斤！"]),
+    "Han without marks": (" ", ["昨晚山上下了很大的雪", "村里的孩子都跑出来玩", "祖母在厨房里煮了一锅汤"]),
+    "Kana": ("", ["庭の桜が早く咲きました。", "音楽会は何時に始まりますか？", "「寒い。火が消えた。」と祖母が言った。", "雪が降った！"]),
+    "Hangul": (" ", ["정원에 튤립이 일찍 피었다.", "음악회는 언제 시작하나요?", "바이올린 무게는 0.4kg이다.", "눈이 많이 왔다!"]),
+    "Thai": (" ", ["วันจันทร์ฝนตกหนัก", "แม่ไปตลาดซื้อปลาและผัก", "พ่ออยู่บ้านซ่อมหลังคา", "น้องสาวเล่นเปียโนทั้งวัน"]),
+    "Lao": (" ", ["ຝົນຕົກໜັກໃນຄືນນີ້", "ແມ່ໄປຕະຫຼາດຊື້ປາ", "ພໍ່ຢູ່ເຮືອນສ້ອມຫຼັງຄາ"]),
+}
+
+
+@pytest.mark.parametrize("script", HELD_OUT)
+def test_held_out_script(script):
+    gap, want = HELD_OUT[script]
+    got = units(gap.join(want))
+    both = len(set(want) & set(got))
+    assert both / len(want) >= 0.75 and both / len(got) >= 0.75, got
+
+
+def test_held_out_recall_and_precision():
+    want = {(k, u) for k, (_, of) in HELD_OUT.items() for u in of}
+    got = {(k, u) for k, (gap, of) in HELD_OUT.items() for u in units(gap.join(of))}
+    assert len(want & got) / len(want) >= 0.9 and len(want & got) / len(got) >= 0.9
+
+
+def test_a_clause_opens_with_a_pronoun_where_nothing_is_marked():
+    assert units("今天天气很好我们去公园玩") == ["今天天气很好", "我们去公园玩"]
+    assert units("老师昨天下午来给我们上了一堂课") == ["老师昨天下午来给我们上了一堂课"]
+
+
+def test_the_span_scores_decide(monkeypatch):
+    """Without the scores of whole spans, quotations and long runs come out otherwise."""
+    texts = ['She said "I waited. Nobody came." and closed the chat.', "“Stop. Wrong house.” is all the note reads.", "運転手は「どこですか？外にいます。」と聞いた。"]
+    with_spans = [units(t) for t in texts]
+    assert all(len(x) == 1 for x in with_spans)
+    monkeypatch.setattr(Z, "_balance_score", lambda a, b: 0.0)
+    monkeypatch.setattr(Z, "_inside", lambda a, b: False)
+    assert all(len(units(t)) > 1 for t in texts)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 90), st.floats(-6, 6), st.sampled_from(["", '"', "(", ")"])), min_size=1, max_size=14))
+def test_the_search_is_exact(parts):
+    """Against every way to cut, with spans far beyond FAR."""
+    text, candidates = "", []
+    for n, score, mark in parts:
+        text += mark + "abcdefghi " * n
+        candidates.append((len(text) - 1, score))
+    text += "end"
+    places, states = Z._prefix_quotes(text, 0, len(text))
+    state = lambda at: next((s for p, s in zip(reversed(places), reversed(states), strict=True) if p < at), (0, 0, 0, 0))
+    whole = state(len(text))
+    gains = dict(candidates)
+
+    def total(cuts):
+        return sum(gains.get(b, 0.0) + (2 * Z.UNBALANCED if Z._inside(state(b), whole) else 0.0) + Z._span_score(text, a, b, state(a), state(b)) for a, b in cuts)
+
+    got = Z._best_spans(text, 0, len(text), 0, candidates, state, whole)
+    ends = [0, *[c[0] for c in candidates], len(text)]
+    best = [0.0] * len(ends)
+    for j in range(1, len(ends)):
+        best[j] = max(best[i] + total([(ends[i], ends[j])]) for i in range(j))
+    assert abs(total(got) - best[-1]) < 1e-6
+
+
 def test_layout():
     text = "# Report no. 4\n\nHello,\n\n1. First item. Second one\n2. Other\n• third\n\nBest, Anna"
     assert units(text) == ["# Report no. 4", "Hello,", "1. First item.", "Second one", "2. Other", "• third", "Best, Anna"]
