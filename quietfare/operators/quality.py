@@ -145,7 +145,8 @@ def exact_medians(states: DataFrame, by: str, keep: Column, steps: int = 16) ->
     v = F.col("num")
     octave = lambda x: F.floor(F.log2(x) * steps) + 2000 * steps  # noqa: E731 - above 0 for every double
     bucket = F.when(v > 0, octave(v)).when(v < 0, -octave(-v)).otherwise(0)
-    kept = states.where(keep & v.isNotNull() & ~F.isnan(v)).select(by, "column_name", "num", "n", bucket.alias("_b"))
+    # tied to the count, so that the filter stays above the states' aggregate and all readers share its scan and shuffle
+    kept = states.where(F.when(F.col("n") > 0, keep & v.isNotNull() & ~F.isnan(v))).select(by, "column_name", "num", "n", bucket.alias("_b"))
     group = [by, "column_name"]
     counts = kept.groupBy(*group, "_b").agg(F.sum("n").alias("_n"))
     upto = F.sum("_n").over(Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
@@ -153,7 +154,7 @@ def exact_medians(states: DataFrame, by: str, keep: Column, steps: int = 16) ->
     placed = counts.withColumns({"_upto": upto, "_total": total}).withColumns({"_low": F.floor((F.col("_total") + 1) / 2), "_high": F.floor(F.col("_total") / 2) + 1, "_before": F.col("_upto") - F.col("_n")})
     holds = lambda rank: (F.col("_before") < F.col(rank)) & (F.col(rank) <= F.col("_upto"))
     middle = placed.where(holds("_low") | holds("_high")).select(F.col(by).alias("_by"), F.col("column_name").alias("_c"), F.col("_b").alias("_m"), "_low", "_high", "_before")
-    inside = kept.join(middle, F.col(by).eqNullSafe(F.col("_by")) & (F.col("column_name") == F.col("_c")) & (F.col("_b") == F.col("_m"))).drop("_by", "_c", "_m")
+    inside = kept.join(middle, F.col(by).eqNullSafe(F.col("_by")) & (F.col("column_name") == F.col("_c")) & F.col("_b").eqNullSafe(F.col("_m"))).drop("_by", "_c", "_m")
     rank = F.col("_before") + F.sum("n").over(Window.partitionBy(*group, "_b").orderBy("num").rowsBetween(Window.unboundedPreceding, 0))
     ranked = inside.withColumn("_rank", rank)
     at = lambda r: F.min(F.when(F.col("_rank") >= F.col(r), F.col("num")))
