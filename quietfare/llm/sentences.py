@@ -62,6 +62,7 @@ MAY_END = set(
     """.split()
 )
 TITLES_BEFORE_NAMES = {"mr", "mrs", "ms", "mx", "dr", "prof", "sgt", "capt", "gen", "mgr", "hr", "fr", "sra", "srta", "dra", "mme", "st", "ft", "mt", "fa", "hon", "rev", "col", "lt", "gov", "sen", "проф", "акад", "доц", "dott", "sig", "ing", "avv", "exmo", "exma", "ilmo", "profa"}
+_ABBREVIATIONS = NEVER_END | MAY_END | TITLES_BEFORE_NAMES
 _EITHER = {"sr", "jr"} | (TITLES_BEFORE_NAMES & MAY_END)
 CLOCK_CONTINUERS = {"eastern", "pacific", "central", "mountain", "utc", "gmt", "est", "edt", "cet"}
 GERMAN_BEFORE_ORDINAL = {"am", "dem", "der", "die", "das", "im", "den", "zum", "vom", "beim", "bis", "ab", "seit", "zur", "des", "ein", "jeder"}
@@ -493,18 +494,25 @@ def _han_gap(text: str, start: int, stop: int, at: int, end: int) -> float:
 
 
 def _plain_word(text: str, low: int, mark: int) -> bool:
-    """Whether an ordinary word in lower case, no abbreviation, stands before ``mark``; :func:`_end_score` gives PLAIN_END then."""
+    """Whether an ordinary word, no abbreviation, stands before ``mark``; :func:`_end_score` gives PLAIN_END then if a capital follows."""
     at = text.rfind(" ", low, mark)
     word = text[at + 1 : mark]
-    return at >= 0 and len(word) > 2 and word.isascii() and word.isalpha() and word.islower() and word not in NEVER_END and word not in MAY_END and word not in TITLES_BEFORE_NAMES and not word.endswith(("str", "allee"))
+    if at < 0 or len(word) < 3 or not word.isalpha():
+        return False
+    word = word.lower()
+    return word not in _ABBREVIATIONS and not word.endswith(("str", "straße", "allee"))
 
 
 def _abbreviated(text: str, low: int, mark: int, stop: int) -> float:
     """The score of a stop behind a known abbreviation in plain cases, as :func:`_end_score` gives it; 0 where that must decide."""
     at = text.rfind(" ", low, mark)
     token = text[at + 1 : mark].lower()
-    if at < 0 or len(token) < 2 or not (token.isascii() and token.isalpha()) or token in _EITHER:
+    if at < 0 or not (token.isascii() and token.isalpha()) or token in _EITHER:
         return 0.0
+    if len(token) == 1:  # an initial
+        word = text[stop + 1 : stop + 16].split(" ", 1)[0]
+        plain = token not in "mas" and word.isascii() and (word.isdigit() or (word.isalpha() and word.lower() not in OPENERS))
+        return -4.0 if plain else 0.0
     never, may = token in NEVER_END or token in TITLES_BEFORE_NAMES, token in MAY_END
     if not (never or may):
         return 0.0
@@ -547,7 +555,7 @@ def _units_of_block(text: str, start: int, end: int, wide: bool = True) -> list[
                 continue  # inside a number, file name or address
             if text[mark - 1] >= "\u0e00" and _THAI.match(text[mark - 1]):
                 continue  # such a stop belongs to an abbreviation; the blank behind it decides
-            if after == " " and start < stop and "A" <= text[stop + 1 : stop + 2] <= "Z" and _plain_word(text, max(start, mark - 24), mark):
+            if after == " " and text[stop + 1 : stop + 2].isupper() and _plain_word(text, max(start, mark - 24), mark):
                 found[stop] = (mark, PLAIN_END)
                 continue
             if after == " ":
