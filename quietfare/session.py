@@ -46,7 +46,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 #: Up to so many bytes a core a scan counts as small: its splits may outnumber its row groups, which are what tasks read.
-SMALL_SCAN = 16 << 20
+SMALL_SCAN = 4 << 20
 
 
 def spread(df: DataFrame) -> DataFrame:
