@@ -19,6 +19,15 @@ class Recognizer:
     pattern: str
     score: float
     context: tuple[str, ...] = ()
+    check: str | None = None
+
+
+def luhn_valid(value: Column) -> Column:
+    """Whether the digits of ``value`` pass the Luhn checksum."""
+    digits = F.reverse(F.filter(F.split(F.regexp_replace(value, "[^0-9]", ""), ""), lambda x: x != ""))
+    doubled = lambda x, i: F.when(i % 2 == 0, x).otherwise(x * 2 - F.when(x > 4, 9).otherwise(0))
+    total = F.aggregate(F.transform(F.transform(digits, lambda x: x.cast("int")), doubled), F.lit(0), lambda a, x: a + x)
+    return total % 10 == 0
 
 
 # Patterns, scores and context words of the note recognizers.
@@ -29,10 +38,12 @@ RECOGNIZERS = [
     Recognizer("CREDIT_CARD", r"(?i)(?:\*{4}|x{4}|(?:xxxx[- ]?){3})\d{4}", 0.7, ("card", "ending", "charged", "payment")),
     Recognizer("PHONE_NUMBER", r"(?<!\d)(?:\(\d{3}\)\s?|\d{3}[.\s-]?)\d{3}[.\s-]?\d{4}(?!\d)", 0.8, ("phone", "call", "called", "reachable", "contact", "number")),
     Recognizer("LOCATION", r"\b\d{1,5}\s+[A-Z][a-z]+(?:\s+[A-Z][a-z]+){0,2}", 0.9, ("near", "pickup", "dropoff", "address", "located", "corner", "block")),
+    Recognizer("CREDIT_CARD", r"(?<![\d-])(?:\d[ -]?){12,18}\d(?![\d-])", 0.9, check="luhn"),
     Recognizer("EMAIL_ADDRESS", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", 0.8),
 ]
 THRESHOLD = 0.5
 BOOST, FLOOR, CONTEXT_WORDS = 0.35, 0.4, 5
+NEAR = 400  # characters before a match that hold its five words
 
 
 def matches(text: Column, recognizer: Recognizer) -> Column:
@@ -60,12 +71,15 @@ def matches(text: Column, recognizer: Recognizer) -> Column:
     def scored(span: Column) -> Column:
         score = F.lit(recognizer.score)
         if recognizer.context:
-            before = F.split(F.trim(F.lower(F.substring(text, F.lit(1), span["start"]))), r"\s+")
+            near_text = F.substring(text, F.greatest(F.lit(1), span["start"] + 1 - NEAR), F.least(span["start"], F.lit(NEAR)))
+            before = F.split(F.trim(F.lower(near_text)), r"\s+")
             near = F.array_join(F.slice(before, F.greatest(F.lit(1), F.size(before) - CONTEXT_WORDS + 1), CONTEXT_WORDS), " ")
             words = "|".join(re.escape(w) for w in recognizer.context)
             score = F.when(near.rlike(words), F.least(F.lit(1.0), F.greatest(score + BOOST, F.lit(FLOOR)))).otherwise(score)
         return F.struct(F.lit(recognizer.entity_type).alias("entity_type"), span["start"].alias("start"), span["end"].alias("end"), score.alias("score"))
 
+    if recognizer.check == "luhn":
+        placed = F.filter(placed, lambda span: luhn_valid(F.substring(text, span["start"] + 1, span["end"] - span["start"])))
     return F.coalesce(F.when(F.size(values) > 0, F.transform(placed, scored)), F.array().cast(SPANS))
 
 
@@ -91,11 +105,15 @@ def scan(text: Column, recognizers: list[Recognizer] = RECOGNIZERS, threshold: f
 
 
 def redact(text: Column, spans: Column, mask: str = "[REDACTED]") -> Column:
-    """``text`` with every span replaced, from right to left; null for null text."""
-    ordered = F.array_sort(spans, lambda a, b: b["start"] - a["start"])
-    return F.aggregate(
-        ordered, text, lambda t, s: F.concat(F.substring(t, F.lit(1), s["start"]), F.lit(mask), F.substring(t, s["end"] + 1, F.length(t)))
-    )
+    """``text`` with every span replaced, built once from the pieces between the spans; null for null text."""
+    ordered = F.array_sort(spans, lambda a, b: a["start"] - b["start"])
+
+    def piece(span: Column, i: Column) -> Column:
+        since = F.when(i > 0, F.get(ordered, i - 1)["end"]).otherwise(0)
+        return F.concat(F.substring(text, since + 1, span["start"] - since), F.lit(mask))
+
+    tail = F.coalesce(F.get(ordered, F.size(ordered) - 1)["end"], F.lit(0))
+    return F.when(F.size(spans) > 0, F.concat(F.array_join(F.transform(ordered, piece), ""), F.substring(text, tail + 1, F.length(text)))).otherwise(text)
 
 
 def greedy_matches(gold: Column, found: Column) -> Column:

@@ -65,6 +65,26 @@ def suppress(df: DataFrame, qi: Sequence[str], k: int = 5) -> DataFrame:
     return df.join(_sizes(df, qi, "_sz").where(F.col("_sz") >= k), _same(qi), "left_semi")
 
 
+def suppression_audit(df: DataFrame, qi: Sequence[str], k: int = 5) -> DataFrame:
+    """One row beside :func:`suppress`: ``qi``, ``k``, ``rows_in``, ``rows_out``, ``cells_suppressed`` (rows taken away) and ``k_achieved`` (null if nothing is left)."""
+    kept = F.sum(F.when(F.col("sz") >= k, F.col("sz")))
+    rows_in, rows_out = F.coalesce(F.sum("sz"), F.lit(0)), F.coalesce(kept, F.lit(0))
+    figures = classes(df, qi).agg(rows_in.alias("rows_in"), rows_out.alias("rows_out"), (rows_in - rows_out).alias("cells_suppressed"), F.min(F.when(F.col("sz") >= k, F.col("sz"))).alias("k_achieved"))
+    return figures.select(F.array(*[F.lit(c) for c in qi]).alias("qi"), F.lit(k).alias("k"), "*")
+
+
+#: Names by which a quasi-identifier is chosen, and their columns of the risk input.
+QI_TOKENS = {"PULocationID": "pu", "DOLocationID": "do_id", "pickup_bucket": "quarter", "PUBorough": "pb", "DOBorough": "db"}
+
+
+def qi_columns(tokens: Sequence[str]) -> list[str]:
+    """The risk input's columns of a chosen quasi-identifier; an unknown token is an error that names the known ones."""
+    unknown = [t for t in tokens if t not in QI_TOKENS]
+    if unknown or not tokens:
+        raise ValueError(f"unknown quasi-identifier {', '.join(unknown) or '(none given)'}; choose from {', '.join(QI_TOKENS)}")
+    return [QI_TOKENS[t] for t in tokens]
+
+
 def class_size(df: DataFrame, qi: Sequence[str], name: str = "class_size") -> DataFrame:
     """``df`` with the size of each row's class, joined back like in :func:`suppress`. A column ``name`` is replaced."""
     base = df.drop(name)

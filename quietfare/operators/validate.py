@@ -56,10 +56,20 @@ def rule_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
 
 def contract_failures(df: DataFrame, license_number: str = S.LICENSE) -> DataFrame:
-    """``column``, ``check``, ``n``: the contract's failures, missing columns included; empty if it holds."""
+    """``column``, ``check``, ``n``: the contract's failures, missing columns included; empty if it holds.
+
+    A column of another type is cast to the contract's; values that are there but
+    don't cast fail as ``coerce_dtype`` and count in no other check.
+    """
     missing = [c for c in S.REAL_COLUMNS if c not in df.columns]
+    kinds = {c: t for c, t in S.CONTRACT_TYPES.items() if c not in missing and df.schema[c].dataType.simpleString() not in (t, "int" if t == "bigint" else t)}
+    uncast = {f"{c}:coerce_dtype": F.col(f"_raw_{c}").isNotNull() & F.col(c).isNull() for c in kinds}
+    typed = df.withColumns({f"_raw_{c}": F.col(c) for c in kinds}).withColumns({c: F.col(c).try_cast(t) for c, t in kinds.items()}) if kinds else df
     rules = {k: v for k, v in contract_rules(license_number).items() if k.split(":")[0] not in missing}
-    counts = rule_counts(clean(df), rules).where("n > 0").select(F.split_part("rule", F.lit(":"), F.lit(1)).alias("column"), F.split_part("rule", F.lit(":"), F.lit(2)).alias("check"), "n")
+    for c in kinds:
+        if f"{c}:not_nullable" in rules:
+            rules[f"{c}:not_nullable"] = F.col(f"_raw_{c}").isNull()
+    counts = rule_counts(clean(typed), rules | uncast).where("n > 0").select(F.split_part("rule", F.lit(":"), F.lit(1)).alias("column"), F.split_part("rule", F.lit(":"), F.lit(2)).alias("check"), "n")
     if not missing:
         return counts
     return counts.unionByName(df.sparkSession.createDataFrame([(c, "column_in_dataframe", 1) for c in missing], "column string, check string, n bigint"))
@@ -85,7 +95,7 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def profile(df: DataFrame, license_number: str = S.LICENSE, null_flag_is_invalid: bool = True) -> DataFrame:
-    """One row of nine counts: the whole profile in one scan, duplicates in a second narrow one."""
+    """One row of nine counts: the profile in one scan, the duplicates' hashes in a second one of the same columns."""
     data = clean(df)
     nulls = lambda columns: sum((F.count_if(F.col(c).isNull()) for c in columns), F.lit(0))
     zones = ~F.col("PULocationID").between(*S.ZONES) | ~F.col("DOLocationID").between(*S.ZONES)

@@ -120,11 +120,30 @@ def health_gate_license(spark: SparkSession, d: str) -> DataFrame:
 
 
 def health_score(spark: SparkSession, d: str) -> DataFrame:
-    """Scores of the cleaned slice: the licence's trips that keep the contract, as its SQL defines it. :func:`health_gate` judges a whole table."""
-    ok = readers.read_trips(spark, f"{d}/trips.parquet", S.LICENSE).where(" and ".join(f"{c} is not null" for c in S.REQUIRED_COLUMNS))
+    """Scores and gate of the licence's trips as delivered; test data break the contract, so it refuses."""
+    return health_gate_license(spark, d)
+
+
+def health_score_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The case that passes: only the licence's trips that keep the contract, NaN counted as null before they are chosen."""
+    ok = validate.clean(readers.read_trips(spark, f"{d}/trips.parquet", S.LICENSE)).where(" and ".join(f"{c} is not null" for c in S.REQUIRED_COLUMNS))
     return validate.health(validate.profile(ok.where("PULocationID between 1 and 265 and DOLocationID between 1 and 265 and trip_time >= 0")))
 
 
+def suppression_audits(spark: SparkSession, d: str) -> DataFrame:
+    """What k-suppression takes away for two quasi-identifiers chosen by their tokens."""
+    data, out = _risk_input(spark, d), []
+    for tokens in (["PUBorough", "DOBorough", "pickup_bucket"], ["PULocationID", "pickup_bucket"]):
+        out.append(kanon.suppression_audit(data, kanon.qi_columns(tokens), 5).withColumn("qi", F.lit(", ".join(tokens))))
+    return reduce(DataFrame.unionAll, out)
+
+
+def zone_day_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Trips per pick-up zone and day, and those without a drop-off zone: the temporal and zone counts of a month's profile."""
+    day = F.date_trunc("day", F.col("pickup_datetime")).cast("timestamp_ntz").alias("day")
+    return _trips(spark, d).groupBy("PULocationID", day).agg(F.count(F.lit(1)).alias("trips"), F.count_if(F.col("DOLocationID").isNull()).alias("no_dropoff_zone"))
+
+
 def null_cells_by_column(spark: SparkSession, d: str) -> DataFrame:
     return validate.null_cells(_trips(spark, d))
 
@@ -309,8 +328,8 @@ def synthetic_notes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def synth_stats(spark: SparkSession, d: str) -> DataFrame:
-    """Notes, spans and decoys that were made."""
-    return synthetic_notes(spark, d).agg(F.count(F.lit(1)).alias("notes"), F.sum(F.size("gold")).alias("spans"), F.count_if(F.size("gold") == 0).alias("decoys"))
+    """Rows, riders, notes, spans and decoys that were made."""
+    return synth.stats(synthetic_identities(spark, d), synthetic_notes(spark, d))
 
 
 def request_field_tiers(spark: SparkSession, d: str) -> DataFrame:
@@ -394,7 +413,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         uniqueness_ladder, equivalence_classes, custom_qi_risk, class_size_histogram, k_suppressed_rows, class_size_per_row, mds_aggregate, mds_cells_summary, dimension_aggregate,
-        zone_rollup_left, zone_rollup_inner, license_filter_count, trip_schema, sql_passthrough, profile_one_pass, health_gate, health_gate_license, health_score, null_cells_by_column, money_profile, validity_rule_counts,
+        zone_rollup_left, zone_rollup_inner, license_filter_count, trip_schema, sql_passthrough, profile_one_pass, health_gate, health_gate_license, health_score, health_score_clean, suppression_audits, zone_day_counts, null_cells_by_column, money_profile, validity_rule_counts,
         consistency_rule_counts, contract_failures, duplicate_rows, uncastable_values, pseudonymized_ids, salt_disjointness, value_hashes, salt_fingerprint, uuid5_trip_ids, hash_sample, content_hash, content_hash_changes,
         time_buckets, durations, drop_and_select, export_tlc, export_le, withheld_columns, policy_plans, classification_tiers, unclassified_columns, email_spans, email_counts, redacted_emails,
         note_spans, redact_audit, detection_scores, detection_targets, heldout_scores, dev_slice_labels, synthetic_identities, synthetic_notes, synth_stats, request_field_tiers, request_profiles, ledger_verify, ledger_tampered, ledger_events,

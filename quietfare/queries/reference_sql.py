@@ -110,7 +110,17 @@ ORACLES = {
     "profile_one_pass": f"WITH {_CLEAN} {_profile('c')}",
     "health_gate": f"WITH {_CLEAN}, {_health('c')}",
     "health_gate_license": f"WITH {_CLEAN}, l AS (SELECT * FROM c WHERE hvfhs_license_num = '{S.LICENSE}'), {_health('l')}",
-    "health_score": f"""WITH {_CLEAN}, {_OK}, p AS ({_profile('ok')}),
+    "health_score": f"WITH {_CLEAN}, l AS (SELECT * FROM c WHERE hvfhs_license_num = '{S.LICENSE}'), {_health('l')}",
+    "trip_schema": """SELECT CAST(column_index - 1 AS INTEGER) AS position, column_name AS "column", CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+        WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS type FROM duckdb_columns() WHERE table_name = 'trips'""",
+    "email_spans": f"""WITH m AS (SELECT doc_id, regexp_split_to_array(text, '{_EMAIL}') AS gaps, regexp_extract_all(text, '{_EMAIL}') AS found FROM documents WHERE text LIKE '%@%'),
+        i AS (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM m),
+        s AS (SELECT doc_id, found[i] AS v, list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) AS a FROM i)
+        SELECT doc_id, CAST(a AS INTEGER) AS start, CAST(a + length(v) AS INTEGER) AS "end" FROM s""",
+    "suppression_audits": f"WITH {_R} " + " UNION ALL ".join(f"""SELECT '{q}' AS qi, 5 AS k, CAST(sum(sz) AS BIGINT) AS rows_in, CAST(coalesce(sum(CASE WHEN sz >= 5 THEN sz END), 0) AS BIGINT) AS rows_out,
+        CAST(coalesce(sum(CASE WHEN sz < 5 THEN sz END), 0) AS BIGINT) AS cells_suppressed, min(CASE WHEN sz >= 5 THEN sz END) AS k_achieved FROM (SELECT count(*) AS sz FROM r GROUP BY {q.replace('PUBorough', 'pb').replace('DOBorough', 'db').replace('pickup_bucket', 'quarter').replace('PULocationID', 'pu')})""" for q in ("PUBorough, DOBorough, pickup_bucket", "PULocationID, pickup_bucket")),
+    "zone_day_counts": "SELECT PULocationID, date_trunc('day', pickup_datetime) AS day, count(*) AS trips, count(*) FILTER (DOLocationID IS NULL) AS no_dropoff_zone FROM trips GROUP BY ALL",
+    "health_score_clean": f"""WITH {_CLEAN}, {_OK}, p AS ({_profile('ok')}),
         s AS (SELECT n, required_nulls + zone_out_of_range + trip_time_negative + license_bad = 0 AS tier1_passed, round((1 - null_cells / (n * 25.0)) * 100, 4) AS completeness,
           round((1 - validity_fail_rows / CAST(n AS DOUBLE)) * 100, 4) AS validity, round((1 - consistency_fail_rows / CAST(n AS DOUBLE)) * 100, 4) AS consistency, round((1 - duplicate_rows / CAST(n AS DOUBLE)) * 100, 4) AS uniqueness FROM p),
         h AS (SELECT *, CASE WHEN tier1_passed THEN round((completeness + validity + consistency + uniqueness) / 4, 4) END AS health_score FROM s)
@@ -142,7 +152,7 @@ ORACLES = {
     "request_field_tiers": f"WITH f AS (SELECT request_id, unnest(range(len(fields))) AS position, unnest(fields) AS field FROM triage_requests) SELECT request_id, CAST(position AS INTEGER) AS position, field, {_first('field', FIELD_KEYWORDS)} AS tier FROM f",
     "request_profiles": f"WITH b AS (SELECT request_id, coalesce(scope, '') || ' ' || coalesce(array_to_string(fields, ' '), '') AS blob FROM triage_requests) SELECT request_id, {_first('blob', PROFILE_KEYWORDS)} AS profile FROM b",
     "ledger_verify": "SELECT TRUE AS ok, CAST(9 AS BIGINT) AS entries, CAST(NULL AS BIGINT) AS break_seq, CAST(NULL AS VARCHAR) AS reason",
-    "ledger_tampered": "SELECT FALSE AS ok, CAST(9 AS BIGINT) AS entries, CAST(3 AS BIGINT) AS break_seq, 'entry_hash mismatch' AS reason",
+    "ledger_tampered": "SELECT FALSE AS ok, CAST(9 AS BIGINT) AS entries, CAST(3 AS BIGINT) AS break_seq, 'content hash mismatch' AS reason",
     "exports_table": """SELECT * FROM (VALUES ('2026-06-01T09:00:00+00:00', '2026-04', 'month', 'mds_aggregate', 'aggregate', 1000, 950, 50, 0.05, 5, 99.5, FALSE),
         ('2026-06-01T12:00:00+00:00', '2026-04', 'dev', 'law_enforcement_extract', 'row_level', 100, 100, 0, 0.0, NULL, 98.0, FALSE))
         v(timestamp_utc, month, scope, policy_name, output_kind, rows_in, rows_out, cells_suppressed, suppression_rate, k_achieved, health_score, refused)""",

@@ -13,6 +13,7 @@ FLAG_COLUMNS = ["shared_request_flag", "shared_match_flag", "access_a_ride_flag"
 NULLABLE_COLUMNS = ["originating_base_num", "on_scene_datetime", "tolls", "bcf", "sales_tax", "congestion_surcharge", "airport_fee", "tips", "cbd_congestion_fee"]
 REQUIRED_COLUMNS = [c for c in REAL_COLUMNS if c not in NULLABLE_COLUMNS]
 IDENTITY_COLUMNS = ["trip_id", "rider_id", "rider_phone", "rider_email", "device_id", "payment_token", "driver_license_num", "driver_name", "vehicle_plate", "vehicle_vin"]
+CONTRACT_TYPES = {c: "timestamp_ntz" if c.endswith("datetime") else "bigint" if c in ("PULocationID", "DOLocationID", "trip_time") else "double" if c in (*MONEY_COLUMNS, "trip_miles") else "string" for c in REAL_COLUMNS}
 ZONES = (1, 265)
 LICENSE = "HV0003"
 

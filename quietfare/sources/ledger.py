@@ -9,10 +9,14 @@ import uuid
 from datetime import UTC, datetime
 from pathlib import Path
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from quietfare.operators.skew import rank_in_key
+
+# The first entry's predecessor; entries' keys (seq, timestamp_utc, run_id, command, operator,
+# prev_entry_hash, entry_hash) and their canonical form (sorted keys, no blanks) decide the hashes.
 GENESIS = "0" * 64
 
 
@@ -33,16 +37,28 @@ def make_entry(last: dict | None, record: dict, command: str, operator: str, run
     return entry | {"entry_hash": entry_hash(entry)}
 
 
+def _last_line(path: Path, step: int = 4096) -> str | None:
+    """The last line that isn't blank, read from the file's end."""
+    with path.open("rb") as ledger:
+        at, tail = ledger.seek(0, 2), b""
+        while at > 0:
+            size = min(step, at)
+            at -= size
+            ledger.seek(at)
+            tail = ledger.read(size) + tail
+            lines = tail.rstrip().splitlines()
+            if len(lines) > 1 or (lines and at == 0):
+                return lines[-1].decode()
+    return None
+
+
 def append(path: str | Path, record: dict, command: str, operator: str, run_id: str | None = None, at: str | None = None) -> dict:
     """Appends one entry under a file lock; only the last line is read."""
     target = Path(path)
     target.parent.mkdir(parents=True, exist_ok=True)
     with target.open("a+", encoding="utf-8") as ledger:
         fcntl.flock(ledger, fcntl.LOCK_EX)
-        ledger.seek(0)
-        last = None
-        for line in ledger:
-            last = line if line.strip() else last
+        last = _last_line(target)
         entry = make_entry(json.loads(last) if last else None, record, command, operator, run_id, at)
         ledger.write(canonical(entry) + "\n")
     return entry
@@ -62,12 +78,14 @@ def checked(lines: DataFrame) -> DataFrame:
         "pos", F.get_json_object("line", "$.seq").cast("bigint").alias("seq"), F.get_json_object("line", "$.prev_entry_hash").alias("prev"),
         F.get_json_object("line", "$.entry_hash").alias("hash"), recomputed("line").alias("true_hash"),
     )
-    order = Window.orderBy("pos")  # one row per pipeline run, so the ledger is small
-    linked = fields.withColumn("expected", F.row_number().over(order) - 1).withColumn("before", F.lag("hash", 1, GENESIS).over(order))
+    # places and predecessors without a global window: ranks by one range shuffle, then each entry meets the one before it
+    ranked = rank_in_key(fields.withColumn("_all", F.lit(0)), ["_all"], ["pos"], fields.columns, "_rank").withColumn("expected", F.col("_rank") - 1)
+    before = ranked.select((F.col("_rank") + 1).alias("_next"), F.col("hash").alias("before"))
+    linked = ranked.join(before, F.col("_rank") == F.col("_next"), "left").withColumn("before", F.when(F.col("expected") == 0, GENESIS).otherwise(F.col("before")))
     reason = (
-        F.when(~F.col("seq").eqNullSafe(F.col("expected")), "seq mismatch")
-        .when(~F.col("prev").eqNullSafe(F.col("before")), "prev_entry_hash linkage broken")
-        .when(~F.col("hash").eqNullSafe(F.col("true_hash")), "entry_hash mismatch")
+        F.when(~F.col("seq").eqNullSafe(F.col("expected")), "sequence number is not the place")
+        .when(~F.col("prev").eqNullSafe(F.col("before")), "previous hash is not the predecessor's")
+        .when(~F.col("hash").eqNullSafe(F.col("true_hash")), "content hash mismatch")
     )
     return linked.select(F.col("expected").cast("bigint").alias("position"), "seq", "hash", reason.alias("reason"))
 

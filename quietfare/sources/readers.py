@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+from urllib.parse import unquote
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,8 +34,18 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """``file``, ``bytes``, ``sha256`` of whole files."""
-    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    """``file``, ``bytes``, ``sha256`` of whole files of any size: executors read them in chunks from a file system that all of them mount. Empty files aren't listed."""
+    listed = spark.read.format("binaryFile").load(path).select(F.regexp_replace("path", "^file:/+", "/").alias("file"), F.col("length").alias("bytes"))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = []
+            for name in batch.column(0).to_pylist():
+                with open(unquote(name), "rb") as source:
+                    digests.append(hashlib.file_digest(source, "sha256").hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.string())], names=["file", "bytes", "sha256"])
+
+    return listed.mapInArrow(hashed, "file string, bytes bigint, sha256 string")
 
 
 def schema_of(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import json
 import os
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,10 +15,25 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) ->
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """CSV with a header, in the order of the named columns; meant for released aggregates, which are small."""
-    out = df.orderBy(*[F.col(c) for c in order]) if order else df
-    out.coalesce(1).write.mode("overwrite").csv(path, header=True)
+def write_csv(df: DataFrame, path: str, order: list[str | Column] | None = None) -> None:
+    """CSV with a header in one file, in the order of the named columns (or descending expressions); meant for released aggregates, which are small.
+
+    What is before it keeps its own parallelism: only the finished rows go to one task.
+    """
+    out = df.repartition(1)
+    (out.sortWithinPartitions(*order) if order else out).write.mode("overwrite").csv(path, header=True)
+
+
+def write_tables(tables: dict[str, DataFrame], folder: str | Path) -> dict[str, tuple[str, int]]:
+    """Tidy tables as ``<folder>/<name>.csv`` each, and a manifest of name -> (path, rows), which is also written there."""
+    manifest = {}
+    for name, df in tables.items():
+        path = str(Path(folder) / f"{name}.csv")
+        flat = df.select(*[F.to_json(c).alias(c) if t.startswith(("array", "struct", "map")) else F.col(c) for c, t in df.dtypes])
+        write_csv(flat, path)
+        manifest[name] = (path, df.sparkSession.read.csv(path, header=True, schema=flat.schema).count())
+    write_json({k: {"path": p, "rows": n} for k, (p, n) in manifest.items()}, Path(folder) / "manifest.json")
+    return manifest
 
 
 def write_json(record: dict, path: str | Path) -> None:

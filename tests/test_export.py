@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 
 from quietfare.functions import hashing
 from quietfare.functions.temporal import bucket, seconds_between
+from quietfare.operators import kanon
 from quietfare.operators.zones import with_boroughs
 from quietfare.plans import export as E
+from quietfare.plans import reports
 from quietfare.plans.policy import POLICIES, Policy, compile_policy, load_policy
+from quietfare.sources import salts
 from tests.trips import clean, frame
 
 SALT = bytes(range(16))
@@ -46,12 +49,67 @@ def test_tlc_export(spark):
     assert out.columns == df.columns and out.count() == 300
 
 
-def test_le_export_and_audit(spark):
+def test_le_export(spark):
     df, (policy, digest) = exported(spark, 50), load_policy(POLICIES / "law_enforcement_extract.yaml")
     out = E.export(df, policy, SALT)
     assert out.columns == ["trip_id", "PULocationID", "DOLocationID", "pickup_datetime", "dropoff_datetime", "base_passenger_fare"]
-    good, bad = E.audit(df, policy, digest, out, 99.0), E.audit(df, policy, digest, out, None)
-    assert good["rows_out"] == 50 and "rider_phone" in good["columns_withheld"] and bad["refused"] and bad["rows_out"] is None
+
+
+RECORD = {
+    "policy_name", "policy_version", "policy_hash", "output_kind", "source", "input_hash", "requires_approval", "approval_id", "gate", "salt_fingerprint", "columns_shared", "columns_withheld",
+    "generated_utc", "output_path", "output_hash", "refused", "reason", "transforms", "rows_in", "rows_out", "cells_suppressed", "k_achieved",
+}
+
+
+def test_release_writes_and_audits(spark, tmp_path):
+    df, (policy, digest) = exported(spark, 50), load_policy(POLICIES / "tlc_trip_submission.yaml")
+    r = E.release(df, policy, digest, "dev", tmp_path / "out", 99.0, salts_folder=tmp_path / "salts", input_hash="x", approval_id="a")
+    assert set(r) == RECORD and r["rows_in"] == r["rows_out"] == 50 and not r["refused"]
+    assert [t["op"] for t in r["transforms"]] == ["redact_note", "pseudonymize", "generalize_time"]
+    with_note = df.where("support_note is not null").count()
+    assert r["transforms"][0] == {"op": "redact_note", "rows_redacted": with_note, "spans_masked": with_note} and r["transforms"][2]["minutes"] == 15
+    salt = salts.read_salt(tmp_path / "salts" / f"{r['salt_fingerprint']}.salt")
+    assert len(salt) == 16 and spark.read.parquet(r["output_path"]).first().rider_id == hashlib.sha256(salt + b"rider_id value").hexdigest()[:16]
+    assert r["output_path"].endswith("tlc_trip_submission_dev.parquet") and r["output_hash"] == E.output_hash(r["output_path"])
+    assert reports.methodology_report(r) == reports.methodology_report(dict(r)) and "redact_note; rows_redacted" in reports.methodology_report(r)
+
+
+def test_a_shut_gate_writes_nothing(spark, tmp_path):
+    df, (policy, digest) = exported(spark, 5), load_policy(POLICIES / "law_enforcement_extract.yaml")
+    for score, approval, word in ((None, "a", "score"), (89.0, "a", "score"), (99.0, None, "approval")):
+        r = E.release(df, policy, digest, "dev", tmp_path / "out", score, salts_folder=tmp_path / "salts", approval_id=approval)
+        assert r["refused"] and word in r["reason"] and r["output_path"] is None and r["columns_shared"] == [] and "Refused" in reports.methodology_report(r)
+    assert not (tmp_path / "out").exists() and not (tmp_path / "salts").exists()
+
+
+def test_release_of_an_aggregate(spark, tmp_path):
+    df, (policy, digest) = exported(spark, 2000), load_policy(POLICIES / "mds_aggregate.yaml")
+    r = E.release(df, policy, digest, "2026-04", tmp_path, 95.0, zones(spark))
+    rows = [list(map(int, [x.trip_count]))[0] for x in spark.read.csv(r["output_path"], header=True).collect()]
+    assert rows == sorted(rows, reverse=True) and r["salt_fingerprint"] == "n/a" and r["cells_out"] == len(rows) and r["rows_out"] == sum(rows)
+    assert r["cells_in"] == r["cells_out"] + r["cells_suppressed"] and r["k_achieved"] == min(rows) >= 5
+
+
+def test_steps_of_a_new_policy_are_audited(spark, tmp_path):
+    policy = Policy("toy", 1, "", "row_level", row_level={"rollup_zone": True, "drop_columns": ["tips", "nothing"], "kanon": {"qi": ["PUBorough", "DOBorough"], "k": 40}, "select_columns": ["rider_id", "absent"]})
+    r = E.release(exported(spark), policy, "h", "dev", tmp_path, 95.0, zones(spark))
+    steps = {t["op"]: t for t in r["transforms"]}
+    assert steps["drop_columns"] == {"op": "drop_columns", "dropped": ["tips"], "missing": ["nothing"]} and steps["select"]["columns"] == ["rider_id"]
+    assert r["cells_suppressed"] == steps["kanon"]["rows_in"] - steps["kanon"]["rows_out"] == 300 - r["rows_out"] and r["k_achieved"] == steps["kanon"]["k_achieved"]
+
+
+def test_reports_and_tokens(spark):
+    text = reports.validation_report("x", {"n": 200}, {"refused": False, "completeness": 99.0, "validity": 98.0, "consistency": 97.0, "uniqueness": 96.0, "health_score": 97.5}, {"a": 0, "b": 3})
+    assert "| b | 3 | 1.50% |" in text and "| a |" not in text and reports.percent(1, 0) == "-"
+    rung = {"qi": "zone", "uniqueness": 0.5, "rows_in": 1000, "rows_out": 0, "suppressed": 1.0, "k_achieved": None}
+    assert "| zone | 50.00% | 1,000 | 0 | 100.00% | - |" in reports.risk_report("x", 5, [rung])
+    assert kanon.qi_columns(["PUBorough", "pickup_bucket"]) == ["pb", "quarter"]
+    for wrong in ([], ["PUBorough", "nowhere"]):
+        with pytest.raises(ValueError, match="choose from"):
+            kanon.qi_columns(wrong)
+    df = spark.createDataFrame([("a",)] * 3 + [(None,)] * 5, "q string")
+    assert kanon.suppression_audit(df, ["q"], 4).first().asDict() == {"qi": ["q"], "k": 4, "rows_in": 8, "rows_out": 5, "cells_suppressed": 3, "k_achieved": 5}
+    assert kanon.suppression_audit(df.limit(0), ["q"], 4).first().k_achieved is None
 
 
 def test_salt_and_detector_are_required(spark):

@@ -102,3 +102,38 @@ def test_spread_reaches_the_cores_once(spark, tmp_path):
     assert one.rdd.getNumPartitions() == 1 and spread(one).rdd.getNumPartitions() == 4
     many = spark.range(10).repartition(9)
     assert spread(many) is many and spread(one).count() == 10
+
+
+def test_tables_and_manifest(spark, tmp_path):
+    tables = {"a": spark.createDataFrame([(1, "x"), (2, None)], "k int, v string"), "none": spark.createDataFrame([], "k int, l array<int>")}
+    got = sinks.write_tables(tables, tmp_path)
+    assert {k: n for k, (_, n) in got.items()} == {"a": 2, "none": 0} and json.loads((tmp_path / "manifest.json").read_text())["a"]["rows"] == 2
+    assert {tuple(r) for r in spark.read.csv(got["a"][0], header=True).collect()} == {("1", "x"), ("2", None)}
+
+
+def test_file_hashes_in_chunks(spark, tmp_path):
+    (tmp_path / "a file.bin").write_bytes(b"x" * 3_000_000)
+    got = {r.file.rsplit("/", 1)[-1].replace("%20", " "): (r.bytes, r.sha256) for r in readers.file_hashes(spark, str(tmp_path)).collect()}
+    assert got == {"a file.bin": (3_000_000, hashlib.sha256(b"x" * 3_000_000).hexdigest())}
+
+
+def test_synthetic_formats(spark):
+    import re
+    import uuid
+
+    df = spark.range(400).withColumnRenamed("id", "k")
+    rows = synth.identities(df, "k").collect()
+    assert all(uuid.UUID(r[c]).version == 4 for r in rows for c in ("trip_id", "rider_id", "device_id")) and len({r.trip_id for r in rows}) == 400
+    assert all(re.fullmatch(r"[0-9a-f]{16}", r.payment_token) and re.fullmatch(r"\d{3}-\d{3}-\d{4}", r.rider_phone) for r in rows)
+    assert len({r.rider_id for r in rows}) <= 80 and len({r.vehicle_vin for r in rows}) <= 50
+    many = synth.notes(spark.range(20000).withColumnRenamed("id", "k"), "k").collect()
+    kinds = {s.entity_type for r in many for s in r.gold}
+    assert kinds == {"PERSON", "PHONE_NUMBER", "EMAIL_ADDRESS", "LOCATION", "CREDIT_CARD", "TLC_LICENSE", "NY_PLATE", "VEHICLE_VIN"} and max(len(r.gold) for r in many) == 3
+    assert len({re.sub(r"[^ ]*[0-9A-Z@*x][^ ]*", "_", r.support_note) for r in many}) >= 13
+    for r in many:
+        for s in r.gold:
+            assert r.support_note[s.start : s.end].strip() == r.support_note[s.start : s.end] != ""
+    held = synth.heldout_notes(spark.range(2000).withColumnRenamed("id", "k"), "k").collect()
+    assert len({tuple(s.entity_type for s in r.gold) for r in held}) >= 8
+    stats = synth.stats(synth.identities(df, "k"), synth.notes(df, "k")).first()
+    assert stats.rows == 400 and 0 < stats.riders <= 80

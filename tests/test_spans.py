@@ -69,3 +69,16 @@ def test_align(spark):
     labels = spark.createDataFrame([(1, "P", 5, 6), (1, "P", 1, 2)], "id int, entity_type string, start int, end int")
     got = {r.id: [s.start for s in r.gold] for r in EV.align(notes, labels, "id").collect()}
     assert got == {1: [1, 5], 2: []}
+
+
+def test_whole_cards_pass_the_checksum(spark):
+    texts = ["card 4111 1111 1111 1111 declined", "card 4111 1111 1111 1112 declined", "id 411111111111111", None, "4111-1111-1111-1111, 5500005555555559."]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: [(s.entity_type, r.t[s.start : s.end]) for s in r.f if s.entity_type == "CREDIT_CARD"] for r in df.select("i", "t", P.scan(F.col("t")).alias("f")).collect()}
+    assert got == {0: [("CREDIT_CARD", "4111 1111 1111 1111")], 1: [], 2: [], 3: [], 4: [("CREDIT_CARD", "4111-1111-1111-1111"), ("CREDIT_CARD", "5500005555555559")]}
+
+
+def test_redact_builds_the_text_once(spark):
+    text = "mail a@b.org and c@d.org, " * 300
+    out = spark.createDataFrame([(text,), ("",), (None,), ("nothing",)], "t string").select(P.redact(F.col("t"), P.scan(F.col("t"))).alias("r")).collect()
+    assert [r.r for r in out] == ["mail [REDACTED] and [REDACTED], " * 300, "", None, "nothing"]
