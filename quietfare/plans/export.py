@@ -37,7 +37,8 @@ def apply_step(df: DataFrame, step: Step, salt: bytes, zones: DataFrame | None,
     if step.op == "redact_note":
         if detector is None:
             raise ValueError("the policy redacts notes, so it needs a detector")
-        return df.withColumn("support_note", redact(F.col("support_note"), detector(F.col("support_note"))))
+        found = df.withColumn("_spans", detector(F.col("support_note")))  # a column of its own: a detector may run outside the JVM
+        return found.withColumn("support_note", redact(F.col("support_note"), F.col("_spans"))).drop("_spans")
     if step.op == "pseudonymize":
         return df.withColumns({c: pseudonym(F.col(c), salt) for c in args["columns"] if c in df.columns})
     if step.op == "generalize_time":
