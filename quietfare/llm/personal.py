@@ -23,10 +23,11 @@ from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quietfare.llm.flatmap import text_rows
+from quietfare.schemas import SPANS
 
 TYPES = ("EMAIL_ADDRESS", "VEHICLE_VIN", "CREDIT_CARD", "ID_NUMBER", "TLC_LICENSE", "PHONE_NUMBER", "NY_PLATE", "LOCATION", "PERSON")
 
@@ -751,3 +752,14 @@ def redact_column(df: DataFrame, text: str, name: str = "redacted") -> DataFrame
             yield pd.Series([redact(t, find_spans(t)) for t in texts], dtype=object)
 
     return df.withColumn(name, F.when(F.length(text) > 0, clean(F.col(text))).otherwise(F.col(text)))
+
+
+def note_detector(text: Column) -> Column:
+    """The spans of a text column as ``SPANS``, each with score 1: a detector for :func:`quietfare.plans.export.export`, which finds names and whole cards too."""
+
+    @F.pandas_udf(SPANS)
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([[{"entity_type": k, "start": a, "end": b, "score": 1.0} for a, b, k in find_spans(t)] for t in texts], dtype=object)
+
+    return found(text)
