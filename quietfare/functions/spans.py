@@ -131,3 +131,9 @@ def greedy_matches(gold: Column, found: Column) -> Column:
         return F.when(F.size(free) > 0, F.concat(out, F.array(F.struct(g["g"].alias("g"), F.get(free, F.lit(0))["d"].alias("d"))))).otherwise(out)
 
     return F.aggregate(golds, pairs, take)
+
+
+def rescan(text: Column, recognizers: list[Recognizer] = RECOGNIZERS) -> Column:
+    """``struct<text, masked>``: a text to be given out, with every span that is found in it masked, and how many there were; null for null."""
+    found = scan(text, recognizers)
+    return F.when(text.isNotNull(), F.struct(redact(text, found).alias("text"), F.size(found).alias("masked")))

@@ -70,3 +70,24 @@ def requests(e: DataFrame) -> DataFrame:
 def trend(table: DataFrame, key: str, value: str, order: str) -> DataFrame:
     """The last value per key."""
     return table.groupBy(key).agg(F.max_by(value, order).alias(value))
+
+
+#: Rungs of the uniqueness figure from the finest quasi-identifier to the coarsest.
+LADDER_ORDER = ("zone x minute", "zone x 15 min", "zone x 60 min", "borough x 15 min")
+
+
+def ladder_figure(ladder: DataFrame, order: tuple[str, ...] = LADDER_ORDER) -> DataFrame:
+    """``position``, ``qi``, ``percent``: the known rungs in the figure's order; others are left out of the figure."""
+    position = F.array_position(F.array(*[F.lit(x) for x in order]), F.col("qi"))
+    return ladder.where(position > 0).select(position.cast("int").alias("position"), "qi", F.round(F.col("uniqueness") * 100, 2).alias("percent"))
+
+
+def suppression_trend(classes: DataFrame, by: str, k: int = 5) -> DataFrame:
+    """``by``, ``rows``, ``percent``: the share of rows in classes below ``k`` per ``by``, from class sizes ``sz``."""
+    small = F.coalesce(F.sum(F.when(F.col("sz") < k, F.col("sz"))), F.lit(0))
+    return classes.groupBy(by).agg(F.sum("sz").alias("rows"), F.round(small / F.sum("sz") * 100, 2).alias("percent"))
+
+
+def detection(scores: DataFrame) -> DataFrame:
+    """``entity``, ``precision``, ``recall``, ``f1``: the tidy detection table, overall included."""
+    return scores.select("entity", "precision", "recall", "f1")

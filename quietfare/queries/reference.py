@@ -47,6 +47,24 @@ def uniqueness_ladder(spark: SparkSession, d: str) -> DataFrame:
     return kanon.ladder(_risk_input(spark, d), LADDER)
 
 
+def ladder_figure(spark: SparkSession, d: str) -> DataFrame:
+    """Data of the uniqueness figure, in the order of its labels."""
+    return dashboard.ladder_figure(uniqueness_ladder(spark, d))
+
+
+def suppression_trend(spark: SparkSession, d: str) -> DataFrame:
+    """Data of the suppression figure: share of trips that k-suppression of boroughs and quarters takes, per month of delivery."""
+    months = table(spark, d, "trip_files").select(F.col("file_id").alias("load_id"), "month")
+    trips = _trips(spark, d).select("load_id", "PULocationID", "DOLocationID", bucket(F.col("pickup_datetime"), 15).alias("quarter"))
+    sized = kanon.classes(with_boroughs(trips, table(spark, d, "taxi_zones")).join(months, "load_id"), ["month", "PUBorough", "DOBorough", "quarter"])
+    return dashboard.suppression_trend(sized, "month")
+
+
+def detection_table(spark: SparkSession, d: str) -> DataFrame:
+    """Tidy precision and recall per type."""
+    return dashboard.detection(detection_scores(spark, d))
+
+
 def equivalence_classes(spark: SparkSession, d: str) -> DataFrame:
     return kanon.classes(_risk_input(spark, d), ["pb", "db", "hour"])
 
@@ -105,6 +123,16 @@ def sql_passthrough(spark: SparkSession, d: str) -> DataFrame:
     return readers.query(spark, "SELECT hvfhs_license_num, count(*) AS n FROM {t} GROUP BY 1", t=_trips(spark, d))
 
 
+def sql_parameters(spark: SparkSession, d: str) -> DataFrame:
+    """A statement with a bound table and bound values."""
+    return readers.query(spark, "SELECT hvfhs_license_num, count(*) AS n FROM {t} WHERE trip_time >= :least AND hvfhs_license_num <> :other GROUP BY 1", {"least": 600, "other": "HV0004"}, t=_trips(spark, d))
+
+
+def notes_by_trip(spark: SparkSession, d: str) -> DataFrame:
+    """The notes in the order of their trips."""
+    return _trips(spark, d).where("support_note is not null").select("trip_id", "record_id", "support_note").orderBy("trip_id", "record_id")
+
+
 def profile_one_pass(spark: SparkSession, d: str) -> DataFrame:
     return validate.profile(_trips(spark, d))
 
@@ -412,8 +440,8 @@ def health_trend(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        uniqueness_ladder, equivalence_classes, custom_qi_risk, class_size_histogram, k_suppressed_rows, class_size_per_row, mds_aggregate, mds_cells_summary, dimension_aggregate,
-        zone_rollup_left, zone_rollup_inner, license_filter_count, trip_schema, sql_passthrough, profile_one_pass, health_gate, health_gate_license, health_score, health_score_clean, suppression_audits, zone_day_counts, null_cells_by_column, money_profile, validity_rule_counts,
+        uniqueness_ladder, ladder_figure, suppression_trend, detection_table, equivalence_classes, custom_qi_risk, class_size_histogram, k_suppressed_rows, class_size_per_row, mds_aggregate, mds_cells_summary, dimension_aggregate,
+        zone_rollup_left, zone_rollup_inner, license_filter_count, trip_schema, sql_passthrough, sql_parameters, notes_by_trip, profile_one_pass, health_gate, health_gate_license, health_score, health_score_clean, suppression_audits, zone_day_counts, null_cells_by_column, money_profile, validity_rule_counts,
         consistency_rule_counts, contract_failures, duplicate_rows, uncastable_values, pseudonymized_ids, salt_disjointness, value_hashes, salt_fingerprint, uuid5_trip_ids, hash_sample, content_hash, content_hash_changes,
         time_buckets, durations, drop_and_select, export_tlc, export_le, withheld_columns, policy_plans, classification_tiers, unclassified_columns, email_spans, email_counts, redacted_emails,
         note_spans, redact_audit, detection_scores, detection_targets, heldout_scores, dev_slice_labels, synthetic_identities, synthetic_notes, synth_stats, request_field_tiers, request_profiles, ledger_verify, ledger_tampered, ledger_events,

@@ -91,7 +91,13 @@ _ODD, _EVEN = (f"{_CONTENT} UNION ALL {_CONTENT} WHERE record_id % 2 = {i} UNION
 _FIRST = "record_id = (SELECT min(record_id) FROM trips)"
 _OTHER_TIME = f"SELECT {_REAL.replace('trip_time', f'CASE WHEN {_FIRST} THEN coalesce(trip_time, 0) + 1 ELSE trip_time END AS trip_time')} FROM trips"
 
+_LADDER = " UNION ALL ".join(_figures(k, v) for k, v in {"zone x minute": "pu, do_id, minute", "zone x 15 min": "pu, do_id, quarter", "zone x 60 min": "pu, do_id, hour", "borough x 15 min": "pb, db, quarter"}.items())
+
 ORACLES = {
+    "ladder_figure": f"""WITH {_R}, l AS ({_LADDER}) SELECT CAST(list_position(['zone x minute', 'zone x 15 min', 'zone x 60 min', 'borough x 15 min'], qi) AS INTEGER) AS position, qi, round(uniqueness * 100, 2) AS percent FROM l""",
+    "suppression_trend": f"""WITH c AS (SELECT f.month, p.Borough AS pb, q.Borough AS db, {floor_to('t.pickup_datetime', 15)} AS quarter, count(*) AS sz FROM trips t JOIN trip_files f ON t.load_id = f.file_id
+        LEFT JOIN taxi_zones p ON t.PULocationID = p.LocationID LEFT JOIN taxi_zones q ON t.DOLocationID = q.LocationID GROUP BY ALL)
+        SELECT month, CAST(sum(sz) AS BIGINT) AS rows, round(coalesce(sum(CASE WHEN sz < 5 THEN sz END), 0) / CAST(sum(sz) AS DOUBLE) * 100, 2) AS percent FROM c GROUP BY month""",
     "content_hash_changes": " UNION ALL ".join([_same_content("order", _CONTENT, _CONTENT), _same_content("value", _CONTENT, _OTHER_TIME), _same_content("repeated rows", _ODD, _EVEN), _same_content("one row more", _CONTENT, f"{_CONTENT} UNION ALL {_CONTENT} WHERE {_FIRST}")]),
     "uniqueness_ladder": f"WITH {_R} " + " UNION ALL ".join(_figures(k, v) for k, v in {"zone x minute": "pu, do_id, minute", "zone x 15 min": "pu, do_id, quarter", "zone x 60 min": "pu, do_id, hour", "borough x 15 min": "pb, db, quarter"}.items()),
     "equivalence_classes": f"WITH {_R} SELECT pb, db, hour, count(*) AS sz FROM r GROUP BY ALL",
@@ -106,6 +112,8 @@ ORACLES = {
     "zone_rollup_left": 'SELECT p.Borough AS "PUBorough", q.Borough AS "DOBorough", count(*) AS n FROM trips t LEFT JOIN taxi_zones p ON t.PULocationID = p.LocationID LEFT JOIN taxi_zones q ON t.DOLocationID = q.LocationID GROUP BY 1, 2',
     "zone_rollup_inner": 'SELECT p.Borough AS "PUBorough", q.Borough AS "DOBorough", count(*) AS n FROM trips t JOIN taxi_zones p ON t.PULocationID = p.LocationID JOIN taxi_zones q ON t.DOLocationID = q.LocationID GROUP BY 1, 2',
     "license_filter_count": f"SELECT count(*) AS n FROM trips WHERE hvfhs_license_num = '{S.LICENSE}'",
+    "sql_parameters": "SELECT hvfhs_license_num, count(*) AS n FROM trips WHERE trip_time >= 600 AND hvfhs_license_num <> 'HV0004' GROUP BY 1",
+    "notes_by_trip": "SELECT trip_id, record_id, support_note FROM trips WHERE support_note IS NOT NULL",
     "sql_passthrough": "SELECT hvfhs_license_num, count(*) AS n FROM trips GROUP BY 1",
     "profile_one_pass": f"WITH {_CLEAN} {_profile('c')}",
     "health_gate": f"WITH {_CLEAN}, {_health('c')}",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import urllib.request
 from datetime import UTC, datetime
 from pathlib import Path
@@ -39,3 +40,15 @@ def fetch(url: str, target: Path, refresh: bool = False) -> dict:
     record = {"source_url": url, "download_date_utc": datetime.now(UTC).isoformat(), "sha256": sha256, "bytes": size}
     write_json(record, manifest)
     return record
+
+
+#: Fixed value: how a month's file is named.
+MONTH_FILE = "fhvhv_tripdata_{month}.parquet"
+
+
+def fetch_month(month: str, base_url: str, folder: str | Path, refresh: bool = False) -> dict:
+    """The manifest of a month's file (``YYYY-MM``) under ``folder``, with the month itself; a month of another form is an error."""
+    if not re.fullmatch(r"\d{4}-(0[1-9]|1[0-2])", month):
+        raise ValueError(f"{month} is no month of the form YYYY-MM")
+    name = MONTH_FILE.format(month=month)
+    return {"month": month, **fetch(f"{base_url.rstrip('/')}/{name}", Path(folder) / name, refresh)}

@@ -59,6 +59,6 @@ def row_count(df: DataFrame, where: str | None = None) -> DataFrame:
     return (df.where(where) if where else df).agg(F.count(F.lit(1)).alias("n"))
 
 
-def query(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
-    """SQL over the given tables, which are bound as parameters of the statement."""
-    return spark.sql(sql, **tables)
+def query(spark: SparkSession, sql: str, args: dict | None = None, **tables: DataFrame) -> DataFrame:
+    """SQL over the given tables and values: ``{t}`` stands for a table, ``:name`` for a value, and neither is pasted into the text."""
+    return spark.sql(sql, args=args, **tables)

@@ -137,3 +137,21 @@ def test_synthetic_formats(spark):
     assert len({tuple(s.entity_type for s in r.gold) for r in held}) >= 8
     stats = synth.stats(synth.identities(df, "k"), synth.notes(df, "k")).first()
     assert stats.rows == 400 and 0 < stats.riders <= 80
+
+
+def test_fetch_month(tmp_path):
+    (tmp_path / "web").mkdir()
+    (tmp_path / "web" / "fhvhv_tripdata_2026-04.parquet").write_bytes(b"abc")
+    got = fetch.fetch_month("2026-04", (tmp_path / "web").as_uri() + "/", tmp_path / "raw")
+    assert got["month"] == "2026-04" and got["bytes"] == 3 and (tmp_path / "raw" / "fhvhv_tripdata_2026-04.parquet").exists()
+    for wrong in ("2026-13", "April", "../x"):
+        try:
+            fetch.fetch_month(wrong, "file:///nowhere", tmp_path)
+        except ValueError:
+            continue
+        raise AssertionError(wrong)
+
+
+def test_query_binds_values(spark):
+    df = spark.range(10)
+    assert readers.query(spark, "SELECT count(*) AS n FROM {t} WHERE id >= :least", {"least": 7}, t=df).first().n == 3

@@ -82,3 +82,9 @@ def test_redact_builds_the_text_once(spark):
     text = "mail a@b.org and c@d.org, " * 300
     out = spark.createDataFrame([(text,), ("",), (None,), ("nothing",)], "t string").select(P.redact(F.col("t"), P.scan(F.col("t"))).alias("r")).collect()
     assert [r.r for r in out] == ["mail [REDACTED] and [REDACTED], " * 300, "", None, "nothing"]
+
+
+def test_rescan_counts_what_it_masks(spark):
+    df = spark.createDataFrame([("mail a@b.org or 212-555-0123",), ("nothing",), ("",), (None,)], "t string")
+    got = [r.x and tuple(r.x) for r in df.select(P.rescan(F.col("t")).alias("x")).collect()]
+    assert got == [("mail [REDACTED] or [REDACTED]", 2), ("nothing", 0), ("", 0), None]
