@@ -267,6 +267,11 @@ def export_tlc(spark: SparkSession, d: str) -> DataFrame:
     return E.export(_trips(spark, d), policy, SALT)
 
 
+def export_tlc_fields(spark: SparkSession, d: str) -> DataFrame:
+    """That release without its notes, whose masking SQL can't repeat."""
+    return export_tlc(spark, d).drop("support_note")
+
+
 def export_le(spark: SparkSession, d: str) -> DataFrame:
     policy, _ = load_policy(POLICIES / "law_enforcement_extract.yaml")
     return E.export(_trips(spark, d), policy, SALT)
@@ -351,6 +356,17 @@ def synthetic_identities(spark: SparkSession, d: str) -> DataFrame:
     return synth.identities(_trips(spark, d).select("record_id"), "record_id")
 
 
+def synthetic_checks(spark: SparkSession, d: str) -> DataFrame:
+    """What synthetic identities keep: a trip id per row, well-formed values, pools of a fifth and an eighth of the rows at most."""
+    uuid = r"^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
+    forms = {"trip_id": uuid, "rider_id": uuid, "device_id": uuid, "rider_phone": r"^\d{3}-\d{3}-\d{4}$", "payment_token": "^[0-9a-f]{16}$", "vehicle_plate": r"^[A-Z]{3}-\d{4}$", "vehicle_vin": "^[A-HJ-NPR-Z0-9]{17}$", "driver_license_num": r"^\d{6,7}$"}
+    rows = F.count(F.lit(1))
+    return synthetic_identities(spark, d).agg(
+        rows.alias("rows"), F.count_distinct("trip_id").alias("trip_ids"), *[F.count_if(~F.col(c).rlike(form) | F.col(c).isNull()).alias(f"bad_{c}") for c, form in forms.items()],
+        (F.count_distinct("rider_id") * 5 <= rows).alias("riders_fit"), (F.count_distinct("vehicle_vin") * 8 <= rows).alias("drivers_fit"),
+    )
+
+
 def synthetic_notes(spark: SparkSession, d: str) -> DataFrame:
     return synth.notes(_trips(spark, d), "record_id")
 
@@ -443,8 +459,8 @@ QUERIES = {
         uniqueness_ladder, ladder_figure, suppression_trend, detection_table, equivalence_classes, custom_qi_risk, class_size_histogram, k_suppressed_rows, class_size_per_row, mds_aggregate, mds_cells_summary, dimension_aggregate,
         zone_rollup_left, zone_rollup_inner, license_filter_count, trip_schema, sql_passthrough, sql_parameters, notes_by_trip, profile_one_pass, health_gate, health_gate_license, health_score, health_score_clean, suppression_audits, zone_day_counts, null_cells_by_column, money_profile, validity_rule_counts,
         consistency_rule_counts, contract_failures, duplicate_rows, uncastable_values, pseudonymized_ids, salt_disjointness, value_hashes, salt_fingerprint, uuid5_trip_ids, hash_sample, content_hash, content_hash_changes,
-        time_buckets, durations, drop_and_select, export_tlc, export_le, withheld_columns, policy_plans, classification_tiers, unclassified_columns, email_spans, email_counts, redacted_emails,
-        note_spans, redact_audit, detection_scores, detection_targets, heldout_scores, dev_slice_labels, synthetic_identities, synthetic_notes, synth_stats, request_field_tiers, request_profiles, ledger_verify, ledger_tampered, ledger_events,
+        time_buckets, durations, drop_and_select, export_tlc, export_tlc_fields, export_le, withheld_columns, policy_plans, classification_tiers, unclassified_columns, email_spans, email_counts, redacted_emails,
+        note_spans, redact_audit, detection_scores, detection_targets, heldout_scores, dev_slice_labels, synthetic_identities, synthetic_checks, synthetic_notes, synth_stats, request_field_tiers, request_profiles, ledger_verify, ledger_tampered, ledger_events,
         exports_table, validation_table, uniqueness_table, suppression_table, triage_table, requests_table, health_trend,
     )
 }

@@ -150,6 +150,8 @@ ORACLES = {
     "time_buckets": "SELECT record_id, " + ", ".join(f"{floor_to('pickup_datetime', m)} AS b{m}" for m in (1, 7, 15, 60, 1440)) + " FROM trips",
     "durations": f"SELECT record_id, {_DURATION} AS seconds FROM trips",
     "drop_and_select": "SELECT record_id, PULocationID, DOLocationID, trip_miles FROM trips",
+    "export_tlc_fields": "SELECT * EXCLUDE (support_note) REPLACE (" + ", ".join([*[f"{_pseudonym(c)} AS {c}" for c in ('trip_id', 'rider_id', 'rider_phone', 'rider_email', 'device_id', 'payment_token', 'driver_license_num', 'driver_name', 'vehicle_plate', 'vehicle_vin')], *[f"{floor_to(c, 15)} AS {c}" for c in ("pickup_datetime", "dropoff_datetime")]]) + ") FROM trips",
+    "synthetic_checks": "SELECT count(*) AS rows, count(*) AS trip_ids, " + ", ".join(f"CAST(0 AS BIGINT) AS bad_{c}" for c in ("trip_id", "rider_id", "device_id", "rider_phone", "payment_token", "vehicle_plate", "vehicle_vin", "driver_license_num")) + ", TRUE AS riders_fit, TRUE AS drivers_fit FROM trips",
     "export_le": f"SELECT {_pseudonym('trip_id')} AS trip_id, PULocationID, DOLocationID, {floor_to('pickup_datetime', 15)} AS pickup_datetime, {floor_to('dropoff_datetime', 15)} AS dropoff_datetime, base_passenger_fare FROM trips",
     "withheld_columns": "SELECT column_name AS \"column\" FROM (DESCRIBE trips) WHERE column_name NOT IN ('trip_id', 'PULocationID', 'DOLocationID', 'pickup_datetime', 'dropoff_datetime', 'base_passenger_fare')",
     "policy_plans": "SELECT * FROM (VALUES ('law_enforcement_extract', 0, 'pseudonymize'), ('law_enforcement_extract', 1, 'generalize_time'), ('law_enforcement_extract', 2, 'select'), ('mds_aggregate', 0, 'aggregate'), ('tlc_trip_submission', 0, 'redact_note'), ('tlc_trip_submission', 1, 'pseudonymize'), ('tlc_trip_submission', 2, 'generalize_time')) v(policy, position, op)",
