@@ -147,3 +147,13 @@ def test_on_a_table(spark):
     assert sorted(map(tuple, got)) == [(1, 5, 16, "EMAIL_ADDRESS")] * 2
     assert [r.redacted for r in P.redact_column(df, "note").orderBy("id").collect()] == ["mail [EMAIL_ADDRESS]"] * 2 + [None, "", "nothing"]
     assert P.personal_spans(df.limit(0), "note", ("id",)).count() == 0
+
+
+def test_an_export_may_redact_names_too(spark):
+    from quietfare.plans import export as E
+    from quietfare.plans.policy import Policy
+
+    df = spark.createDataFrame([(1, "Saoirse Brennan complained, mail a@b.example"), (2, None), (3, "nothing")], "id int, support_note string")
+    policy = Policy("toy", 1, "", "row_level", row_level={"redact_note": True})
+    got = [r.support_note for r in E.export(df, policy, detector=P.note_detector).orderBy("id").collect()]
+    assert got == ["[REDACTED] complained, mail [REDACTED]", None, "nothing"]
