@@ -34,11 +34,11 @@ TRIP_SCHEMA: dict[str, str] = {
 #: Words are lower case, joined and enclosed by ``_``.
 APPROVED: dict[str, tuple[str, str]] = {
     "airport_fee": (
-        r"(?=.*_(airport|airports|apt|arpt)_)(?=.*_(fee|fees|charge|charges|surcharge|surcharges|amount|amt|usd|toll|tax)_)",
+        r"^(?=.*_(airport|airports|apt|arpt)_)(?=.*_(fee|fees|charge|charges|surcharge|surcharges|amount|amt|usd|toll|tax)_)",
         r"_(code|codes|note|notes|name|flag|id|zone|comment|count)_([0-9]+_|v[0-9]+_)?$",
     ),
     "cbd_congestion_fee": (
-        r"(?=.*(_cbd_|_central_(business_)?district_))(?=.*_(fee|fees|charge|charges|surcharge|surcharges|amount|amt|usd|toll|tax|relief|congestion)_)",
+        r"^(?=.*(_cbd_|_central_(business_)?district_))(?=.*_(fee|fees|charge|charges|surcharge|surcharges|amount|amt|usd|toll|tax|relief|congestion)_)",
         r"_(code|codes|note|notes|name|flag|id|zone|comment|count)_([0-9]+_|v[0-9]+_)?$",
     ),
 }
